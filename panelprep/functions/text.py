@@ -6,6 +6,8 @@ in Python, i.e. Unicode white space plus the four separators ``\\x1c-\\x1f``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Character classes.
@@ -120,16 +122,26 @@ def slug(col: Column | str, default: str = "runtime-note") -> Column:
     return F.coalesce(F.nullif(cleaned, F.lit("")), F.lit(default))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often ``body`` uses it.
+
+    Spark evaluates an expression anew wherever it's named inside a lambda, so a
+    column that a lambda runs over many times is bound to a lambda variable.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def map_last_wins(entries: Column, key: str = "key", value: str = "value") -> Column:
     """Array of structs to a map; of equal keys the last value stays.
 
     Doesn't lean on ``spark.sql.mapKeyDedupPolicy``, which is the caller's.
     """
-    keys = F.array_distinct(F.transform(entries, lambda e: e[key]))
-    values = F.transform(
-        keys, lambda k: F.element_at(F.filter(entries, lambda e: e[key] == k), -1)[value]
-    )
-    return F.map_from_arrays(keys, values)
+    def build(rows: Column) -> Column:
+        keys = F.array_distinct(F.transform(rows, lambda e: e[key]))
+        values = F.transform(keys, lambda k: F.element_at(F.filter(rows, lambda e: e[key] == k), -1)[value])
+        return F.map_from_arrays(keys, values)
+
+    return let(entries, build)
 
 
 def meta_map(col: Column | str) -> Column:

@@ -7,13 +7,15 @@ expression over them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from html.parser import HTMLParser
+import re
+from bisect import bisect_left
+from collections.abc import Sequence
+from html import unescape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from panelprep.functions.text import as_col, doc_id, doc_url, map_last_wins, meta_map
+from panelprep.functions.text import as_col, doc_id, doc_url, let, map_last_wins, meta_map, normalize_ws
 
 # The wording of the dictionary pages.
 SECTION_INPUT, SECTION_OUTPUT, SECTION_TABLE = "输入参数", "输出参数", "表信息"
@@ -41,125 +43,136 @@ PARTS = T.StructType([
 ])
 
 
-class _Node:
-    __slots__ = ("tag", "css", "kids", "up")
-
-    def __init__(self, tag: str, css: str = "", up: _Node | None = None):
-        self.tag, self.css, self.up = tag, css, up
-        self.kids: list[_Node | str] = []
-
-    def all(self, *tags: str) -> Iterator[_Node]:
-        """Descendants with one of the tags, in document order."""
-        todo = [k for k in reversed(self.kids) if isinstance(k, _Node)]
-        while todo:
-            node = todo.pop()
-            if node.tag in tags:
-                yield node
-            todo.extend(k for k in reversed(node.kids) if isinstance(k, _Node))
-
-    def text(self, sep: str) -> str:
-        """Trimmed text pieces below this node, joined."""
-        pieces, todo = [], list(reversed(self.kids))
-        while todo:
-            kid = todo.pop()
-            if isinstance(kid, str):
-                pieces.append(kid.strip())
-            elif kid.tag not in _SILENT:
-                todo.extend(reversed(kid.kids))
-        return sep.join(p for p in pieces if p)
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
+    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[^<]+|<", re.S)
+_CLASS = re.compile(r"(?is)(?:^|\s)class\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 
 
-class _Reader(HTMLParser):
-    """Tolerant tree builder: a stray end tag is ignored, a skipped one is implied."""
+class _Page:
+    """Elements of a page in document order, tolerant of bad markup.
 
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.here = _Node("")
-        self.open: dict[str, int] = {}
-        self.fresh = True
+    Element ``i`` has the descendants ``i+1 .. end[i]-1`` and the text pieces
+    ``lo[i] .. hi[i]-1``.  A stray end tag is ignored, a skipped one is implied.
+    """
 
-    def handle_starttag(self, tag, attrs):
-        node = _Node(tag, dict(attrs).get("class") or "", self.here)
-        self.here.kids.append(node)
-        self.fresh = True
+    def __init__(self, html: str):
+        self.tag, self.css, self.up, self.end, self.lo, self.hi = [], [], [], [], [], []
+        self.pieces: list[str] = []
+        self.at: dict[str, list[int]] = {}
+        self._stack: list[int] = []
+        self._open: dict[str, int] = {}
+        self._silent = 0
+        self._read(html)
+        while self._stack:
+            self._close()
+
+    def _close(self) -> str:
+        i = self._stack.pop()
+        self.end[i], self.hi[i] = len(self.tag), len(self.pieces)
+        tag = self.tag[i]
+        self._open[tag] -= 1
+        self._silent -= tag in _SILENT
+        return tag
+
+    def _start(self, tag: str, attrs: str) -> None:
+        i = len(self.tag)
+        found = _CLASS.search(attrs) if tag == "div" else None
+        self.tag.append(tag)
+        self.css.append(next((g for g in found.groups() if g), "") if found else "")
+        self.up.append(self._stack[-1] if self._stack else -1)
+        self.end.append(i + 1)
+        self.lo.append(len(self.pieces))
+        self.hi.append(len(self.pieces))
+        self.at.setdefault(tag, []).append(i)
         if tag not in _VOID:
-            self.here = node
-            self.open[tag] = self.open.get(tag, 0) + 1
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        self.fresh = True
-        while self.open.get(tag):
-            closed, self.here = self.here, self.here.up
-            self.open[closed.tag] -= 1
-            if closed.tag == tag:
-                return
-
-    def handle_data(self, data):
-        kids = self.here.kids
-        if not self.fresh and kids and isinstance(kids[-1], str):
-            kids[-1] += data
-        else:
-            kids.append(data)
-        self.fresh = False
-
-    def handle_comment(self, data):
-        self.fresh = True
-
-
-def _squeeze(text: str) -> str:
-    return " ".join(text.split())
-
-
-def _cells(row: _Node, *tags: str) -> list[str]:
-    return [_squeeze(c.text(" ")) for c in row.all(*tags)]
-
+            self._stack.append(i)
+            self._open[tag] = self._open.get(tag, 0) + 1
+            self._silent += tag in _SILENT
+            if attrs.endswith("/"):
+                self._close()
+
+    def _read(self, html: str) -> None:
+        pos, joined = 0, False
+        while pos < len(html):
+            token = _TOKEN.match(html, pos)
+            text, closing, opening, attrs = token[0], token[1], token[2], token[3]
+            pos = token.end()
+            if opening:
+                opening = opening.lower()
+                self._start(opening, attrs)
+                if opening in ("script", "style") and not attrs.endswith("/"):
+                    stop = re.compile(rf"(?i)</{opening}\b").search(html, pos)
+                    pos = stop.start() if stop else len(html)
+                joined = False
+            elif closing:
+                closing = closing.lower()
+                while self._open.get(closing) and self._close() != closing:
+                    pass
+                joined = False
+            elif text[0] == "<" and len(text) > 1:
+                joined = False
+            elif not self._silent:
+                if joined:
+                    self.pieces[-1] += text
+                else:
+                    self.pieces.append(text)
+                joined = True
+
+    def find(self, i: int, *tags: str) -> list[int]:
+        """Descendants of ``i`` with one of the tags, in document order; -1 is the page."""
+        first, last = (0, len(self.tag)) if i < 0 else (i + 1, self.end[i])
+        hits = [self.at.get(t, []) for t in tags]
+        picked = [h[bisect_left(h, first):bisect_left(h, last)] for h in hits]
+        return picked[0] if len(picked) == 1 else sorted(sum(picked, []))
+
+    def text(self, i: int, sep: str) -> str:
+        """Trimmed text pieces of ``i``, joined."""
+        pieces = (unescape(p).strip() for p in self.pieces[self.lo[i]:self.hi[i]])
+        return sep.join(p for p in pieces if p)
 
-def _table(node: _Node) -> dict:
-    """Header cells and body rows: ``thead`` names the header, else the first row."""
-    rows = list(node.all("tr"))
-    head = next(node.all("thead"), None)
-    if head is None:
-        headers, body = (_cells(rows[0], "th", "td") if rows else []), rows[1:]
-    else:
-        headers = _cells(head, "th", "td")
-        first_body = next(node.all("tbody"), None)
-        body = rows[1:] if first_body is None else [
-            k for k in first_body.kids if isinstance(k, _Node) and k.tag == "tr"]
-    cells = [_cells(r, "td", "th") for r in body]
-    return {"headers": headers, "rows": [c for c in cells if any(c)]}
+    def cells(self, row: int, *tags: str) -> list[str]:
+        return [" ".join(self.text(c, " ").split()) for c in self.find(row, *tags)]
 
+    def table(self, i: int) -> dict:
+        """Header cells and body rows: ``thead`` names the header, else the first row."""
+        rows, head = self.find(i, "tr"), self.find(i, "thead")
+        if head:
+            headers = self.cells(head[0], "th", "td")
+            bodies = self.find(i, "tbody")
+            body = [r for r in self.find(bodies[0], "tr") if self.up[r] == bodies[0]] if bodies else rows[1:]
+        else:
+            headers, body = (self.cells(rows[0], "th", "td") if rows else []), rows[1:]
+        filled = [self.cells(r, "td", "th") for r in body]
+        return {"headers": headers, "rows": [c for c in filled if any(c)]}
 
-def _next_table(node: _Node) -> _Node | None:
-    """The sibling table that follows, unless a paragraph or heading comes first."""
-    kids = node.up.kids
-    for kid in kids[next(i for i, k in enumerate(kids) if k is node) + 1:]:
-        if isinstance(kid, _Node) and kid.tag in ("table", "p", "h2", "h3"):
-            return kid if kid.tag == "table" else None
-    return None
+    def next_table(self, i: int) -> int | None:
+        """The sibling table that follows, unless a paragraph or heading comes first."""
+        stop = self.end[self.up[i]] if self.up[i] >= 0 else len(self.tag)
+        j = self.end[i]
+        while j < stop:
+            if self.tag[j] in ("table", "p", "h2", "h3"):
+                return j if self.tag[j] == "table" else None
+            j = self.end[j]
+        return None
 
 
 def _read(html: str | None) -> tuple:
-    reader = _Reader()
-    reader.feed(html or "")
-    reader.close()
-    tables = list(reader.root.all("table"))
-    place = {id(t): i for i, t in enumerate(tables)}
-    content = next((d for d in reader.root.all("div") if "content" in d.css.split()), None)
+    page = _Page(html or "")
+    tables = page.find(-1, "table")
+    place = {t: n for n, t in enumerate(tables)}
+    plain_tables = [page.table(t) for t in tables]
+    content = next((d for d in page.find(-1, "div") if "content" in page.css[d].split()), None)
     if content is None:
-        return False, None, [], [_table(t) for t in tables], []
-    heading = next(content.all("h2"), None)
-    paragraphs = []
-    for p in content.all("p"):
-        following = _next_table(p)
-        paragraphs.append({
-            "text": p.text("\n"), "direct": p.up is content,
-            "table": None if following is None else place[id(following)]})
-    code = [c for c in (b.text("\n") for b in content.all("pre")) if c]
-    return True, _squeeze(heading.text(" ")) if heading else "", paragraphs, [_table(t) for t in tables], code
+        return False, None, [], plain_tables, []
+    headings = page.find(content, "h2")
+    title = " ".join(page.text(headings[0], " ").split()) if headings else ""
+    paragraphs = [
+        {"text": page.text(p, "\n"), "direct": page.up[p] == content, "table": place.get(page.next_table(p))}
+        for p in page.find(content, "p")
+    ]
+    code = [c for c in (page.text(b, "\n") for b in page.find(content, "pre")) if c]
+    return True, title, paragraphs, plain_tables, code
 
 
 @F.pandas_udf(PARTS)
@@ -175,14 +188,16 @@ def page_parts(pages: DataFrame, page_id: str = "page_id", html_col: str = "html
 
 def _named_rows(table: Column) -> Column:
     """Rows as maps from header to cell: ``column_{i}`` for a cell that has no header."""
-    def named(row: Column) -> Column:
-        entries = F.transform(row, lambda cell, i: F.struct(
-            F.coalesce(F.nullif(F.get(table["headers"], i), F.lit("")),
-                       F.concat(F.lit("column_"), i + 1)).alias("key"),
-            cell.alias("value")))
-        return map_last_wins(entries)
+    def of(t: Column) -> Column:
+        def named(row: Column) -> Column:
+            return map_last_wins(F.transform(row, lambda cell, i: F.struct(
+                F.coalesce(F.nullif(F.get(t["headers"], i), F.lit("")),
+                           F.concat(F.lit("column_"), i + 1)).alias("key"),
+                cell.alias("value"))))
 
-    return F.transform(table["rows"], named)
+        return F.transform(t["rows"], named)
+
+    return let(table, of)
 
 
 def page_tables(parts: DataFrame, page_id: str = "page_id") -> DataFrame:
@@ -193,15 +208,10 @@ def page_tables(parts: DataFrame, page_id: str = "page_id") -> DataFrame:
         _named_rows(F.col("_table")).alias("rows"))
 
 
-def _label(paragraph: Column) -> Column:
-    return F.trim(F.regexp_replace(paragraph["text"], r"(?U)[\s\x1c-\x1f]+", " "))
-
-
 def _section(title: str) -> Column:
     """Rows of the first table that directly follows a paragraph of this title, or NULL."""
-    hit = F.filter("parts.paragraphs", lambda p: (_label(p) == title) & p["table"].isNotNull())
-    table = F.get("parts.tables", F.get(hit, F.lit(0))["table"])
-    return F.when(F.size(hit) > 0, _named_rows(table))
+    hit = F.filter("parts.paragraphs", lambda p: p["table"].isNotNull() & (normalize_ws(p["text"]) == title))
+    return _named_rows(F.get("parts.tables", F.get(hit, F.lit(0))["table"]))
 
 
 def page_sections(

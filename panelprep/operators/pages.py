@@ -13,7 +13,7 @@ from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from panelprep.functions.text import normalize_ws, split_lines, strip
 from panelprep.operators.sets import dedupe_first
@@ -36,13 +36,19 @@ _MARKUP = (
 )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(text: pd.Series) -> pd.Series:
     """HTML entities to characters."""
     return text.map(html.unescape, na_action="ignore")
 
 
-@F.pandas_udf("pos array<int>, title array<string>, url array<string>")
+_LINKS = T.StructType([
+    T.StructField("pos", T.ArrayType(T.IntegerType())), T.StructField("title", T.ArrayType(T.StringType())),
+    T.StructField("url", T.ArrayType(T.StringType())),
+])
+
+
+@F.pandas_udf(_LINKS)
 def _resolve_links(base: pd.Series, hrefs: pd.Series, titles: pd.Series) -> pd.DataFrame:
     """Absolute targets and plain titles; of equal pairs within a page the first stays."""
     rows = []
@@ -57,7 +63,7 @@ def _resolve_links(base: pd.Series, hrefs: pd.Series, titles: pd.Series) -> pd.D
                     target = ref
                 first.setdefault((title, target), pos)
         rows.append((list(first.values()), [t for t, _ in first], [u for _, u in first]))
-    return pd.DataFrame(rows, columns=["pos", "title", "url"])
+    return pd.DataFrame(rows, columns=_LINKS.names)
 
 
 def page_links(
@@ -84,12 +90,15 @@ def page_links(
 
 
 def java_pattern(spark: SparkSession, pattern: str) -> str:
-    """The regex in the dialect Spark evaluates; ValueError if it isn't one."""
+    """The regex in the dialect Spark evaluates; ValueError if it isn't one.
+
+    Classes and word borders are Unicode ones, as they are in Python.
+    """
     try:
         re.compile(pattern)
     except re.error as exc:
         raise ValueError(f"not a regular expression: {exc}") from exc
-    out = re.sub(r"\(\?P<([A-Za-z][A-Za-z0-9]*)>", r"(?<\1>", pattern)
+    out = "(?U)" + re.sub(r"\(\?P<([A-Za-z][A-Za-z0-9]*)>", r"(?<\1>", pattern)
     out = re.sub(r"\(\?P=([A-Za-z][A-Za-z0-9]*)\)", r"\\k<\1>", out)
     try:
         spark.range(1).select(F.lit("x").rlike(out)).collect()
