@@ -13,7 +13,10 @@ from pyspark.sql import Column, functions as F
 # Character classes.
 _WS = r"[\s\x1c-\x1f]"
 _WS_RUN = rf"(?U){_WS}+"
-_WS_ENDS = rf"(?U)^{_WS}+|{_WS}+$"
+_WS_CHARS = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 LINE_BREAK = r"\R|[\x1c-\x1e]"
 _JSON_INT = r"^-?(0|[1-9]\d*)$"
 _JSON_NUMBER = r"^-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?$"
@@ -26,7 +29,7 @@ def as_col(col: Column | str) -> Column:
 
 def strip(col: Column | str) -> Column:
     """Trim white space of any kind from both ends."""
-    return F.regexp_replace(as_col(col), _WS_ENDS, "")
+    return F.trim(as_col(col), F.lit(_WS_CHARS))
 
 
 def normalize_ws(col: Column | str) -> Column:
@@ -37,8 +40,14 @@ def normalize_ws(col: Column | str) -> Column:
 def split_lines(col: Column | str) -> Column:
     """Text to an array of lines; a final line break adds no empty line."""
     text = as_col(col)
-    body = F.regexp_replace(text, rf"({LINE_BREAK})\z", "")
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK))
+    size = F.length(text)
+    cut = (
+        F.when(F.endswith(text, F.lit("\r\n")), size - 2)
+        .when(F.substring(text, -1, 1).rlike(LINE_BREAK), size - 1)
+        .otherwise(size)
+    )
+    lines = F.split(F.substring(text, F.lit(1), cut), LINE_BREAK)
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(lines)
 
 
 def literal_type(col: Column | str) -> Column:
@@ -47,27 +56,32 @@ def literal_type(col: Column | str) -> Column:
     ``kind`` is one of int, float, bool, null, string, array, object.  A quoted
     JSON string gives its content; ``000300`` isn't JSON and stays a string.
     """
-    raw = as_col(col)
-    body = F.regexp_replace(raw, r"^[ \t\n\r]+|[ \t\n\r]+$", "")
-    parsed = F.try_parse_json(body)
+    return let(as_col(col), _literal)
+
+
+def _literal(raw: Column) -> Column:
+    body = F.trim(raw, F.lit(" \t\n\r"))
+
+    def typed(text: Column, kind: str) -> Column:
+        return F.struct(text.alias("text"), F.lit(kind).alias("kind"))
+
+    def if_json(text: Callable[[Column], Column], kind: str) -> Column:
+        # The parser runs only on text that starts like a quoted or nested value.
+        return let(F.try_parse_json(body), lambda v: F.when(v.isNotNull(), typed(text(v), kind)).otherwise(
+            typed(raw, "string")))
+
     first = F.substring(body, 1, 1)
-    kind = (
-        F.when(body.rlike(_JSON_INT), "int")
-        .when(body.rlike(_JSON_NUMBER) | body.isin(*_JSON_SPECIAL), "float")
-        .when(body.isin("true", "false"), "bool")
-        .when(body == "null", "null")
-        .when((first == '"') & parsed.isNotNull(), "json_string")
-        .when((first == "[") & parsed.isNotNull(), "array")
-        .when((first == "{") & parsed.isNotNull(), "object")
-        .otherwise("string")
-    )
-    text = (
-        F.when(kind == "json_string", F.try_variant_get(parsed, "$", "string"))
-        .when(kind == "string", raw)
-        .otherwise(body)
+    return (
+        F.when(raw.isNull(), F.lit(None))
+        .when(first == '"', if_json(lambda v: F.try_variant_get(v, "$", "string"), "string"))
+        .when(first == "[", if_json(lambda v: body, "array"))
+        .when(first == "{", if_json(lambda v: body, "object"))
+        .when(body.rlike(_JSON_INT), typed(body, "int"))
+        .when(body.rlike(_JSON_NUMBER) | body.isin(*_JSON_SPECIAL), typed(body, "float"))
+        .when(body.isin("true", "false"), typed(body, "bool"))
+        .when(body == "null", typed(body, "null"))
+        .otherwise(typed(raw, "string"))
     )
-    kind = F.when(kind == "json_string", "string").otherwise(kind)
-    return F.when(raw.isNotNull(), F.struct(text.alias("text"), kind.alias("kind")))
 
 
 def key_value(col: Column | str, strict: bool = False) -> Column:

@@ -12,8 +12,9 @@ from bisect import bisect_left
 from collections.abc import Sequence
 from html import unescape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from panelprep.functions.text import as_col, doc_id, doc_url, let, map_last_wins, meta_map, normalize_ws
 
@@ -175,10 +176,15 @@ def _read(html: str | None) -> tuple:
     return True, title, paragraphs, plain_tables, code
 
 
-@F.pandas_udf(PARTS)
-def read_parts(html: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(PARTS)
+def read_parts(html: pa.Array) -> pa.Array:
     """Plain parts of each page, see ``PARTS``."""
-    return pd.DataFrame([_read(h) for h in html], columns=PARTS.names)
+    rows = [dict(zip(PARTS.names, _read(h))) for h in html.to_pylist()]
+    return pa.array(rows, type=to_arrow_type(PARTS))
+
+
+# A filter on the result would else be pushed below it and parse every page twice.
+read_parts = read_parts.asNondeterministic()
 
 
 def page_parts(pages: DataFrame, page_id: str = "page_id", html_col: str = "html", keep: Sequence[str] = ()) -> DataFrame:
@@ -257,12 +263,12 @@ def contracts(
     direct = F.get(F.filter("parts.paragraphs", lambda p: is_meta(p) & p["direct"]), F.lit(0))
     anywhere = F.get(F.filter("parts.paragraphs", is_meta), F.lit(0))
     empty_rows = F.array().cast("array<map<string,string>>")
-    staged = parts.select(
+    meta_text = F.coalesce(direct["text"], anywhere["text"]).alias("_meta_text")
+    staged = parts.select("*", meta_text).select(
         page_id, as_col(target).cast("string").alias("_target"),
         F.when(~F.col("parts.has_content"), "no content container").alias("error"),
         F.col("parts.title").alias("title"),
-        F.coalesce(meta_map(F.coalesce(direct["text"], anywhere["text"])),
-                   F.create_map().cast("map<string,string>")).alias("meta"),
+        F.coalesce(meta_map("_meta_text"), F.create_map().cast("map<string,string>")).alias("meta"),
         F.coalesce(_section(SECTION_INPUT), empty_rows).alias("input_params"),
         F.coalesce(_section(SECTION_OUTPUT), empty_rows).alias("output_params"),
         _section(SECTION_TABLE).alias("table_info"),

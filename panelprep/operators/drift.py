@@ -167,20 +167,20 @@ def drift_error(
     ``mae_union`` averages the absolute error over the union of constituents, a
     missing side counting as 0.  ``top_overlap`` is the share of the official
     top ``top_n`` that the estimate's top ``top_n`` also names; ``coverage`` the
-    share of official weight that has an estimate.
+    share of official weight that has an estimate.  ``estimated`` is read twice,
+    so pass an expensive plan through ``session.durable`` first.
     """
     days = official.select(index, date).distinct()
-    both_days = estimated.select(index, date).distinct().join(days, [index, date], "left_semi")
-    e = estimated.select(index, date, code, F.col(weight).alias("_est")).join(both_days, [index, date], "left_semi")
-    o = official.select(index, date, code, F.col(weight).alias("_off")).join(both_days, [index, date], "left_semi")
+    e = estimated.select(index, date, code, F.col(weight).alias("_est")).join(days, [index, date], "left_semi")
+    o = official.select(index, date, code, F.col(weight).alias("_off"))
     pair = e.join(o, [index, date, code], "full")
     est, off = F.coalesce("_est", F.lit(0.0)), F.coalesce("_off", F.lit(0.0))
     error = F.abs(est - off)
     base = pair.groupBy(index, date).agg(
         F.avg(error).alias("mae_union"), F.max(error).alias("max_abs_error"),
-        F.count(F.lit(1)).alias("union_count"),
+        F.count(F.lit(1)).alias("union_count"), F.count("_est").alias("_n_est"),
         F.sum(F.when(F.col("_est").isNotNull(), off)).alias("_seen"), F.sum(off).alias("_all"),
-    )
+    ).where("_n_est > 0")
     top_e = top_k(e, [index, date], [F.col("_est").desc_nulls_last(), F.col(code)], top_n)
     top_o = top_k(o, [index, date], [F.col("_off").desc_nulls_last(), F.col(code)], top_n)
     overlap = (

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from panelprep.functions.text import normalize_ws, split_lines, strip
+from panelprep.functions.text import normalize_ws, split_lines
 from panelprep.operators.sets import dedupe_first
 
 # The link form that is recognised, and the markup rules of the
@@ -38,8 +38,8 @@ _MARKUP = (
 
 @F.pandas_udf(T.StringType())
 def unescape(text: pd.Series) -> pd.Series:
-    """HTML entities to characters."""
-    return text.map(html.unescape, na_action="ignore")
+    """HTML entities to characters, no-break spaces to plain ones."""
+    return text.map(lambda t: html.unescape(t).replace("\u00a0", " "), na_action="ignore")
 
 
 _LINKS = T.StructType([
@@ -66,6 +66,11 @@ def _resolve_links(base: pd.Series, hrefs: pd.Series, titles: pd.Series) -> pd.D
     return pd.DataFrame(rows, columns=_LINKS.names)
 
 
+# A filter on a result would else be pushed below it and run the Python twice.
+unescape = unescape.asNondeterministic()
+_resolve_links = _resolve_links.asNondeterministic()
+
+
 def page_links(
     pages: DataFrame, root: str | Column | None = None, page_id: str = "page_id", html_col: str = "html",
     url: str = "url", scope: str = "page",
@@ -121,15 +126,17 @@ def html_to_text(pages: DataFrame, html_col: str = "html", name: str = "text") -
     body = F.col(html_col)
     for pattern, replacement in _MARKUP:
         body = F.regexp_replace(body, pattern, replacement)
-    body = F.replace(unescape(body), F.lit("\u00a0"), F.lit(" "))
+    staged = pages.withColumn("_body", unescape(body))
 
     def tidy(line: Column) -> Column:
         cells = F.filter(F.transform(F.split(line, "\t"), normalize_ws), lambda c: c != "")
         return F.when(F.contains(line, F.lit("\t")), F.array_join(cells, "\t")).otherwise(normalize_ws(line))
 
-    joined = F.array_join(F.transform(split_lines(body), tidy), "\n")
+    joined = F.array_join(F.transform(split_lines("_body"), tidy), "\n")
     squeezed = F.regexp_replace(joined, r"\n{4,}", "\n\n\n")
-    return pages.withColumn(name, F.concat(strip(squeezed), F.lit("\n")))
+    # Lines are trimmed already, so only line breaks can be left at the ends.
+    text = F.concat(F.trim(squeezed, F.lit("\n")), F.lit("\n"))
+    return staged.withColumn(name, text).drop("_body")
 
 
 def lines(text_df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
@@ -168,7 +175,8 @@ def grep(text_df: DataFrame, pattern: str, context: int = 2, id_col: str = "doc_
     numbered = text_df.select(id_col, split_lines(text_col).alias("_lines"))
     hits = F.filter(
         F.transform("_lines", lambda x, i: F.when(x.rlike(java), i + 1)), lambda i: i.isNotNull())
-    found = numbered.withColumn("_hits", hits).where(F.size("_hits") > 0).withColumn("_n", F.size("_lines"))
+    # No filter on the hits: Spark would push it below and search every text twice.
+    found = numbered.withColumn("_hits", hits).withColumn("_n", F.size("_lines"))
     width = F.lit(context)
 
     def block(hit: Column, i: Column) -> Column:

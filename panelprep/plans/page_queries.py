@@ -57,9 +57,11 @@ def dictionary_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dictionary page per part, with what the extractor has to cope with.
 
     Every size-7 part's page has no content container; pages differ in header
-    style, missing descriptions, range parameters and code blocks.
+    style, missing descriptions, range parameters and code blocks.  Parts are a
+    few bytes each and become pages, so they're spread over the cores first.
     """
-    part = table(spark, sf_dir, "part").withColumn("id", F.col("p_partkey").cast("string"))
+    part = table(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism, "p_partkey").withColumn(
+        "id", F.col("p_partkey").cast("string"))
 
     def row(*cells: str) -> str:
         return "<tr>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr>"

@@ -9,6 +9,7 @@ from panelprep.plans.oracle_parts import ANCHORS, CALENDAR, EVENT_CALENDAR, FLOW
 from panelprep.plans.tables import (
     event_calendar, event_day, table, user_anchors, user_flows, user_prices, weekday_calendar,
 )
+from panelprep.session import durable
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +81,9 @@ def drift_weights_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_weights_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = drift.normalize_weights(_drifted(table(spark, sf_dir, "events")))
+    # Read twice, so written once to the shared checkpoint folder.
+    drifted = durable(_drifted(table(spark, sf_dir, "events")).select("index_code", "con_code", "trade_date", "raw_weight"))
+    out = drift.normalize_weights(drifted)
     return out.select("index_code", "con_code", "trade_date", F.round("weight", 6).alias("weight"))
 
 
@@ -111,7 +114,12 @@ def index_flow_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drift_error_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    estimated = _drifted(events, through_next=True).where("days_since_anchor > 0")
+    official_days = user_anchors(events).select("index_code", "trade_date").distinct()
+    # Only the official days' estimates are kept, and read more than once.
+    estimated = durable(
+        _drifted(events, through_next=True).where("days_since_anchor > 0")
+        .join(official_days, ["index_code", "trade_date"], "left_semi")
+        .select("index_code", "con_code", "trade_date", "raw_weight"))
     out = drift.drift_error(
         drift.normalize_weights(estimated), drift.normalize_weights(user_anchors(events), raw="weight"), 10)
     return out.select(*[
