@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from panelprep.functions.dates import parse_date
 from panelprep.operators.calendar import anchor_spans, trading_offset
 from panelprep.operators.sets import top_k
 from panelprep.sources.scans import calendar_index, distinct_dates
@@ -31,7 +32,7 @@ def return_from_price(
 def drift_weights(
     anchors: DataFrame, returns: DataFrame, calendar: DataFrame, index: str = "index_code", code: str = "con_code",
     date: str = "trade_date", weight: str = "weight", ret: str = "ret", calendar_col: str = "trade_date",
-    through_next: bool = False,
+    through_next: bool = False, carry: DataFrame | None = None,
 ) -> DataFrame:
     """Raw daily weights ``w * prod(1 + r)`` from each anchor to the next.
 
@@ -39,6 +40,10 @@ def drift_weights(
     return counts as 0 on its day; ``has_quotes`` is false when the constituent
     has none in the whole period.  With ``through_next`` a period also covers the
     day of the next anchor, which is what comparing with it needs.
+
+    ``carry`` holds more measures per (code, date) for the output, such as the
+    next day's flow.  They're merged with the returns, one narrow row per code
+    and day, before the panel meets either: the panel is shuffled once for both.
     """
     idx = calendar_index(calendar, calendar_col)
     spans = anchor_spans(anchors, calendar, index, date, calendar_col).where("first_idx < next_idx")
@@ -53,6 +58,9 @@ def drift_weights(
         F.explode(F.sequence(F.col("first_idx"), F.col("_last"))).alias("idx"),
     ).join(F.broadcast(idx.withColumnRenamed("trade_date", date)), "idx")
     r = returns.select(code, date, F.col(ret).alias("_ret"))
+    carried = [c for c in carry.columns if c not in (code, date)] if carry is not None else []
+    if carry is not None:
+        r = r.join(carry, [code, date], "full")
     after = F.col("idx") > F.col("anchor_idx")
     joined = panel.join(r, [code, date], "left").withColumn("_ret", F.when(after, F.col("_ret")))
     period = Window.partitionBy(index, code, "anchor_date").orderBy("idx")
@@ -60,7 +68,7 @@ def drift_weights(
     growth = F.product(F.lit(1.0) + F.coalesce("_ret", F.lit(0.0))).over(
         period.rowsBetween(Window.unboundedPreceding, 0))
     return joined.select(
-        index, code, date, "anchor_date", "anchor_weight", *extra,
+        index, code, date, "anchor_date", "anchor_weight", *extra, *carried,
         (F.col("idx") - F.col("anchor_idx")).cast("int").alias("days_since_anchor"),
         (F.col("anchor_weight") * growth).alias("raw_weight"),
         F.coalesce(F.max(F.col("_ret").isNotNull()).over(whole), F.lit(False)).alias("has_quotes"),
@@ -101,45 +109,63 @@ def normalize_weights(
         name, F.try_divide(raw, "_total")).drop("_total")
 
 
+def next_day_flow(
+    flow: DataFrame, calendar: DataFrame, code: str = "con_code", date: str = "trade_date", flow_col: str = "flow",
+    calendar_col: str = "trade_date", name: str = "next_flow",
+) -> DataFrame:
+    """Flows moved to the trading day before, where the weights that apply to them stand."""
+    back = F.broadcast(
+        trading_offset(calendar, -1, calendar_col, "_previous").where(F.col("_previous").isNotNull())
+        .withColumnRenamed("trade_date", date))
+    return flow.join(back, date, "inner").select(code, F.col("_previous").alias(date), F.col(flow_col).alias(name))
+
+
 def index_flow(
-    weights: DataFrame, flow: DataFrame, calendar: DataFrame, index: str = "index_code", code: str = "con_code",
+    weights: DataFrame, flow: DataFrame | None, calendar: DataFrame, index: str = "index_code", code: str = "con_code",
     date: str = "trade_date", raw: str = "raw_weight", flow_col: str = "flow", calendar_col: str = "trade_date",
     start=None, end=None, indices: DataFrame | None = None,
 ) -> DataFrame:
     """Index flow on day t with the weights of trading day t-1, and diagnostics.
 
     ``index_flow`` is ``sum(raw * flow) / sum(raw)``: normalising is folded into
-    the aggregate, so the panel is shuffled once for the flow join and then only
-    its partial sums move.  Every (index, trading day) from ``start`` to ``end``
-    has a row; a day without previous weights has ``weight_mode`` ``missing`` and
-    a null flow.  ``days_since_anchor`` and ``weight_mode`` describe the weights,
-    i.e. day t-1.  ``indices`` lists the indices cheaply (the anchors, say) when
-    ``weights`` is a plan that shouldn't run twice.
+    the aggregate, so only partial sums move after the flow join.  With ``flow``
+    None the weights already carry ``next_flow`` (see ``drift_weights``) and
+    nothing else of the panel's size is shuffled.
+
+    Every (index, trading day) from ``start`` to ``end`` has a row; a day without
+    previous weights has ``weight_mode`` ``missing`` and a null flow.
+    ``days_since_anchor`` and ``weight_mode`` describe the weights, i.e. day t-1.
+    ``indices`` lists the indices cheaply (the anchors, say) when ``weights`` is a
+    plan that shouldn't run twice.
     """
-    next_day = F.broadcast(trading_offset(calendar, 1, calendar_col, "_next").where(F.col("_next").isNotNull()))
-    lagged = (
-        weights.join(next_day.withColumnRenamed("trade_date", date), date, "inner")
-        .drop(date).withColumnRenamed("_next", date)
-    )
-    if "anchor_weight_source" not in weights.columns:
-        lagged = lagged.withColumn("anchor_weight_source", F.lit(None).cast("string"))
-    joined = lagged.join(flow.select(code, date, F.col(flow_col).alias("_flow")), [code, date], "left")
-    w, f = F.col(raw), F.col("_flow")
-    agg = joined.groupBy(index, date).agg(
+    if flow is not None:
+        moved = next_day_flow(flow, calendar, code, date, flow_col, calendar_col)
+        weights = weights.join(moved, [code, date], "left")
+    source = F.col("anchor_weight_source") if "anchor_weight_source" in weights.columns else F.lit(None).cast("string")
+    w, f = F.col(raw), F.col("next_flow")
+    # All sums in fixed-width buffers, so the panel is aggregated by hash, not sorted.
+    partial = weights.groupBy(index, date, "anchor_date", source.alias("_source"), "days_since_anchor").agg(
         F.sum(w * f).alias("_num"), F.sum(w).alias("_den"),
         F.sum(F.when(f.isNotNull(), w)).alias("_covered"),
+        F.count(F.lit(1)).alias("_rows"), F.count(w).alias("_weighted"),
+    )
+    # One row per (index, day) and anchor from here on.
+    agg = partial.groupBy(index, date).agg(
+        F.sum("_num").alias("_num"), F.sum("_den").alias("_den"), F.sum("_covered").alias("_covered"),
         F.max("anchor_date").alias("anchor_weight_date"),
-        F.max_by("anchor_weight_source", "anchor_date").alias("anchor_weight_source"),
+        F.max_by("_source", "anchor_date").alias("anchor_weight_source"),
         F.max_by("days_since_anchor", "anchor_date").alias("days_since_anchor"),
-        F.count(F.lit(1)).alias("constituent_count"),
-        F.count(w).alias("weighted_constituent_count"),
+        F.sum("_rows").alias("constituent_count"), F.sum("_weighted").alias("weighted_constituent_count"),
     )
-    # One row per (index, day): the grid of asked days.
+    next_day = F.broadcast(
+        trading_offset(calendar, 1, calendar_col, "_next").where(F.col("_next").isNotNull())
+        .withColumnRenamed("trade_date", date))
+    agg = agg.join(next_day, date, "inner").drop(date).withColumnRenamed("_next", date)
     asked = distinct_dates(calendar, calendar_col)
     if start is not None:
-        asked = asked.where(F.col("trade_date") >= F.lit(start).cast("date"))
+        asked = asked.where(F.col("trade_date") >= F.lit(parse_date(start)))
     if end is not None:
-        asked = asked.where(F.col("trade_date") <= F.lit(end).cast("date"))
+        asked = asked.where(F.col("trade_date") <= F.lit(parse_date(end)))
     all_days = asked.select(F.array_sort(F.collect_list("trade_date"))).scalar()
     grid = (weights if indices is None else indices).select(index).distinct().select(index, F.explode(all_days).alias(date))
     out = grid.join(agg, [index, date], "left")

@@ -332,18 +332,21 @@ def route_by_market(
 def first_available(sources: Sequence[tuple[str, DataFrame]], key: str | Sequence[str]) -> DataFrame:
     """Per key, the rows of the first source in order that has any; adds ``source``.
 
-    The best source per key is found by a partial aggregate, then joined back,
-    so no key's rows have to meet in one group.
+    The first source passes through untouched; each later one gives up the keys
+    that an earlier one has, an anti join against distinct keys.  No key's rows
+    have to meet in one group.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    pool = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [df.withColumn("source", F.lit(name)).withColumn("_priority", F.lit(i))
-         for i, (name, df) in enumerate(sources)],
-    )
-    best = pool.groupBy(*keys).agg(F.min("_priority").alias("_priority"))
-    same = _all(F.col(f"p.{k}").eqNullSafe(F.col(f"b.{k}")) for k in [*keys, "_priority"])
-    return pool.alias("p").join(best.alias("b"), same, "left_semi").drop("_priority")
+    out, taken = [], None
+    for name, df in sources:
+        rows = df.alias("s")
+        if taken is not None:
+            same = _all(F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys)
+            rows = rows.join(taken.alias("t"), same, "left_anti")
+        out.append(rows.withColumn("source", F.lit(name)))
+        own = df.select(*keys).distinct()
+        taken = own if taken is None else taken.unionByName(own)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out)
 
 
 def assert_unique(df: DataFrame, key: str | Sequence[str]) -> DataFrame:

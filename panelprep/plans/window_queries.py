@@ -102,12 +102,30 @@ def coverage_loss_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index_flow_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Anchor, drift, drop unquoted, lag by a trading day, aggregate flows, diagnose."""
+    """Flagship: anchor, drift, drop unquoted, lag by a trading day, aggregate flows, diagnose.
+
+    The calendar and the anchors are small inputs with several readers, so each
+    is written once; the panel itself is shuffled for the returns and flows, for
+    the product window, and then only as partial sums.
+    """
+    events = table(spark, sf_dir, "events")
+    days = durable(event_calendar(events))
+    anchors = durable(user_anchors(events).withColumn("anchor_weight_source", F.lit("event_count")))
+    flows = drift.next_day_flow(user_flows(events), days)
+    drifted = drift.drop_unquoted(drift.drift_weights(anchors, _returns(events), days, carry=flows))
+    return _rounded_flow(drift.index_flow(drifted, None, days, indices=anchors))
+
+
+def index_flow_of_weights_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from weights and flows as separate inputs."""
     events = table(spark, sf_dir, "events")
     days = event_calendar(events)
     anchors = user_anchors(events).withColumn("anchor_weight_source", F.lit("event_count"))
     drifted = drift.drop_unquoted(drift.drift_weights(anchors, _returns(events), days))
-    out = drift.index_flow(drifted, user_flows(events), days, indices=anchors)
+    return _rounded_flow(drift.index_flow(drifted, user_flows(events), days, indices=anchors))
+
+
+def _rounded_flow(out: DataFrame) -> DataFrame:
     return out.select(*[
         F.round(c, 6).alias(c) if c in ("index_flow", "moneyflow_weight_coverage_ratio") else c for c in out.columns])
 
@@ -140,6 +158,7 @@ QUERIES = {
     "drop_unquoted": drop_unquoted_query,
     "coverage_loss": coverage_loss_query,
     "index_flow": index_flow_query,
+    "index_flow_of_weights": index_flow_of_weights_query,
     "drift_error": drift_error_query,
 }
 
@@ -237,3 +256,4 @@ ORACLES = {
             round(coalesce(sum(ow) FILTER (ew IS NOT NULL), 0) / sum(ow), 6) AS coverage
         FROM p LEFT JOIN ov USING (index_code, trade_date) GROUP BY 1, 2""",
 }
+ORACLES["index_flow_of_weights"] = ORACLES["index_flow"]
