@@ -38,7 +38,7 @@ def drift_weights(
 
     On the anchor day itself the raw weight is the official one.  A missing
     return counts as 0 on its day; ``has_quotes`` is false when the constituent
-    has none in the whole period.  With ``through_next`` a period also covers the
+    has no row in ``returns`` after the anchor in the whole period.  With ``through_next`` a period also covers the
     day of the next anchor, which is what comparing with it needs.
 
     ``carry`` holds more measures per (code, date) for the output, such as the
@@ -57,12 +57,13 @@ def drift_weights(
         index, code, "anchor_date", F.col(weight).alias("anchor_weight"), *extra, "anchor_idx",
         F.explode(F.sequence(F.col("first_idx"), F.col("_last"))).alias("idx"),
     ).join(F.broadcast(idx.withColumnRenamed("trade_date", date)), "idx")
-    r = returns.select(code, date, F.col(ret).alias("_ret"))
+    r = returns.select(code, date, F.col(ret).alias("_ret"), F.lit(True).alias("_quoted"))
     carried = [c for c in carry.columns if c not in (code, date)] if carry is not None else []
     if carry is not None:
         r = r.join(carry, [code, date], "full")
     after = F.col("idx") > F.col("anchor_idx")
-    joined = panel.join(r, [code, date], "left").withColumn("_ret", F.when(after, F.col("_ret")))
+    joined = panel.join(r, [code, date], "left").withColumns({
+        "_ret": F.when(after, F.col("_ret")), "_quoted": after & F.coalesce("_quoted", F.lit(False))})
     period = Window.partitionBy(index, code, "anchor_date").orderBy("idx")
     whole = Window.partitionBy(index, code, "anchor_date")
     growth = F.product(F.lit(1.0) + F.coalesce("_ret", F.lit(0.0))).over(
@@ -71,7 +72,7 @@ def drift_weights(
         index, code, date, "anchor_date", "anchor_weight", *extra, *carried,
         (F.col("idx") - F.col("anchor_idx")).cast("int").alias("days_since_anchor"),
         (F.col("anchor_weight") * growth).alias("raw_weight"),
-        F.coalesce(F.max(F.col("_ret").isNotNull()).over(whole), F.lit(False)).alias("has_quotes"),
+        F.max("_quoted").over(whole).alias("has_quotes"),
     )
 
 

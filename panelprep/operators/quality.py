@@ -68,24 +68,34 @@ def filter_violations(df: DataFrame, params: Mapping[str, Any]) -> DataFrame:
 
 
 def contract_diff(contracts: DataFrame, df: DataFrame, api: str = "api_name", fields: str = "output_fields") -> DataFrame:
-    """Documented fields against the columns that arrived, per API.
+    """Documented fields against the columns that arrived, per contract.
 
     ``status`` is ``match``, ``case_only``, ``documented_absent`` or
-    ``present_undocumented``.
+    ``present_undocumented``.  The arrived names are a literal array, so all of it
+    happens within the contract's row.
     """
-    documented = contracts.select(api, F.explode(fields).alias("documented")).withColumn("_low", F.lower("documented"))
-    # The arrived names are a literal: one array, exploded per API.
-    names = F.array(*[F.lit(c) for c in df.columns]).cast("array<string>")
-    present = contracts.select(api).distinct().select(api, F.explode(names).alias("present")).withColumn(
-        "_low", F.lower("present"))
+    arrived = F.array(*[F.lit(c) for c in df.columns]).cast("array<string>")
+    documented = F.col(fields)
+
+    def same(a: Column, b: Column) -> Column:
+        return F.lower(a) == F.lower(b)
+
+    def meet(name: Column) -> Column:
+        exact = F.when(F.array_contains(arrived, name), name)
+        other = F.get(F.filter(arrived, lambda p: same(p, name)), F.lit(0))
+        return F.struct(name.alias("documented"), F.coalesce(exact, other).alias("present"))
+
+    undocumented = F.filter(arrived, lambda p: ~F.exists(documented, lambda d: same(d, p)))
+    pairs = F.concat(
+        F.transform(documented, meet),
+        F.transform(undocumented, lambda p: F.struct(F.lit(None).cast("string").alias("documented"), p.alias("present"))))
     status = (
         F.when(F.col("documented").isNull(), "present_undocumented")
         .when(F.col("present").isNull(), "documented_absent")
         .when(F.col("documented") == F.col("present"), "match")
         .otherwise("case_only")
     )
-    return documented.join(present, [api, "_low"], "full").select(
-        api, "documented", "present", status.alias("status"))
+    return contracts.select(api, F.inline(pairs)).select(api, "documented", "present", status.alias("status"))
 
 
 def code_coverage(requested: DataFrame, df: DataFrame, key: str, families=CODE_FAMILIES) -> DataFrame:

@@ -40,14 +40,15 @@ def drift(returns: str = "ret", through_next: bool = False) -> str:
     return f"""
 panel AS (SELECT a.index_code, a.con_code, c.trade_date, s.anchor_date, a.weight AS anchor_weight,
                  c.idx - s.anchor_idx AS days_since_anchor, c.idx,
-                 CASE WHEN c.idx > s.anchor_idx THEN r.ret END AS ret
+                 CASE WHEN c.idx > s.anchor_idx THEN r.ret END AS ret,
+                 c.idx > s.anchor_idx AND r.con_code IS NOT NULL AS quoted
           FROM anchors a JOIN spans s ON a.index_code = s.index_code AND a.trade_date = s.anchor_date
           JOIN ecal c ON c.idx BETWEEN s.anchor_idx AND {end}
           LEFT JOIN {returns} r ON r.con_code = a.con_code AND r.trade_date = c.trade_date),
 drifted AS (SELECT index_code, con_code, trade_date, anchor_date, anchor_weight, days_since_anchor,
                    anchor_weight * product(1 + coalesce(ret, 0)) OVER (
                        PARTITION BY index_code, con_code, anchor_date ORDER BY idx) AS raw_weight,
-                   count(ret) OVER (PARTITION BY index_code, con_code, anchor_date) > 0 AS has_quotes
+                   bool_or(quoted) OVER (PARTITION BY index_code, con_code, anchor_date) AS has_quotes
             FROM panel)"""
 
 
