@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from panelprep.functions.dates import as_date, date_between, parse_date
+from panelprep.operators.joins import interval_join
 from panelprep.sources.scans import calendar_index, distinct_dates
 
 
@@ -94,6 +95,20 @@ def trading_offset(calendar: DataFrame, n: int, column: str = "trade_date", name
     )
 
 
+def day_positions(calendar: DataFrame, calendar_col: str, *days: DataFrame) -> DataFrame:
+    """``(trade_date, pos, on_calendar)``: trading days up to each day of the calendar and of ``days``.
+
+    One row per distinct day, so it's bounded by the date type.
+    """
+    marks = calendar_index(calendar, calendar_col)
+    for frame in days:
+        marks = marks.unionByName(distinct_dates(frame, "trade_date").withColumn("idx", F.lit(None).cast("int")))
+    per_day = marks.groupBy("trade_date").agg(F.max("idx").alias("idx"))
+    so_far = F.last("idx", ignorenulls=True).over(Window.orderBy("trade_date"))
+    return per_day.select(
+        "trade_date", F.coalesce(so_far, F.lit(0)).alias("pos"), F.col("idx").isNotNull().alias("on_calendar"))
+
+
 def anchor_spans(
     anchors: DataFrame, calendar: DataFrame, key: str = "index_code", date: str = "trade_date",
     calendar_col: str = "trade_date",
@@ -105,18 +120,10 @@ def anchor_spans(
     the last trading day before it.  ``next_idx`` is exclusive, one past the
     calendar's end for the last anchor.
     """
-    idx = calendar_index(calendar, calendar_col)
-    last = idx.select(F.max("idx")).scalar()
-    # Position of any day: the number of trading days up to it.
+    last = calendar_index(calendar, calendar_col).select(F.max("idx")).scalar()
     days = anchors.select(key, F.col(date).alias("anchor_date")).distinct()
-    marks = idx.select("trade_date", "idx").unionByName(
-        days.select(F.col("anchor_date").alias("trade_date")).distinct().withColumn("idx", F.lit(None).cast("int"))
-    ).groupBy("trade_date").agg(F.max("idx").alias("idx"))
-    order = Window.orderBy("trade_date")
-    placed = marks.select(
-        F.col("trade_date").alias("anchor_date"), F.col("idx").isNotNull().alias("on_calendar"),
-        F.coalesce(F.last("idx", ignorenulls=True).over(order), F.lit(0)).alias("anchor_idx"),
-    )
+    placed = day_positions(calendar, calendar_col, days.select(F.col("anchor_date").alias("trade_date"))).select(
+        F.col("trade_date").alias("anchor_date"), F.col("pos").alias("anchor_idx"), "on_calendar")
     spans = days.join(F.broadcast(placed), "anchor_date", "inner")
     following = Window.partitionBy(key).orderBy("anchor_date")
     first_day = F.col("anchor_idx") + F.when(F.col("on_calendar"), 0).otherwise(1)
@@ -131,17 +138,21 @@ def assign_anchor(
     dates: DataFrame, anchors: DataFrame, calendar: DataFrame, key: str = "index_code", date: str = "trade_date",
     anchor_date: str = "trade_date", calendar_col: str = "trade_date",
 ) -> DataFrame:
-    """Each (key, trading day) with its latest anchor on or before that day.
+    """Each (key, day) with its latest anchor on or before that day.
 
-    ``days_since_anchor`` counts trading days.  Days before the first anchor keep
-    a null anchor.  Anchors are spread over the trading days they hold for, then
-    met by equality, so no day is compared with more than one anchor.
+    ``days_since_anchor`` counts the trading days after the anchor.  Days before
+    the first anchor keep a null anchor.  An anchor holds until the next one, so
+    this is an interval join by day bucket.
     """
-    idx = calendar_index(calendar, calendar_col)
-    spans = anchor_spans(anchors, calendar, key, anchor_date, calendar_col)
-    held = spans.where("first_idx < next_idx").select(
-        key, "anchor_date", "anchor_idx", F.explode(F.sequence(F.col("first_idx"), F.col("next_idx") - 1)).alias("idx"))
-    by_day = held.join(F.broadcast(idx), "idx").select(
-        key, F.col("trade_date").alias(date), "anchor_date",
-        (F.col("idx") - F.col("anchor_idx")).cast("int").alias("days_since_anchor"))
-    return dates.join(by_day, [key, date], "left")
+    following = Window.partitionBy(key).orderBy("anchor_date")
+    held = anchors.select(key, F.col(anchor_date).alias("anchor_date")).distinct().withColumn(
+        "_until", F.lead("anchor_date").over(following))
+    joined = interval_join(dates, held, key, date, "anchor_date", "_until", end_inclusive=False, how="left").drop("_until")
+    pos = day_positions(
+        calendar, calendar_col, dates.select(F.col(date).alias("trade_date")), held.select(F.col("anchor_date").alias("trade_date")))
+    of_day = pos.select(F.col("trade_date").alias(date), F.col("pos").alias("_pos"))
+    of_anchor = pos.select(F.col("trade_date").alias("anchor_date"), F.col("pos").alias("_anchor_pos"))
+    return (
+        joined.join(F.broadcast(of_day), date, "left").join(F.broadcast(of_anchor), "anchor_date", "left")
+        .select(*dates.columns, "anchor_date", (F.col("_pos") - F.col("_anchor_pos")).alias("days_since_anchor"))
+    )

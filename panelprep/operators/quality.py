@@ -99,9 +99,13 @@ def contract_diff(contracts: DataFrame, df: DataFrame, api: str = "api_name", fi
 
 
 def code_coverage(requested: DataFrame, df: DataFrame, key: str, families=CODE_FAMILIES) -> DataFrame:
-    """Rows per requested code, zero included, with the code's family."""
+    """Rows per requested code, zero included, with the code's family.
+
+    Codes are counted before the join: what meets the request list is one row
+    per code, however many rows a code has.
+    """
     wanted = requested.select(key).distinct()
-    counts = df.join(wanted, key, "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
     n = F.coalesce("n_rows", F.lit(0))
     return wanted.join(counts, key, "left").select(
         key, code_family(F.col(key).cast("string"), families).alias("code_family"), n.alias("n_rows"),
@@ -192,8 +196,7 @@ def compare_sources(
 
     both = per_code(a, 0).unionByName(per_code(b, 1))
     has_a, has_b = F.max(F.col("src") == 0), F.max(F.col("src") == 1)
-    shared = both.groupBy(key).agg((has_a & has_b).alias("shared")).agg(
-        F.count_if("shared").alias("shared")).select(F.first("shared")).scalar()
+    shared = both.groupBy(key).agg((has_a & has_b).alias("shared")).agg(F.count_if("shared")).scalar()
     row = both.groupBy("src").agg(
         F.sum("n").alias("n_rows"), F.count(key).alias("n_codes"), F.min("lo").alias("min_date"),
         F.max("hi").alias("latest_date"))

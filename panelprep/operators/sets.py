@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -40,6 +41,24 @@ def stable_sort(df: DataFrame, *order: Column | str) -> DataFrame:
     return df.orderBy(*order)
 
 
+def _block_of(value: Column, cuts: list[float]) -> Column:
+    """Number of cuts below the value, looked up in two steps of about sqrt(n) comparisons."""
+    if not cuts:
+        return F.lit(0)
+    step = max(1, math.isqrt(len(cuts)))
+    chunks = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+
+    def literal(values: list[float]) -> str:
+        return f"array({','.join(f'{v!r}D' for v in values)})"
+
+    def below(bounds: Column) -> Column:
+        return F.size(F.filter(bounds, lambda b: b < value))
+
+    full = below(F.expr(literal([c[-1] for c in chunks])))
+    rest = F.get(F.expr(f"array({','.join(literal(c) for c in chunks)})"), full)
+    return full * step + F.when(rest.isNotNull(), below(rest)).otherwise(0)
+
+
 def numbered(df: DataFrame, keys: Sequence[str], order_col: str, name: str, blocks: int | None = None) -> DataFrame:
     """1-based position of each row within its key, by a unique numeric column.
 
@@ -50,12 +69,7 @@ def numbered(df: DataFrame, keys: Sequence[str], order_col: str, name: str, bloc
     """
     blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = df.approxQuantile(order_col, [i / blocks for i in range(1, blocks)], 1 / (4 * blocks))
-    cuts = sorted(set(cuts))
-    block = F.lit(0)
-    if cuts:
-        bounds = F.array(*[F.lit(c) for c in cuts])
-        block = F.size(F.filter(bounds, lambda b: b < F.col(order_col)))
-    tagged = df.withColumn("_block", block)
+    tagged = df.withColumn("_block", _block_of(F.col(order_col), sorted(set(cuts))))
     counts = tagged.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))

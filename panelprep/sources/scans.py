@@ -127,10 +127,7 @@ def split_log(
     by = resolve_name(df, by)
     fixed = {k: v for k, v in (fixed_params or {}).items() if k.lower() != by.lower()}
     wanted = _typed_requests(df, requests, by)
-    counts = (
-        scan(df, fixed).join(wanted.select(by).distinct(), by, "left_semi")
-        .groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    counts = scan(df, fixed).groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"))
     return wanted.join(counts, by, "left").select(
         "request_pos", by, F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows")
     )
