@@ -12,7 +12,7 @@ CODE_FAMILIES = (
     ("raw_index", r"^\d{6}$"),
     ("hk", r"^\d+\.HK$"),
     ("fund", r"^[A-Za-z0-9]+\.OF$"),
-    ("wind_index", r"^[A-Za-z0-9]+\.(MI|SPI|CI)$"),
+    ("suffixed_index", r"^[A-Za-z0-9]+\.(MI|SPI|CI)$"),
     ("venue", r"^[A-Za-z]+\d*\.[A-Z]{3}$"),
 )
 UNKNOWN_FAMILY = "unknown"

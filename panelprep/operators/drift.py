@@ -41,6 +41,9 @@ def drift_weights(
     has no row in ``returns`` after the anchor in the whole period.  With ``through_next`` a period also covers the
     day of the next anchor, which is what comparing with it needs.
 
+    Anchors must be unique per (index, code, date) and returns per (code, date);
+    ``assert_unique`` checks that.
+
     ``carry`` holds more measures per (code, date) for the output, such as the
     next day's flow.  They're merged with the returns, one narrow row per code
     and day, before the panel meets either: the panel is shuffled once for both.

@@ -61,7 +61,7 @@ def hierarchy_rollup(df: DataFrame, level: int, measures: Mapping[str, str], cod
 
 def interval_join(
     facts: DataFrame, membership: DataFrame, key: str | Sequence[str], date: str, start: str, end: str,
-    *, end_inclusive: bool, how: str = "inner", bucket_days: int = 64, horizon=None,
+    *, end_inclusive: bool, how: str = "inner", bucket_days: int = 128, horizon=None,
 ) -> DataFrame:
     """Facts with the memberships in force on their day; a null end is open.
 
@@ -168,7 +168,7 @@ def snapshot_timeline(facts: DataFrame, key: str, ann_dt: str, period: str) -> D
 
 def point_in_time(
     queries: DataFrame, facts: DataFrame, key: str, trade_date: str = "trade_date", ann_dt: str = "ann_dt",
-    period: str = "report_period", bucket_days: int = 64,
+    period: str = "report_period", bucket_days: int = 128,
 ) -> DataFrame:
     """Each query row with the snapshot known on its day; null where none was.
 
@@ -187,7 +187,7 @@ def point_in_time(
 
 def as_of_universe(
     master: DataFrame, dates: DataFrame, date: str = "trade_date", start: str = "listdate",
-    end: str = "delistdate", end_inclusive: bool = False, bucket_days: int = 64,
+    end: str = "delistdate", end_inclusive: bool = False, bucket_days: int = 128,
 ) -> DataFrame:
     """Securities listed on each date, delisted ones included while they were.
 

@@ -56,7 +56,7 @@ def _block_of(value: Column, cuts: list[float]) -> Column:
 
     full = below(F.expr(literal([c[-1] for c in chunks])))
     rest = F.get(F.expr(f"array({','.join(literal(c) for c in chunks)})"), full)
-    return full * step + F.when(rest.isNotNull(), below(rest)).otherwise(0)
+    return F.coalesce(full * step + F.when(rest.isNotNull(), below(rest)).otherwise(0), F.lit(0))
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order_col: str, name: str, blocks: int | None = None) -> DataFrame:
@@ -68,17 +68,13 @@ def numbered(df: DataFrame, keys: Sequence[str], order_col: str, name: str, bloc
     row per (key, block), are ever put in one group by key.
     """
     blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = df.approxQuantile(order_col, [i / blocks for i in range(1, blocks)], 1 / (4 * blocks))
-    tagged = df.withColumn("_block", _block_of(F.col(order_col), sorted(set(cuts))))
-    counts = tagged.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    within = Window.partitionBy(*keys, "_block").orderBy(order_col)
-    placed = tagged.withColumn("_pos", F.row_number().over(within)).alias("t")
-    o = offsets.alias("o")
-    same = reduce(
-        lambda a, b: a & b, [F.col(f"t.{c}").eqNullSafe(F.col(f"o.{c}")) for c in [*keys, "_block"]]
-    )
-    return placed.join(o, same, "left").select(
-        *[F.col(f"t.{c}") for c in df.columns], (F.col("t._pos") + F.col("o._before")).alias(name)
-    )
+    cuts = df.approxQuantile(order_col, [i / blocks for i in range(1, blocks)], 1 / (20 * blocks))
+    # One struct key: equality on it treats nulls as equal, and the window, the
+    # counts and the join all work on the same partitioning.
+    tagged = df.withColumn("_key", F.struct(*keys)).withColumn("_block", _block_of(F.col(order_col), sorted(set(cuts))))
+    counts = tagged.groupBy("_key", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_key", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_key", "_block").orderBy(order_col)
+    placed = tagged.withColumn("_pos", F.row_number().over(within))
+    return placed.join(offsets, ["_key", "_block"]).select(*df.columns, (F.col("_pos") + F.col("_before")).alias(name))

@@ -22,9 +22,9 @@ def code_family_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalize_hk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The observed table writes the codes of customers with orders without padding.
-    seen = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_custkey").distinct().where(
-        F.pmod("o_custkey", F.lit(4)) == 1)
-    observed = seen.select(F.concat(F.col("o_custkey").cast("string"), F.lit(".HK")).alias("seen_code"))
+    seen = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_custkey").distinct()
+    observed = seen.where(code_family(customer_code(F.col("o_custkey"))) == "hk").select(
+        F.concat(F.col("o_custkey").cast("string"), F.lit(".HK")).alias("seen_code"))
     return codes.normalize_hk(_coded(spark, sf_dir), observed, "code", "seen_code").select(
         "c_custkey", "code", "code_norm", hk_key("code").alias("hk_key"))
 
@@ -251,7 +251,7 @@ ORACLES = {
     "code_family": f"""WITH {_CODED} SELECT c_custkey, code, {family('code')} AS family,
         split_part(code, '.', 1) AS raw FROM coded""",
     "normalize_hk": f"""WITH {_CODED}, seen AS (SELECT DISTINCT o_custkey FROM orders
-            WHERE o_orderstatus = 'F' AND o_custkey % 4 = 1)
+            WHERE o_orderstatus = 'F')
         SELECT c_custkey, code, CASE WHEN code NOT LIKE '%.HK' THEN code
             WHEN o_custkey IS NOT NULL THEN c_custkey || '.HK'
             ELSE lpad(CAST(c_custkey AS VARCHAR), greatest(4, length(CAST(c_custkey AS VARCHAR))), '0') || '.HK' END AS code_norm,

@@ -67,7 +67,7 @@ FAMILY = r"""CASE WHEN regexp_matches({c}, '^\d{{6}}\.(SZ|SH)$') THEN 'suffixed'
     WHEN regexp_matches({c}, '^\d{{6}}$') THEN 'raw_index'
     WHEN regexp_matches({c}, '^\d+\.HK$') THEN 'hk'
     WHEN regexp_matches({c}, '^[A-Za-z0-9]+\.OF$') THEN 'fund'
-    WHEN regexp_matches({c}, '^[A-Za-z0-9]+\.(MI|SPI|CI)$') THEN 'wind_index'
+    WHEN regexp_matches({c}, '^[A-Za-z0-9]+\.(MI|SPI|CI)$') THEN 'suffixed_index'
     WHEN regexp_matches({c}, '^[A-Za-z]+\d*\.[A-Z]{{3}}$') THEN 'venue' ELSE 'unknown' END"""
 
 

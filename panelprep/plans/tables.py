@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from panelprep.session import checkpoint_dir
 
@@ -70,8 +70,6 @@ def customer_spells(orders: DataFrame) -> DataFrame:
 
     One row per customer and day comes before the window.
     """
-    from pyspark.sql import Window
-
     per_day = orders.groupBy("o_custkey", F.col("o_orderdate").cast("date").alias("entry_dt")).agg(
         F.max_by("o_orderstatus", "o_orderkey").alias("status"))
     following = F.lead("entry_dt").over(Window.partitionBy("o_custkey").orderBy("entry_dt"))

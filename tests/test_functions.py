@@ -80,7 +80,7 @@ def test_meta_map(spark):
 @pytest.mark.parametrize("code, family", [
     ("000001.SZ", "suffixed"), ("510300.SH", "suffixed"), ("000300.SH", "suffixed"), ("000300", "raw_index"),
     ("0700.HK", "hk"), ("2892.HK", "hk"), ("80700.HK", "hk"), ("Au9999.SGE", "venue"), ("SHAU.SGE", "venue"),
-    ("CN5001.CI", "wind_index"), ("881001.MI", "wind_index"), ("159901.OF", "fund"), ("??", "unknown"),
+    ("CN5001.CI", "suffixed_index"), ("881001.MI", "suffixed_index"), ("159901.OF", "fund"), ("??", "unknown"),
 ])
 def test_code_family(spark, code, family):
     assert one(spark, code, fn.code_family) == family
