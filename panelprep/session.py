@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,13 +41,20 @@ def local_session(name: str = "panelprep", cpus: int | str = "*", shuffle_partit
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared folder that ``spark.checkpoint.dir`` names.
+
+    Without one, only a session whose executors run inside the driver (master
+    ``local``) gets a folder of its own; any other is an error, as executors
+    would write to disks that nobody else sees.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        named = tempfile.mkdtemp(prefix="panelprep-")
-        spark.sparkContext.setCheckpointDir(named)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(named)
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        named = f"/tmp/panelprep-{uuid.uuid4().hex}"
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(named)
     return named
 
 
