@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelprep.llm import mixing, shard_order, url_filters
+from panelprep.llm import fm_decontam, mixing, oracles, shard_order, token_store, url_filters
 from panelprep.llm.common import table
 
 
+def tokenizer_path() -> str:
+    """The production tokenizer's file, which every executor has."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filters.judge_urls(table(spark, sf_dir, "pages"))
+    return url_filters.judge_urls(table(spark, sf_dir, "pages")).drop("n_candidates")
+
+
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,5 +31,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_rows(mixing.mix_plan(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op4_sharding, op9_mixing)}
-ORACLES: dict[str, str] = {}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filters, op2_token_store, op4_sharding, op9_mixing, op10_decontamination)}
+ORACLES = oracles.ORACLES

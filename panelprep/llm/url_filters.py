@@ -99,7 +99,8 @@ def token_counts(urls: DataFrame, url_col: str, tokens: Sequence[str]) -> dict[s
     spark = urls.sparkSession
     wanted = spark.createDataFrame([(t,) for t in sorted(set(tokens))], "token string")
     found = F.array_distinct(F.split(F.lower(_subject(F.col(url_col))), "[^a-z0-9]+"))
-    counts = urls.select(F.explode(found).alias("token")).join(wanted, "token", "left_semi").groupBy("token").count()
+    # `wanted` has at most the tokens of MAX_RULES rules, so it is sent to the URLs: no URL token is shuffled
+    counts = urls.select(F.explode(found).alias("token")).join(F.broadcast(wanted), "token", "left_semi").groupBy("token").count()
     return {r["token"]: r["count"] for r in counts.collect()}
 
 
