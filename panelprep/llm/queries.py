@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelprep.llm import fm_decontam, mixing, oracles, shard_order, token_store, url_filters
+from panelprep.llm import fm_decontam, mixing, oracles, quality_trees, shard_order, token_store, url_filters
 from panelprep.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_trees.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_order.shard_plan(table(spark, sf_dir, "documents"), shards=24)
 
@@ -35,5 +39,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op2_token_store, op4_sharding, op9_mixing, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (
+    op1_url_filters, op2_token_store, op3_quality, op4_sharding, op9_mixing, op10_decontamination)}
 ORACLES = oracles.ORACLES
