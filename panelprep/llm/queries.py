@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelprep.llm import fm_decontam, mixing, oracles, outliers, quality_trees, shard_order, token_store, url_filters
+from panelprep.llm import fm_decontam, katz, mixing, oracles, outliers, quality_trees, shard_order, token_store, url_filters
 from panelprep.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op7_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(table(spark, sf_dir, "documents"))
 
 
+def op8_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_rows(mixing.mix_plan(table(spark, sf_dir, "documents")))
 
@@ -44,5 +48,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op2_token_store, op3_quality, op4_sharding, op7_outliers, op9_mixing, op10_decontamination)}
+    op1_url_filters, op2_token_store, op3_quality, op4_sharding, op7_outliers, op8_katz, op9_mixing, op10_decontamination)}
 ORACLES = oracles.ORACLES
