@@ -177,7 +177,7 @@ def _sum_pairs(sent: DataFrame, words: Words) -> DataFrame:
             run_of = np.repeat(np.arange(len(of)), mine_runs)
             unseen = np.bincount(run_of[(counts == 0) & (mine > 0)], minlength=len(of)) > 0
             need = np.flatnonzero(unseen | (lows[of].sum(axis=1) == 0) | unpack(row["split"], bool))
-            out.append((row["block"], row["chunk"], pack(need), None, None, pack(counts), pack(lows[of[need]]), pack(masses[of[need]])))
+            out.append((row["block"], row["chunk"], pack(need), None, None, pack(counts), pack(lows[of[need]].ravel()), pack(masses[of[need]])))
         kinds_of = [pa.int64()] * 2 + [pa.binary()] * 6
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds_of)], names=names)
 
