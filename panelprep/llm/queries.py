@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelprep.llm import fm_decontam, katz, minhash, mixing, oracles, outliers, quality_trees, shard_order, token_store, url_filters
+from panelprep.llm import fm_decontam, katz, minhash, mixing, oracles, outliers, quality_trees, repeats, shard_order, token_store, url_filters
 from panelprep.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("key", "class_key")
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(table(spark, sf_dir, "documents"))
 
@@ -52,5 +56,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op2_token_store, op3_quality, op4_sharding, op5_minhash, op7_outliers, op8_katz, op9_mixing, op10_decontamination)}
+    op1_url_filters, op2_token_store, op3_quality, op4_sharding, op5_minhash, op6_repeats, op7_outliers, op8_katz, op9_mixing, op10_decontamination)}
 ORACLES = oracles.ORACLES
