@@ -32,12 +32,14 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from panelprep.llm.chunks import BLOCK_WORDS, CHUNK_BYTES, answered, block_count, block_of, cuts, joined_answer, pack, unpack
+from panelprep.llm.chunks import answered, block_count, block_of, cuts, joined_answer, pack, unpack
 from panelprep.llm.common import shared_path, stored, text_or_empty
 
 LENGTH = 200
 GRAM = 100  # bytes of the substrings that anchors are chosen from
-RANGE_BYTES = 3_000_000  # of segments that one transform should have
+RANGE_BYTES = 2_000_000  # of segments that one transform should have
+CHUNK_BYTES = 4 * 1024 * 1024
+BLOCK_ANCHORS = 300_000
 MANY = 2_000  # different segments of an anchor beyond which its windows are counted by digest
 
 _PIECE = 1 << 16  # windows that are gone through at a time
@@ -346,7 +348,7 @@ _RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", texts: bool = False,
-                   chunk_bytes: int = CHUNK_BYTES, block_words: int = BLOCK_WORDS, range_bytes: int = RANGE_BYTES, many: int = MANY) -> DataFrame:
+                   chunk_bytes: int = CHUNK_BYTES, block_anchors: int = BLOCK_ANCHORS, range_bytes: int = RANGE_BYTES, many: int = MANY) -> DataFrame:
     """A row per input row: id, ``n_bytes, n_removed, n_spans, kept_sha256``; with ``texts`` also ``kept``, the bytes that stay.
 
     Every byte covered by a string of ``length`` bytes that also starts anywhere
@@ -359,7 +361,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     chunks = _text_chunks(source, chunk_bytes)
     kind = chunks.schema["ids"].dataType.elementType.simpleString()
     size = chunks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = block_count(size // 10, block_words)  # packed texts have an anchor about every ten bytes at most
+    blocks = block_count(size // 20, block_anchors)  # packed texts have an anchor about every twenty bytes
     codes = stored(_anchor_answers(chunks, blocks, length, gram, many), "anchors")
     found = stored(_first_findings(answered(chunks, codes, ["codes"], "codes"), length, gram), "findings")
     open_ = found.where("data is not null")
@@ -374,19 +376,27 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
         for batch in batches:
             for i, row in enumerate(batch.to_pylist()):
                 chunk = _Chunk(row)
-                n, ends = len(chunk.data), chunk.ends
-                starts = ends - np.diff(ends, prepend=0)
+                starts = chunk.ends - np.diff(chunk.ends, prepend=0)
                 first = np.concatenate((unpack(row["starts"], np.int64), np.array(row["more_starts"] or [], np.int64)))
-                last = np.concatenate((unpack(row["ends"], np.int64), np.array(row["more_ends"] or [], np.int64)))
-                step = np.bincount(first, minlength=n + 1) - np.bincount(last + length - 1, minlength=n + 1)
-                covered = np.cumsum(step[: n + 1]) > 0
-                begins = covered.copy()
-                begins[1:] &= ~covered[:-1]
-                begins[starts[covered[starts]]] = True
-                upto, spans = np.concatenate(([0], np.cumsum(covered))), np.concatenate(([0], np.cumsum(begins)))
-                kept = [chunk.data[a:b][~covered[a:b]].tobytes() for a, b in zip(starts.tolist(), ends.tolist())]
-                columns = [batch.column(batch.schema.get_field_index("ids"))[i].values, pa.array(ends - starts), pa.array(upto[ends] - upto[starts]),
-                           pa.array(spans[ends] - spans[starts]), pa.array([hashlib.sha256(k).hexdigest() for k in kept])]
+                last = np.concatenate((unpack(row["ends"], np.int64), np.array(row["more_ends"] or [], np.int64))) + length - 1
+                order = np.argsort(first)
+                first, upto = first[order], np.maximum.accumulate(last[order]) if len(last) else last
+                # a span begins past all before it, or in another text than they are
+                text_of = np.searchsorted(chunk.ends, first, side="right")
+                new = np.flatnonzero((first > np.append(-1, upto[:-1])[: len(first)]) | (np.diff(text_of, prepend=-1) > 0))
+                begin, end, of = first[new], upto[np.append(new[1:], len(first))[: len(new)] - 1], text_of[new]
+                size = len(starts)
+                n_spans, n_removed = np.bincount(of, minlength=size), np.bincount(of, end - begin, size).astype(np.int64)
+                view, at, kept = memoryview(chunk.bytes), 0, []
+                for a, z, spans in zip(starts.tolist(), chunk.ends.tolist(), n_spans.tolist()):
+                    parts = []
+                    for k in range(at, at + spans):
+                        parts.append(view[a : begin[k]])
+                        a = int(end[k])
+                    at += spans
+                    kept.append(b"".join([*parts, view[a:z]]))
+                columns = [batch.column(batch.schema.get_field_index("ids"))[i].values, pa.array(chunk.ends - starts), pa.array(n_removed),
+                           pa.array(n_spans), pa.array([hashlib.sha256(k).hexdigest() for k in kept])]
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(kept, pa.binary())] * texts,
                                                  names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * texts)
 

@@ -48,7 +48,7 @@ def corpus(seed):
     return texts
 
 
-@pytest.mark.parametrize("seed,bounds", [(1, {}), (2, {"chunk_bytes": 3000, "block_words": 50, "range_bytes": 20000}), (3, {"chunk_bytes": 2000, "many": 3})])
+@pytest.mark.parametrize("seed,bounds", [(1, {}), (2, {"chunk_bytes": 3000, "block_anchors": 50, "range_bytes": 20000}), (3, {"chunk_bytes": 2000, "many": 3})])
 def test_equals_count_of_windows(spark, seed, bounds):
     texts = corpus(seed)
     docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], SCHEMA)
