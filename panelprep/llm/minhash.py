@@ -30,6 +30,7 @@ from panelprep.llm.common import stored, text_or_empty
 WORDS = 5
 BANDS, ROWS = 10, 4
 THRESHOLD = 0.8
+PART = 48  # candidates of a text that are compared with it in one group
 
 _TABLE = 1 << 16
 _SHINGLE_BITS = 48
@@ -162,22 +163,30 @@ def _vectors(joined: DataFrame, wanted: DataFrame, n_docs: int) -> DataFrame:
 
 
 def _similarities(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Exact weighted Jaccard similarity of pairs ``(a, b)``."""
-    left = vectors.select(F.col("key").alias("a"), F.col("shingles").alias("sa"), F.col("weights").alias("wa"))
-    right = vectors.select(F.col("key").alias("b"), F.col("shingles").alias("sb"), F.col("weights").alias("wb"))
+    """Exact weighted Jaccard similarity of pairs ``(a, b)``.
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                _, i, j = np.intersect1d(unpack(row["sa"], np.uint64), unpack(row["sb"], np.uint64), True, True)
-                wa, wb = unpack(row["wa"], float), unpack(row["wb"], float)
-                both = np.minimum(wa[i], wb[j]).sum()
-                out.append(both / (wa.sum() + wb.sum() - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
-
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "wa", "sb", "wb").mapInArrow(
-        compare, "a string, b string, similarity double")
+    Each ``a`` is sent once to every part of some dozens of its ``b``, so that a
+    text with very many candidates is compared in many tasks.
+    """
+    per_text = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(PART)).alias("parts"))
+    placed = pairs.join(per_text, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
+    rows = placed.select("a", "part", F.col("b").alias("key")).unionByName(placed.select("a", "part", F.col("a").alias("key")).distinct())
+
+    def compare(table: pa.Table) -> pa.Table:
+        a, keys = table.column("a")[0].as_py(), table.column("key").to_pylist()
+        shingles, weights = table.column("shingles"), table.column("weights")
+        first = keys.index(a)
+        left, w = unpack(shingles[first].as_py(), np.uint64), unpack(weights[first].as_py(), float)
+        out = []
+        for k in range(len(keys)):
+            if k != first:
+                _, i, j = np.intersect1d(left, unpack(shingles[k].as_py(), np.uint64), True, True)
+                v = unpack(weights[k].as_py(), float)
+                both = np.minimum(w[i], v[j]).sum()
+                out.append((a, keys[k], both / (w.sum() + v.sum() - both)))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.string(), pa.float64()))], names=["a", "b", "similarity"])
+
+    return rows.join(vectors, "key").groupBy("a", "part").applyInArrow(compare, "a string, b string, similarity double")
 
 
 def _rare_pairs(keys: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
