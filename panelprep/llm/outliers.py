@@ -140,7 +140,7 @@ def _start(rows: DataFrame) -> DataFrame:
     bins = rows.select("group", F.posexplode("z").alias("axis", "value")).groupBy(
         "group", "axis", F.round(F.col("value") / _GRID).cast("int").alias("bin")).count()
 
-    def estimate(key, bins: pd.DataFrame) -> pd.DataFrame:
+    def estimate(key: tuple, bins: pd.DataFrame) -> pd.DataFrame:
         bins = bins.sort_values(["axis", "bin"])
         mean, spread = np.zeros(_SIZE), np.zeros(_SIZE)
         for axis, part in bins.groupby("axis"):
@@ -171,7 +171,7 @@ def _step(rows: DataFrame, estimate: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), *moments)
     factor = _consistency(CENTRE, _SIZE)
 
-    def estimate_of(key, bins: pd.DataFrame) -> pd.DataFrame:
+    def estimate_of(key: tuple, bins: pd.DataFrame) -> pd.DataFrame:
         bins = bins.sort_values("bin")
         total = bins["n"].cumsum().to_numpy()
         inner = bins.iloc[: int(np.searchsorted(total, math.ceil(CENTRE * total[-1]))) + 1]
