@@ -8,12 +8,12 @@ from panelprep.functions.text import as_col
 
 # Fixed values: (family, pattern), first match wins.
 CODE_FAMILIES = (
-    ("suffixed", r"^\d{6}\.(SZ|SH)$"),
-    ("raw_index", r"^\d{6}$"),
-    ("hk", r"^\d+\.HK$"),
-    ("fund", r"^[A-Za-z0-9]+\.OF$"),
-    ("suffixed_index", r"^[A-Za-z0-9]+\.(MI|SPI|CI)$"),
-    ("venue", r"^[A-Za-z]+\d*\.[A-Z]{3}$"),
+    ("suffixed", r"^\d{6}\.(SZ|SH)\z"),
+    ("raw_index", r"^\d{6}\z"),
+    ("hk", r"^\d+\.HK\z"),
+    ("fund", r"^[A-Za-z0-9]+\.OF\z"),
+    ("suffixed_index", r"^[A-Za-z0-9]+\.(MI|SPI|CI)\z"),
+    ("venue", r"^[A-Za-z]+\d*\.[A-Z]{3}\z"),
 )
 UNKNOWN_FAMILY = "unknown"
 

@@ -57,6 +57,3 @@ def date_between(df: DataFrame, column: str, start=None, end=None) -> Column:
         cond = cond & ((col < hi_lit) if strict else (col <= hi_lit))
     return cond
 
-
-def month_of(col: Column | str) -> Column:
-    return F.trunc(F.col(col) if isinstance(col, str) else col, "MM")

@@ -102,7 +102,7 @@ def key_value(col: Column | str, strict: bool = False) -> Column:
 
 
 def _is_digits(col: Column) -> Column:
-    return col.rlike(r"(?U)^\d+$")
+    return col.rlike(r"(?U)^\d+\z")
 
 
 def _url_decode(col: Column) -> Column:

@@ -80,7 +80,7 @@ def keep_month_ends(df: DataFrame, date: str, calendar: DataFrame, calendar_col:
 
 def with_previous_anchor(snapshots: DataFrame, start, end, key: str = "index_code", date: str = "trade_date") -> DataFrame:
     """Snapshots from ``start`` to ``end`` and, per key, the last one before ``start``."""
-    before = snapshots.where(date_between(snapshots, date, None, end) & (F.col(date) < F.lit(parse_date(start))))
+    before = snapshots.where(date_between(snapshots, date, None, end) & (as_date(date, snapshots.schema[date].dataType) < F.lit(parse_date(start))))
     last = before.groupBy(key).agg(F.max(date).alias(date))
     previous = before.join(last, [key, date], "left_semi")
     return snapshots.where(date_between(snapshots, date, start, end)).unionByName(previous)

@@ -20,13 +20,17 @@ def return_from_price(
     df: DataFrame, key: str = "con_code", date: str = "trade_date", price: str = "close",
     adj_price: str | None = None, name: str = "ret",
 ) -> DataFrame:
-    """Return over the key's previous quoted day; adjusted price where there is one.
+    """Return over the key's previous quoted day.
 
-    Needs one row per (key, date); the window is then at most one row per day.
+    Where both days have an adjusted price it's their ratio, else the ratio of the
+    raw ones: a raw price is never divided by an adjusted one.  Needs one row per
+    (key, date); the window is then at most one row per day.
     """
-    used = F.coalesce(F.col(adj_price), F.col(price)) if adj_price else F.col(price)
     by_key = Window.partitionBy(key).orderBy(date)
-    return df.withColumn(name, F.try_divide(used, F.lag(used).over(by_key)) - 1)
+    change = F.try_divide(F.col(price), F.lag(price).over(by_key))
+    if adj_price:
+        change = F.coalesce(F.try_divide(F.col(adj_price), F.lag(adj_price).over(by_key)), change)
+    return df.withColumn(name, change - 1)
 
 
 def drift_weights(

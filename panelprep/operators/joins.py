@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from panelprep.functions.dates import parse_date
 from panelprep.functions.codes import CODE_FAMILIES, UNKNOWN_FAMILY, code_family, hierarchy_key, prefix_len
 from panelprep.sources.scans import distinct_dates
 
@@ -61,7 +62,7 @@ def hierarchy_rollup(df: DataFrame, level: int, measures: Mapping[str, str], cod
 
 def interval_join(
     facts: DataFrame, membership: DataFrame, key: str | Sequence[str], date: str, start: str, end: str,
-    *, end_inclusive: bool, how: str = "inner", bucket_days: int = 128, horizon=None,
+    *, end_inclusive: bool, how: str = "inner", bucket_days: int = 128, bounds: tuple | None = None,
 ) -> DataFrame:
     """Facts with the memberships in force on their day; a null end is open.
 
@@ -71,21 +72,27 @@ def interval_join(
     The join is on (key, bucket of days): a membership is repeated once per
     bucket that it touches, a fact sits in one.  So a fact is only tested
     against its own bucket's memberships, and a hot key is spread over its
-    buckets instead of landing in one task.  ``horizon``, the last day that
-    matters, bounds open ends; left out, it's read from the facts' date column.
+    buckets instead of landing in one task.  Memberships are only spread over
+    days that facts can have: between ``bounds``, a first and a last day, if given,
+    facts outside of which match nothing; else between the facts' own first and
+    last day, which are read from their date column in a pass of its own.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     keys = [key] if isinstance(key, str) else list(key)
-    horizon = facts.select(F.max(date)).scalar() if horizon is None else F.lit(horizon).cast("date")
-    last = F.coalesce(F.col(end), horizon)
-    first_bucket = F.floor(_days(start) / bucket_days)
-    last_bucket = F.floor(_days(F.least(last, horizon)) / bucket_days)
+    if bounds is None:
+        low, high = facts.select(F.min(date)).scalar().cast("date"), facts.select(F.max(date)).scalar().cast("date")
+    else:
+        low, high = (F.lit(parse_date(d)).cast("date") for d in bounds)
+    first_bucket = F.floor(_days(F.greatest(F.col(start).cast("date"), low)) / bucket_days)
+    last_bucket = F.floor(_days(F.least(F.coalesce(F.col(end).cast("date"), high), high)) / bucket_days)
     buckets = F.when(first_bucket <= last_bucket, F.sequence(first_bucket, last_bucket))
     m = membership.withColumn("_bucket", F.explode(buckets)).alias("m")
     f = facts.withColumn("_bucket", F.floor(_days(date) / bucket_days)).alias("f")
     day, s, e = F.col(f"f.{date}"), F.col(f"m.{start}"), F.col(f"m.{end}")
     inside = (s <= day) & (e.isNull() | ((day <= e) if end_inclusive else (day < e)))
+    if bounds is not None:
+        inside = inside & (day.cast("date") >= low) & (day.cast("date") <= high)
     on = _all(F.col(f"f.{k}") == F.col(f"m.{k}") for k in [*keys, "_bucket"]) & inside
     joined = f.join(m, on, how)
     left = [F.col(f"f.{c}") for c in facts.columns]

@@ -133,7 +133,6 @@ def page_limit_check(
         F.count(F.lit(1)).alias("pages"), F.max(rows).alias("most"), F.min(rows).alias("least"))
     per_api = per_request.groupBy(api).agg(
         F.sum("pages").alias("n_pages"), F.max("most").alias("max_rows"),
-        F.count_if(F.col("most") == F.col("least")).alias("_flat"),
         F.max(F.when((F.col("most") == F.col("least")) & (F.col("pages") > 1), F.col("most"))).alias("_full"),
     )
     number = F.regexp_replace(F.regexp_extract(limit_text, r"(\d[\d,]*)", 1), ",", "")
@@ -186,23 +185,24 @@ def compare_sources(
 ) -> DataFrame:
     """One row per source: rows, codes, date span, and codes shared with the other.
 
-    Each source is reduced to one row per code before anything is compared.
+    Each source is read once and reduced to one row per code before anything is
+    compared.  Rows without a code count as rows, not as a code.
     """
-    def per_code(df: DataFrame, n: int) -> DataFrame:
-        day = as_date(date, df.schema[date].dataType)
-        return df.groupBy(F.col(key)).agg(
-            F.count(F.lit(1)).alias("n"), F.min(day).alias("lo"), F.max(day).alias("hi")
-        ).withColumn("src", F.lit(n))
-
-    both = per_code(a, 0).unionByName(per_code(b, 1))
-    has_a, has_b = F.max(F.col("src") == 0), F.max(F.col("src") == 1)
-    shared = both.groupBy(key).agg((has_a & has_b).alias("shared")).agg(F.count_if("shared")).scalar()
-    row = both.groupBy("src").agg(
-        F.sum("n").alias("n_rows"), F.count(key).alias("n_codes"), F.min("lo").alias("min_date"),
-        F.max("hi").alias("latest_date"))
-    return row.select(
-        F.when(F.col("src") == 0, names[0]).otherwise(names[1]).alias("source"), "n_rows", "n_codes", "min_date",
-        "latest_date", shared.alias("shared_codes"))
+    def tagged(df: DataFrame, n: int) -> DataFrame:
+        return df.select(F.col(key).alias("code"), as_date(date, df.schema[date].dataType).alias("day"), F.lit(n).alias("src"))
+
+    both = tagged(a, 0).unionByName(tagged(b, 1))
+    mine = [F.col("src") == 0, F.col("src") == 1]
+    per_code = both.groupBy("code").agg(*[c for i in (0, 1) for c in (
+        F.count_if(mine[i]).alias(f"n{i}"), F.min(F.when(mine[i], F.col("day"))).alias(f"lo{i}"), F.max(F.when(mine[i], F.col("day"))).alias(f"hi{i}"))])
+    known = F.col("code").isNotNull()
+    total = per_code.agg(F.count_if(known & (F.col("n0") > 0) & (F.col("n1") > 0)).alias("shared_codes"), *[c for i in (0, 1) for c in (
+        F.sum(f"n{i}").alias(f"n{i}"), F.count_if(known & (F.col(f"n{i}") > 0)).alias(f"codes{i}"),
+        F.min(f"lo{i}").alias(f"lo{i}"), F.max(f"hi{i}").alias(f"hi{i}"))])
+    rows = F.array(*[F.struct(
+        F.lit(names[i]).alias("source"), F.col(f"n{i}").alias("n_rows"), F.col(f"codes{i}").alias("n_codes"), F.col(f"lo{i}").alias("min_date"),
+        F.col(f"hi{i}").alias("latest_date"), "shared_codes") for i in (0, 1)])
+    return total.select(F.inline(F.filter(rows, lambda r: r["n_rows"] > 0)))
 
 
 def latest_complete_date(

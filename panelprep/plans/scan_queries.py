@@ -22,7 +22,8 @@ def _requests(spark: SparkSession) -> DataFrame:
 
 
 def scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    params = merge_params(["l_linestatus=O"], '{"l_linestatus": "F", "l_returnflag": ["A", "R"]}')
+    settings = spark.createDataFrame([(1, "l_linestatus=O")], "pos int, text string")
+    params = merge_params({"l_linestatus": "F", "l_returnflag": ["A", "R"]}, settings)
     params["l_shipdate"] = Between("19960101", "19971231")
     out = scan(table(spark, sf_dir, "lineitem"), params, "l_orderkey,l_linenumber,l_shipdate,L_EXTENDEDPRICE")
     return out.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
@@ -34,6 +35,19 @@ def split_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "o_orderkey,o_totalprice")
 
 
+DAYS = ["2024-01-01", "20240103", "2024-01-01", "no day", "19000101"]
+
+
+def split_scan_days_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = spark.createDataFrame(list(enumerate(DAYS, start=1)), "pos int, value string")
+    return split_scan(table(spark, sf_dir, "events"), days, "ts", fields="event_id").select("request_pos", "event_id")
+
+
+def split_log_days_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = spark.createDataFrame(list(enumerate(DAYS, start=1)), "pos int, value string")
+    return split_log(table(spark, sf_dir, "events"), days, "ts").withColumnRenamed("ts", "day")
+
+
 def split_log_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_log(table(spark, sf_dir, "orders"), _requests(spark), "o_orderpriority")
 
@@ -50,7 +64,7 @@ def interval_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def values_to_intervals_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    busy = orders.groupBy(F.col("o_orderdate").cast("date").alias("trade_date")).count().where("count >= 7")
+    busy = orders.groupBy(F.col("o_orderdate").cast("date").alias("trade_date")).count().where("count >= 2")
     out = values_to_intervals(busy, weekday_calendar(orders))
     return out.withColumn("n_dates", F.col("n_dates").cast("long"))
 
@@ -103,7 +117,7 @@ def write_round_trip(fmt: str):
         names = _names(spark, sf_dir)
         path = write(names, scratch_path(spark, f"names.{fmt}"))
         reader = spark.read.schema(names.schema)
-        return {"csv": lambda: reader.csv(path, header=True), "json": lambda: reader.json(path),
+        return {"csv": lambda: reader.csv(path, header=True, escape='"'), "json": lambda: reader.json(path),
                 "parquet": lambda: reader.parquet(path)}[fmt]()
 
     return query
@@ -217,6 +231,8 @@ QUERIES = {
     "scan": scan_query,
     "split_scan": split_scan_query,
     "split_log": split_log_query,
+    "split_scan_days": split_scan_days_query,
+    "split_log_days": split_log_days_query,
     "split_summary": split_summary_query,
     "split_read_paths": split_read_paths_query,
     "interval_scan": interval_scan_query,
@@ -244,8 +260,10 @@ QUERIES = {
 }
 
 _REQ = "(VALUES (1, '1-URGENT'), (2, '5-LOW'), (3, '1-URGENT'), (4, '9-NONE')) AS r(request_pos, value)"
-_SPLIT_LOG = f"""SELECT r.request_pos, r.value AS o_orderpriority, count(o.o_orderkey) AS n_rows
-    FROM {_REQ} LEFT JOIN orders o ON o.o_orderpriority = r.value GROUP BY 1, 2"""
+_DAYS = """(VALUES (1, '2024-01-01', DATE '2024-01-01'), (2, '20240103', DATE '2024-01-03'), (3, '2024-01-01', DATE '2024-01-01'),
+    (4, 'no day', CAST(NULL AS DATE)), (5, '19000101', DATE '1900-01-01')) AS d(pos, requested, day)"""
+_SPLIT_LOG = f"""SELECT r.request_pos, r.value AS requested, r.value AS o_orderpriority, count(o.o_orderkey) AS n_rows
+    FROM {_REQ} LEFT JOIN orders o ON o.o_orderpriority = r.value GROUP BY 1, 2, 3"""
 _NAMES = """SELECT lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS code,
     CASE WHEN p_size > 5 THEN p_name END AS name FROM part"""
 
@@ -256,6 +274,9 @@ ORACLES = {
     "split_scan": f"""SELECT r.request_pos, o.o_orderpriority, o.o_orderkey, o.o_totalprice
         FROM {_REQ} JOIN orders o ON o.o_orderpriority = r.value WHERE o.o_orderstatus = 'F'""",
     "split_log": _SPLIT_LOG,
+    "split_scan_days": f"SELECT pos AS request_pos, event_id FROM {_DAYS} JOIN events ON CAST(ts AS DATE) = day",
+    "split_log_days": f"""SELECT pos AS request_pos, requested, day, count(event_id) AS n_rows
+        FROM {_DAYS} LEFT JOIN events ON CAST(ts AS DATE) = day GROUP BY 1, 2, 3""",
     "split_summary": f"""SELECT count(*) AS requests, count(*) FILTER (n_rows > 0) AS with_rows,
         CAST(sum(n_rows) AS BIGINT) AS n_rows FROM ({_SPLIT_LOG})""",
     "split_read_paths": """SELECT pos AS request_pos, s AS slice,
@@ -266,11 +287,12 @@ ORACLES = {
         WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1998-06-30'
         AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
     "values_to_intervals": f"""WITH {CALENDAR},
-        busy AS (SELECT CAST(o_orderdate AS DATE) AS trade_date FROM orders GROUP BY 1 HAVING count(*) >= 7),
+        busy AS (SELECT CAST(o_orderdate AS DATE) AS trade_date FROM orders GROUP BY 1 HAVING count(*) >= 2),
         hit AS (SELECT trade_date, idx - row_number() OVER (ORDER BY trade_date) AS island
                 FROM calx WHERE trade_date IN (SELECT trade_date FROM busy))
         SELECT min(trade_date) AS start_date, max(trade_date) AS end_date, count(*) AS n_dates
-        FROM hit GROUP BY island""",
+        FROM hit GROUP BY island
+        UNION ALL SELECT trade_date, trade_date, 1 FROM busy WHERE trade_date NOT IN (SELECT trade_date FROM calx)""",
     "head": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25",
     "read_pages": "SELECT page_id, url, length(html) AS n_chars FROM pages",
     "read_values_csv": f"SELECT code AS value FROM ({_NAMES})",

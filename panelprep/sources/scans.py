@@ -9,6 +9,7 @@ from typing import Any, NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from panelprep.functions.dates import as_date, date_between, is_date_like, parse_date
+from panelprep.functions.text import key_value, literal_type
 
 
 class Between(NamedTuple):
@@ -18,26 +19,26 @@ class Between(NamedTuple):
     hi: Any = None
 
 
-def merge_params(pairs: Iterable[str] = (), params_json: str | None = None) -> dict[str, Any]:
-    """Parameter map from a JSON object and ``key=value`` items; the items win."""
-    params: dict[str, Any] = {}
-    if params_json:
-        try:
-            data = json.loads(params_json)
-        except json.JSONDecodeError as exc:
-            raise ValueError(f"parameters are not valid JSON: {exc}") from exc
-        if not isinstance(data, dict):
-            raise ValueError("parameters must be a JSON object")
-        params.update(data)
-    for item in pairs:
-        key, sign, text = item.partition("=")
-        if not sign or not key.strip():
-            raise ValueError(f"expected key=value, got {item!r}")
-        try:
-            params[key.strip()] = json.loads(text)
-        except json.JSONDecodeError:
-            params[key.strip()] = text
-    return params
+_NATIVE = {"int": int, "float": float, "bool": lambda text: text == "true", "null": lambda text: None,
+           "array": json.loads, "object": json.loads, "string": str}
+
+
+def merge_params(base: Mapping[str, Any] | None = None, settings: DataFrame | None = None) -> dict[str, Any]:
+    """``base`` overridden by a table ``(pos, text)`` of ``key=value`` settings, later ones last.
+
+    The texts go through the library's own ``key_value`` and ``literal_type``.
+    Settings are what a caller types in, so they're few.
+    """
+    merged = dict(base or {})
+    if settings is None:
+        return merged
+    split = settings.select("pos", "text", key_value("text").alias("kv"))
+    typed = split.select("pos", "text", "kv.key", "kv.valid", literal_type(F.col("kv.value")).alias("literal"))
+    for row in typed.orderBy("pos").collect():
+        if not row["valid"]:
+            raise ValueError(f"not a key=value setting: {row['text']!r}")
+        merged[row["key"]] = _NATIVE[row["literal"]["kind"]](row["literal"]["text"])
+    return merged
 
 
 def _param_condition(df: DataFrame, name: str, value: Any) -> Column:
@@ -93,11 +94,18 @@ def scan(df: DataFrame, params: Mapping[str, Any] | None = None, fields: str | I
 
 
 def _typed_requests(df: DataFrame, requests: DataFrame, by: str) -> DataFrame:
+    """``(request_pos, requested, _asked)``: the request as it was given, and as a value of ``by`` (a day, if that holds times)."""
     dtype = df.schema[by].dataType
     value = F.col("value")
-    if is_date_like(dtype) and isinstance(requests.schema["value"].dataType, T.StringType):
-        value = F.coalesce(F.try_to_date(value, "yyyyMMdd"), value.try_cast("date"))
-    return requests.select(F.col("pos").alias("request_pos"), value.try_cast(dtype).alias(by))
+    if is_date_like(dtype):
+        if isinstance(requests.schema["value"].dataType, T.StringType):
+            value = F.coalesce(F.try_to_date(value, "yyyyMMdd"), value.try_cast("date"))
+        dtype = T.DateType()
+    return requests.select(F.col("pos").alias("request_pos"), F.col("value").cast("string").alias("requested"), value.try_cast(dtype).alias("_asked"))
+
+
+def _asked(df: DataFrame, by: str) -> Column:
+    return as_date(by, df.schema[by].dataType) if is_date_like(df.schema[by].dataType) else F.col(by)
 
 
 def split_scan(
@@ -107,9 +115,10 @@ def split_scan(
     """One slice per requested value, all slices in one join.
 
     ``requests`` is ``(pos, value)``; a repeated value repeats its rows and
-    ``request_pos`` keeps the order.  ``by`` overrides a fixed parameter of the
-    same name.  No broadcast is forced: a request list that is really small gets
-    broadcast on its size, a long one is shuffled.
+    ``request_pos`` keeps the order.  A column of times is split by day.  ``by``
+    overrides a fixed parameter of the same name.  No broadcast is forced: a
+    request list that is really small gets broadcast on its size, a long one is
+    shuffled.
     """
     by = resolve_name(df, by)
     fixed = {k: v for k, v in (fixed_params or {}).items() if k.lower() != by.lower()}
@@ -117,19 +126,24 @@ def split_scan(
     narrowed = scan(base, None, fields)
     if by not in narrowed.columns:
         narrowed = base.select(*narrowed.columns, by)
-    return narrowed.join(_typed_requests(df, requests, by), by, "inner")
+    keyed = narrowed.withColumn("_asked", _asked(narrowed, by))
+    wanted = _typed_requests(df, requests, by).drop("requested")
+    return keyed.join(wanted, "_asked", "inner").select(*narrowed.columns, "request_pos")
 
 
 def split_log(
     df: DataFrame, requests: DataFrame, by: str, fixed_params: Mapping[str, Any] | None = None
 ) -> DataFrame:
-    """Rows per request, zero included.  Counts are taken before the join."""
+    """Rows per request, zero included: ``request_pos, requested, by, n_rows``.
+
+    ``requested`` is the request's text, ``by`` the value or day it stands for
+    (null if it's none).  Counts are taken before the join.
+    """
     by = resolve_name(df, by)
     fixed = {k: v for k, v in (fixed_params or {}).items() if k.lower() != by.lower()}
-    wanted = _typed_requests(df, requests, by)
-    counts = scan(df, fixed).groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"))
-    return wanted.join(counts, by, "left").select(
-        "request_pos", by, F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows")
+    counts = scan(df, fixed).groupBy(_asked(df, by).alias("_asked")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return _typed_requests(df, requests, by).join(counts, "_asked", "left").select(
+        "request_pos", "requested", F.col("_asked").alias(by), F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows")
     )
 
 
@@ -168,17 +182,20 @@ def calendar_index(calendar: DataFrame, column: str = "trade_date") -> DataFrame
 def values_to_intervals(
     dates: DataFrame, calendar: DataFrame, date_col: str = "trade_date", calendar_col: str = "trade_date"
 ) -> DataFrame:
-    """Fewest contiguous ranges over the calendar that cover the given dates."""
-    wanted = calendar_index(calendar, calendar_col).join(
-        F.broadcast(distinct_dates(dates, date_col)), "trade_date", "left_semi"
-    )
+    """Fewest contiguous ranges over the calendar that cover the given dates.
+
+    A date that isn't on the calendar is a range of its own.
+    """
+    asked = distinct_dates(dates, date_col)
+    days = calendar_index(calendar, calendar_col)
+    wanted = days.join(F.broadcast(asked), "trade_date", "left_semi")
     island = F.col("idx") - F.row_number().over(Window.orderBy("trade_date"))
-    return (
-        wanted.withColumn("island", island).groupBy("island")
-        .agg(F.min("trade_date").alias("start_date"), F.max("trade_date").alias("end_date"),
-             F.count(F.lit(1)).alias("n_dates"))
-        .drop("island")
-    )
+    ranges = wanted.withColumn("island", island).groupBy("island").agg(
+        F.min("trade_date").alias("start_date"), F.max("trade_date").alias("end_date"), F.count(F.lit(1)).alias("n_dates")
+    ).drop("island")
+    off = asked.join(F.broadcast(days), "trade_date", "left_anti")
+    return ranges.unionByName(off.select(
+        F.col("trade_date").alias("start_date"), F.col("trade_date").alias("end_date"), F.lit(1).cast("long").alias("n_dates")))
 
 
 def head(df: DataFrame, n: int, order: Iterable[Column | str] = ()) -> DataFrame:

@@ -35,7 +35,7 @@ def write(
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if kind == "csv":
-        writer.option("header", True).csv(path)
+        writer.option("header", True).option("escape", '"').csv(path)
     elif kind == "json":
         writer.option("ignoreNullFields", False).json(path)
     else:

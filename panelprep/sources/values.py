@@ -4,35 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from panelprep.functions.text import as_col, literal_type, strip
 
 
+MAX_DOCUMENT_BYTES = 16 * 1024 * 1024
+
+
 def _suffix(path: str) -> str:
     name = path.rstrip("/").rsplit("/", 1)[-1].lower()
     return name.rsplit(".", 1)[-1] if "." in name else ""
 
 
-def _with_pos(df: DataFrame) -> DataFrame:
-    # Increasing in file order, with gaps: no shuffle and no single task.
-    return df.select(F.monotonically_increasing_id().alias("pos"), "value").where(
-        F.col("value").isNotNull() & (F.col("value") != "")
-    )
+def _file_order() -> Column:
+    """Sorts like file, then place in the file; tasks take blocks in any order, but a block's rows in their own."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
+def _with_pos(df: DataFrame, value: Column) -> DataFrame:
+    # No shuffle and no single task: ``pos`` orders values, it doesn't count them.
+    return df.select(_file_order().alias("pos"), value.alias("value")).where(F.col("value").isNotNull() & (F.col("value") != ""))
 
 
 def read_values(
-    spark: SparkSession, path: str, column: str | None = None, fmt: str | None = None, header: bool = True
+    spark: SparkSession, path: str, column: str | None = None, fmt: str | None = None, header: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Value list ``(pos, value)`` from a txt, csv, tsv, json or jsonl file or folder.
 
     ``json`` is one document: an array, or an object that holds one.  ``jsonl`` is
     one record per line, which is what ``write`` makes and what splits over tasks.
 
-    Values stay text (``000300`` keeps its zeros); ``literal_type`` types them.
-    ``pos`` follows file order.  Blank values are dropped, a missing file is an
-    error.
+    Values stay text (``000300`` keeps its zeros); ``typed_values`` types them.
+    ``pos`` sorts in the order of files and of lines in them.  Blank values are
+    dropped, a missing file is an error.  With ``multi_line`` a quoted csv cell may
+    hold line breaks; a file is then read by one task, so it's off by default.
     """
     kind = (fmt or _suffix(path)).lower()
     if kind == "json":
@@ -41,14 +51,32 @@ def read_values(
         return _json_line_values(spark, path, column)
     if kind in ("csv", "tsv"):
         sep = "\t" if kind == "tsv" else ","
-        raw = spark.read.csv(path, sep=sep, header=header, inferSchema=False, encoding="UTF-8")
+        raw = spark.read.csv(path, sep=sep, header=header, inferSchema=False, encoding="UTF-8", escape='"', multiLine=multi_line)
         if not raw.columns:
-            return spark.createDataFrame([], "pos long, value string")
+            return spark.createDataFrame([], "pos struct<file:string,block:long,row:long>, value string")
         name = (column or raw.columns[0]) if header else raw.columns[0]
         if name not in raw.columns:
             raise ValueError(f"no column {name!r} in {path}; available: {', '.join(raw.columns)}")
-        return _with_pos(raw.select(strip(F.col(f"`{name}`")).alias("value")))
-    return _with_pos(spark.read.text(path).select(strip("value").alias("value")))
+        return _with_pos(raw, strip(F.col(f"`{name}`")))
+    return _with_pos(spark.read.text(path), strip("value"))
+
+
+def typed_values(values: DataFrame) -> DataFrame:
+    """A value list's texts as ``(pos, text, kind)``."""
+    return values.select("pos", literal_type("value").alias("v")).select("pos", "v.text", "v.kind")
+
+
+def with_inline(values: DataFrame, inline: str) -> DataFrame:
+    """A typed file list extended by an inline one: ``(part, pos, text, kind)``, ``part`` 0 before 1.
+
+    ``pos`` becomes text that sorts as before within its part.
+    """
+    spark = values.sparkSession
+    given = spark.range(1).select(F.posexplode(parse_value_list(F.lit(inline))).alias("pos", "v"))
+    first = values.select(F.lit(0).alias("part"), F.concat_ws(
+        "#", "pos.file", F.lpad(F.col("pos.block").cast("string"), 20, "0"), F.lpad(F.col("pos.row").cast("string"), 20, "0")).alias("pos"), "text", "kind")
+    return first.unionByName(given.select(
+        F.lit(1).alias("part"), F.lpad(F.col("pos").cast("string"), 20, "0").alias("pos"), "v.text", "v.kind"))
 
 
 def _field(item: Column, column: str | None, path: str) -> Column:
@@ -70,11 +98,14 @@ def _json_line_values(spark: SparkSession, path: str, column: str | None) -> Dat
     bad = F.raise_error(F.concat(F.lit(f"{path}: not JSON: "), F.col("value"))).cast("string")
     value = F.when(item.isNull(), bad).when(_is_object(item), _field(item, column, path)).otherwise(item.cast("string"))
     rows = spark.read.text(path).where(strip("value") != "")
-    return rows.select(F.monotonically_increasing_id().alias("pos"), value.alias("value"))
+    return rows.select(_file_order().alias("pos"), value.alias("value"))
 
 
 def _json_values(spark: SparkSession, path: str, column: str | None) -> DataFrame:
-    # One JSON document is one record for Spark, whatever reads it.
+    # One JSON document is one record for Spark, whatever reads it, and a parsed one has a size limit.
+    size = spark.read.format("binaryFile").load(path).select("length").agg(F.max("length")).first()[0] or 0
+    if size > MAX_DOCUMENT_BYTES:
+        raise ValueError(f"a JSON document of {size} bytes under {path} can't be parsed as one value; write one record per line (jsonl)")
     doc = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("doc"))
     array = "array<variant>"
     top = F.try_variant_get("doc", "$", array)
@@ -104,7 +135,10 @@ def parse_value_list(col: Column | str, strict: bool = True) -> Column:
     raw = strip(as_col(col))
     plain = F.filter(F.transform(F.split(raw, ","), strip), lambda x: x != "")
     items = F.try_variant_get(F.try_parse_json(raw), "$", "array<variant>")
-    as_literals = F.transform(items, lambda v: literal_type(F.to_json(v)))
+    # a parsed 1.0 is an integer: numbers are typed from their text, which keeps a float one (1.50 becomes 1.5)
+    texts = F.from_json(raw, "array<string>")
+    as_literals = F.zip_with(items, texts, lambda v, text: literal_type(
+        F.when(F.schema_of_variant(v).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), text).otherwise(F.to_json(v))))
     if strict:
         failed = F.raise_error(F.concat(F.lit("not a JSON array: "), raw)).cast(
             "array<struct<text:string,kind:string>>")
@@ -122,17 +156,21 @@ def split_read_paths(
 ) -> tuple[DataFrame, DataFrame]:
     """Stored slices as one scan, plus a log ``(request_pos, path, status)``.
 
-    A slice that can't be opened is an error, or is skipped and logged with
-    ``continue_on_error``; if every slice fails it's an error either way, and no
-    slices give an empty frame.  ``paths`` is the caller's request list; only
-    their listing happens on the driver.
+    A slice that can't be read is an error, or is left out and logged as failed
+    with ``continue_on_error``; if every slice fails it's an error either way, and
+    no slices give an empty frame.  To know before anything is used,
+    ``continue_on_error`` reads each slice once on its own, all its columns; what
+    breaks later is an error, so no slice is ever lost in part.  ``paths`` is the
+    caller's request list.
     """
     good: list[str] = []
     log: list[tuple[int, str, str]] = []
     for pos, path in enumerate(paths, start=1):
         try:
-            spark.read.schema(schema).parquet(path)
-        except AnalysisException:
+            slice_ = spark.read.schema(schema).option("ignoreCorruptFiles", False).parquet(path)
+            if continue_on_error:
+                slice_.write.format("noop").mode("overwrite").save()
+        except (PySparkException, Py4JJavaError):  # a file that breaks while it's read is the JVM's error
             if not continue_on_error:
                 raise
             log.append((pos, path, "failed"))
@@ -144,8 +182,7 @@ def split_read_paths(
         if log:
             raise ValueError("all slices failed")
         return spark.createDataFrame([], schema), log_df
-    reader = spark.read.schema(schema).option("ignoreCorruptFiles", str(continue_on_error).lower())
-    return reader.parquet(*good), log_df
+    return spark.read.schema(schema).option("ignoreCorruptFiles", False).parquet(*good), log_df
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelprep.operators import sets
 from panelprep.sources import (
     Between, head, interval_scan, merge_params, parse_value_list, read_values, resolve_format, scan, split_log,
-    split_read_paths, split_scan, split_summary, values_to_intervals, write,
+    split_read_paths, split_scan, split_summary, typed_values, values_to_intervals, with_inline, write,
 )
 
 
@@ -79,11 +79,17 @@ def test_inline_list(spark):
         df.select(parse_value_list("v")).collect()
 
 
-def test_merge_params():
-    assert merge_params(["a=2", " b =x=y", 'c=["q"]'], '{"a": 1, "d": null}') == {"a": 2, "d": None, "b": "x=y", "c": ["q"]}
-    for pairs, text in ((["novalue"], None), (["=x"], None), ([], "[1]"), ([], "{")):
+def test_merge_params(spark):
+    def settings(*texts):
+        return spark.createDataFrame(list(enumerate(texts)), "pos int, text string")
+
+    base = {"a": 1, "d": None}
+    got = merge_params(base, settings("a=2", " b =x=y", 'c=["q"]', "e=1.50", "f=true", "g=000300", "a=3"))
+    assert got == {"a": 3, "d": None, "b": "x=y", "c": ["q"], "e": 1.5, "f": True, "g": "000300"}
+    assert base == {"a": 1, "d": None} and merge_params(base) == base
+    for text in ("novalue", "=x"):
         with pytest.raises(ValueError):
-            merge_params(pairs, text)
+            merge_params({}, settings(text))
 
 
 def test_scan(spark, rows):
@@ -115,6 +121,51 @@ def test_split_by_date_text(spark):
     assert sorted(r["v"] for r in split_scan(df, requests, "trade_date").collect()) == [1, 2]
 
 
+def test_split_by_day_of_times(spark, rows):
+    df = spark.createDataFrame([(dt.datetime(2026, 3, 9, 10), 1), (dt.datetime(2026, 3, 9, 23), 2), (dt.datetime(2026, 3, 10), 3)], "t timestamp, v int")
+    requests = spark.createDataFrame([(1, "20260309"), (2, "not a day")], "pos int, value string")
+    assert rows(split_scan(df, requests, "t"), "request_pos", "v") == [(1, 1), (1, 2)]
+    log = rows(split_log(df, requests, "t"))
+    assert log == [(1, "20260309", dt.date(2026, 3, 9), 2), (2, "not a day", None, 0)]
+
+
+def test_corrupt_slice_is_logged(spark, tmp_path):
+    for name in ("good", "bad"):
+        spark.range(5).selectExpr("CAST(id AS INT) AS v").coalesce(1).write.parquet(str(tmp_path / name))
+    part = next((tmp_path / "bad").glob("part-*.parquet"))
+    part.write_bytes(part.read_bytes()[:40])
+    (tmp_path / "bad" / f".{part.name}.crc").unlink()
+    out, log = split_read_paths(spark, [str(tmp_path / n) for n in ("good", "bad")], "v int", continue_on_error=True)
+    assert out.count() == 5
+    assert [r["status"] for r in log.orderBy("request_pos").collect()] == ["ok", "failed"]
+
+
+def test_values_follow_files_and_quotes(spark, tmp_path):
+    folder = tmp_path / "v.txt"
+    folder.mkdir()
+    (folder / "part-0.txt").write_text("first\n")
+    (folder / "part-1.txt").write_text("".join(f"v{i}\n" for i in range(50)))
+    assert values(read_values(spark, str(folder), fmt="txt")) == ["first", *(f"v{i}" for i in range(50))]
+    path = write(spark.createDataFrame([('a "b" c',), ("x, y",)], "name string"), str(tmp_path / "q.csv"))
+    assert sorted(values(read_values(spark, path))) == ['a "b" c', "x, y"]
+    (tmp_path / "m.csv").write_text('name\n"two\nlines"\n"say ""x"""\n')
+    assert values(read_values(spark, str(tmp_path / "m.csv"), multi_line=True)) == ["two\nlines", 'say "x"']
+
+
+def test_typed_and_inline_values(spark, tmp_path):
+    (tmp_path / "v.txt").write_text("000300\n7\n1.50\n")
+    typed = typed_values(read_values(spark, str(tmp_path / "v.txt")))
+    both = with_inline(typed, "8,[x").orderBy("part", "pos")
+    assert [(r["text"], r["kind"]) for r in both.collect()] == [
+        ("000300", "string"), ("7", "int"), ("1.50", "float"), ("8", "int"), ("[x", "string")]
+
+
+def test_inline_numbers_keep_their_kind(spark):
+    got = spark.sql("SELECT '[1.0, 100.0, 1.50, 2, 1e3, \"1.0\"]' AS v").select(parse_value_list("v").alias("x")).first()["x"]
+    assert [tuple(x) for x in got] == [
+        ("1.0", "float"), ("100.0", "float"), ("1.5", "float"), ("2", "int"), (got[4]["text"], "float"), ("1.0", "string")]
+
+
 def test_slices(spark, tmp_path):
     for name, value in (("a", 1), ("b", 2)):
         spark.createDataFrame([(value,)], "v int").write.parquet(str(tmp_path / name))
@@ -142,7 +193,7 @@ def test_values_to_intervals(spark, rows):
     days = [dt.date(2026, 3, d) for d in (5, 6, 9, 10, 11)]
     calendar = spark.createDataFrame([(d,) for d in days], "trade_date date")
     asked = spark.createDataFrame([("20260306",), ("20260309",), ("20260311",), ("20260307",), ("20260309",)], "trade_date string")
-    assert rows(values_to_intervals(asked, calendar)) == [(days[1], days[2], 2), (days[4], days[4], 1)]
+    assert rows(values_to_intervals(asked, calendar)) == [(days[1], days[2], 2), (dt.date(2026, 3, 7), dt.date(2026, 3, 7), 1), (days[4], days[4], 1)]
 
 
 def test_head(spark):
