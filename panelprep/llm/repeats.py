@@ -39,7 +39,7 @@ LENGTH = 200
 GRAM = 100  # bytes of the substrings that anchors are chosen from
 RANGE_BYTES = 2_000_000  # of segments that one transform should have
 CHUNK_BYTES = 4 * 1024 * 1024
-BLOCK_ANCHORS = 300_000
+BLOCK_ANCHORS = 500_000
 MANY = 2_000  # different segments of an anchor beyond which its windows are counted by digest
 
 _PIECE = 1 << 16  # windows that are gone through at a time
@@ -91,7 +91,8 @@ def segments(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tupl
         last = np.concatenate((first[1:] - 1, [windows - 1]))
         first, last = first[inside[first]], last[inside[first]]
         content = _mix((sums[last + length] - sums[first]) * _INVERSE[first] + (last - first).astype(np.uint64))
-        parts.append((grams[anchor[first]], content, first + start, last + start))
+        # anchors have small hashes: mixed again, they spread over all blocks
+        parts.append((_mix(grams[anchor[first]] + np.uint64(_BASE)), content, first + start, last + start))
     return tuple(np.concatenate(p) for p in zip(*parts))
 
 
