@@ -112,9 +112,8 @@ def _groups(rows: DataFrame) -> DataFrame:
     wide = cells.where(F.col("count") < LEAST_ROWS).groupBy("wide").agg(F.sum("count").alias("wide_count"))
     named = cells.join(wide, "wide", "left").withColumn("group", F.when(F.col("count") >= LEAST_ROWS, F.col("cell")).when(
         F.col("wide_count") >= LEAST_ROWS, F.col("wide")).otherwise(F.lit("*")))
-    rest = named.where("group = '*'").agg(F.sum("count").alias("rest"))
-    return named.crossJoin(F.broadcast(rest)).select(  # one row
-        "cell", F.when((F.col("group") != "*") | (F.col("rest") >= LEAST_ROWS), F.col("group")).alias("group"))
+    rest = named.where("group = '*'").select(F.sum("count")).scalar()
+    return named.select("cell", F.when((F.col("group") != "*") | (rest >= LEAST_ROWS), F.col("group")).alias("group"))
 
 
 def _consistency(share: float, size: int) -> float:
