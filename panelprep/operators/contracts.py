@@ -299,7 +299,7 @@ def _param_line(row: Column, show_default: bool) -> Column:
 
 
 def contract_text(contracts_df: DataFrame, example_limit: int = 3, name: str = "contract_text") -> DataFrame:
-    """Adds the contract as text, in a fixed order of headings."""
+    """Adds the contract as text, in a fixed order of headings; null for a page that gave none."""
     def one(label: str, value: Column) -> Column:
         return F.when(F.coalesce(value, F.lit("")) != "", F.array(F.concat(F.lit(label), value)))
 
@@ -327,33 +327,39 @@ def contract_text(contracts_df: DataFrame, example_limit: int = 3, name: str = "
             F.flatten(F.transform(shown, lambda e: F.array(fence, e, fence))))),
     ]
     none = F.array().cast("array<string>")
-    return contracts_df.withColumn(
-        name, F.array_join(F.concat(*[F.coalesce(b, none) for b in blocks]), "\n"))
+    text = F.array_join(F.concat(*[F.coalesce(b, none) for b in blocks]), "\n")
+    return contracts_df.withColumn(name, F.when(F.col("error").isNull(), text))
 
 
 def undocumented_fields(contracts_df: DataFrame) -> DataFrame:
-    """Per API: output fields with no description, to be asked for in the source dictionary."""
+    """Per API: output fields with no description, to be asked for in the source dictionary.
+
+    A page that gave no contract keeps its row, with its ``error`` and nulls.
+    """
     blank = F.filter("output_params", lambda r: F.coalesce(r[COL_DESC], F.lit("")) == "")
     n, total = F.size(blank), F.size("output_params")
-    return contracts_df.where(F.col("error").isNull()).select(
-        "api_name", "doc_id",
-        F.transform(blank, lambda r: F.coalesce(r[COL_NAME], F.lit("<unknown>"))).alias("ask_for"),
-        n.alias("undocumented"), total.alias("n_fields"), F.try_divide(n, total).alias("undocumented_ratio"))
+    good = F.col("error").isNull()
+    ask = F.transform(blank, lambda r: F.coalesce(r[COL_NAME], F.lit("<unknown>")))
+    return contracts_df.select(
+        "api_name", "doc_id", F.when(good, ask).alias("ask_for"), F.when(good, n).alias("undocumented"),
+        F.when(good, total).alias("n_fields"), F.when(good, F.try_divide(n, total)).alias("undocumented_ratio"), "error")
 
 
 def similar_contracts(contracts_df: DataFrame, wanted_fields: Sequence[str], k: int | None = None) -> DataFrame:
-    """Candidate APIs: most wanted fields covered first, then fewest required filters.
+    """APIs ranked: most wanted fields covered first, then fewest required filters.
 
+    Those that cover none come after, pages that gave no contract last, with their ``error``.
     Without ``k`` this is a distributed sort; with it, a top-k.
     """
     wanted = F.array(*[F.lit(w) for w in dict.fromkeys(wanted_fields)]).cast("array<string>")
-    scored = contracts_df.where(F.col("error").isNull()).select(
+    good = F.col("error").isNull()
+    scored = contracts_df.select(
         "api_name", "doc_id",
-        F.size(F.array_intersect(wanted, "output_fields")).alias("covered"),
-        F.array_except(wanted, "output_fields").alias("lacking"),
-        F.size("required_params").alias("required_filters"))
-    ranked = scored.where("covered > 0").orderBy(
-        F.col("covered").desc(), F.col("required_filters"), F.col("api_name"), F.col("doc_id"))
+        F.when(good, F.size(F.array_intersect(wanted, "output_fields"))).alias("covered"),
+        F.when(good, F.array_except(wanted, "output_fields")).alias("lacking"),
+        F.when(good, F.size("required_params")).alias("required_filters"), "error")
+    ranked = scored.orderBy(
+        F.col("covered").desc_nulls_last(), F.col("required_filters"), F.col("api_name"), F.col("doc_id"))
     return ranked.limit(k) if k is not None else ranked
 
 
@@ -369,13 +375,15 @@ def choose_scan_mode(contracts_df: DataFrame, range_params=RANGE_PARAMS, date_fi
     """``interval`` when the API takes a range, else ``split``.
 
     A time-series table without range parameters also gets
-    ``recommend_range_params``.
+    ``recommend_range_params``.  A page that gave no contract has its ``error`` and
+    no mode.
     """
     names = F.transform("input_params", lambda r: F.lower(r[COL_NAME]))
     ranged = F.lit(False)
     for lo, hi in range_params:
         ranged = ranged | (F.array_contains("_names", lo) & F.array_contains("_names", hi))
     series = F.exists("output_fields", lambda f: F.lower(f).isin(*date_fields))
-    return contracts_df.where(F.col("error").isNull()).withColumn("_names", names).select(
-        "api_name", "doc_id", F.when(ranged, "interval").otherwise("split").alias("scan_mode"),
-        (series & ~ranged).alias("recommend_range_params"))
+    good = F.col("error").isNull()
+    return contracts_df.withColumn("_names", names).select(
+        "api_name", "doc_id", F.when(good, F.when(ranged, "interval").otherwise("split")).alias("scan_mode"),
+        F.when(good, series & ~ranged).alias("recommend_range_params"), "error")

@@ -140,11 +140,12 @@ def index_flow(
     None the weights already carry ``next_flow`` (see ``drift_weights``) and
     nothing else of the panel's size is shuffled.
 
-    Every (index, trading day) from ``start`` to ``end`` has a row; a day without
-    previous weights has ``weight_mode`` ``missing`` and a null flow.
+    Every trading day from an index's first day with weights has a row, within
+    ``start`` to ``end``; a day without previous weights has ``weight_mode``
+    ``missing`` and a null flow.
     ``days_since_anchor`` and ``weight_mode`` describe the weights, i.e. day t-1.
-    ``indices`` lists the indices cheaply (the anchors, say) when ``weights`` is a
-    plan that shouldn't run twice.
+    ``indices`` lists the indices and days cheaply (the anchors, say) when
+    ``weights`` is a plan that shouldn't run twice.
     """
     if flow is not None:
         moved = next_day_flow(flow, calendar, code, date, flow_col, calendar_col)
@@ -175,7 +176,8 @@ def index_flow(
     if end is not None:
         asked = asked.where(F.col("trade_date") <= F.lit(parse_date(end)))
     all_days = asked.select(F.array_sort(F.collect_list("trade_date"))).scalar()
-    grid = (weights if indices is None else indices).select(index).distinct().select(index, F.explode(all_days).alias(date))
+    first = (weights if indices is None else indices).groupBy(index).agg(F.min(date).alias("_first"))
+    grid = first.withColumn("_days", all_days).select(index, F.explode(F.filter("_days", lambda d: d >= F.col("_first"))).alias(date))
     out = grid.join(agg, [index, date], "left")
     mode = (
         F.when(F.col("anchor_weight_date").isNull(), "missing")

@@ -339,21 +339,16 @@ def route_by_market(
 def first_available(sources: Sequence[tuple[str, DataFrame]], key: str | Sequence[str]) -> DataFrame:
     """Per key, the rows of the first source in order that has any; adds ``source``.
 
-    The first source passes through untouched; each later one gives up the keys
-    that an earlier one has, an anti join against distinct keys.  No key's rows
-    have to meet in one group.
+    Sources are numbered and stacked, the smallest number of each key is a partial
+    aggregate, and one join back keeps its rows: each source is read twice however
+    many there are, and no key's rows have to meet in one group.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    out, taken = [], None
-    for name, df in sources:
-        rows = df.alias("s")
-        if taken is not None:
-            same = _all(F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys)
-            rows = rows.join(taken.alias("t"), same, "left_anti")
-        out.append(rows.withColumn("source", F.lit(name)))
-        own = df.select(*keys).distinct()
-        taken = own if taken is None else taken.unionByName(own)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out)
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+        df.withColumn("source", F.lit(name)).withColumn("_nth", F.lit(i)) for i, (name, df) in enumerate(sources)])
+    first = stacked.groupBy(*keys).agg(F.min("_nth").alias("_nth"))
+    same = _all([*(F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys), F.col("s._nth") == F.col("t._nth")])
+    return stacked.alias("s").join(first.alias("t"), same, "left_semi").drop("_nth")
 
 
 def assert_unique(df: DataFrame, key: str | Sequence[str]) -> DataFrame:

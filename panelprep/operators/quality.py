@@ -71,7 +71,7 @@ def contract_diff(contracts: DataFrame, df: DataFrame, api: str = "api_name", fi
     """Documented fields against the columns that arrived, per contract.
 
     ``status`` is ``match``, ``case_only``, ``documented_absent`` or
-    ``present_undocumented``.  The arrived names are a literal array, so all of it
+    ``present_undocumented``, or ``no_contract`` for a page that gave none.  The arrived names are a literal array, so all of it
     happens within the contract's row.
     """
     arrived = F.array(*[F.lit(c) for c in df.columns]).cast("array<string>")
@@ -89,8 +89,12 @@ def contract_diff(contracts: DataFrame, df: DataFrame, api: str = "api_name", fi
     pairs = F.concat(
         F.transform(documented, meet),
         F.transform(undocumented, lambda p: F.struct(F.lit(None).cast("string").alias("documented"), p.alias("present"))))
+    failed = F.col("error").isNotNull() if "error" in contracts.columns else F.lit(False)
+    nothing = F.array(F.struct(F.lit(None).cast("string").alias("documented"), F.lit(None).cast("string").alias("present")))
+    pairs = F.when(failed, nothing).otherwise(pairs)
     status = (
-        F.when(F.col("documented").isNull(), "present_undocumented")
+        F.when(F.col("documented").isNull() & F.col("present").isNull(), "no_contract")
+        .when(F.col("documented").isNull(), "present_undocumented")
         .when(F.col("present").isNull(), "documented_absent")
         .when(F.col("documented") == F.col("present"), "match")
         .otherwise("case_only")
@@ -229,6 +233,14 @@ def family_profile(df: DataFrame, col: str, families=CODE_FAMILIES) -> DataFrame
     return per_family.withColumn("is_mixed", F.count(F.lit(1)).over(Window.partitionBy()) > 1)
 
 
+def field_statuses(documented: Sequence[str], present: Sequence[str]) -> list[tuple[str, str]]:
+    """Each documented field, then each column beyond them, with the statuses of ``contract_diff``."""
+    lower = {c.lower() for c in present}
+    known = {d.lower() for d in documented}
+    of = lambda d: "match" if d in present else "case_only" if d.lower() in lower else "documented_absent"
+    return [(d, of(d)) for d in documented] + [(c, "present_undocumented") for c in present if c.lower() not in known]
+
+
 @dataclass
 class ReportSpec:
     """What a validation report looks at; None leaves a check out."""
@@ -239,6 +251,7 @@ class ReportSpec:
     null_threshold: float = 0.5
     requested: DataFrame | None = None
     requested_key: str | None = None
+    contract: Sequence[str] | None = None  # documented fields
 
 
 def validation_report(df: DataFrame, spec: ReportSpec) -> DataFrame:
@@ -279,6 +292,8 @@ def validation_report(df: DataFrame, spec: ReportSpec) -> DataFrame:
         cells += [cell("min_date", spec.date_col, F.col("lo"), "info"),
                   cell("max_date", spec.date_col, F.col("hi"), "info"),
                   cell("distinct_dates", spec.date_col, F.col("days"), "info")]
+    if spec.contract is not None:
+        cells += [cell("contract_diff", name, F.lit(status), verdict(F.lit(status == "match"))) for name, status in field_statuses(spec.contract, df.columns)]
     report = row.select(F.inline(F.array(*cells)))
     if spec.key:
         subject = ",".join(spec.key)

@@ -21,10 +21,10 @@ def code_family_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_hk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The observed table writes the codes of customers with orders without padding.
-    seen = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_custkey").distinct()
-    observed = seen.where(code_family(customer_code(F.col("o_custkey"))) == "hk").select(
-        F.concat(F.col("o_custkey").cast("string"), F.lit(".HK")).alias("seen_code"))
+    # The observed table writes the codes of customers with finished orders without padding,
+    # and others' not at all.
+    unpadded = F.when(F.col("o_orderstatus") == "F", F.concat(F.col("o_custkey").cast("string"), F.lit(".HK")))
+    observed = table(spark, sf_dir, "orders").select(unpadded.alias("seen_code"))
     return codes.normalize_hk(_coded(spark, sf_dir), observed, "code", "seen_code").select(
         "c_custkey", "code", "code_norm", hk_key("code").alias("hk_key"))
 
@@ -57,10 +57,14 @@ def _dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     regions = table(spark, sf_dir, "region").select(
         F.rpad(F.concat(F.lit("76"), two(F.col("r_regionkey"))), 16, "0").alias("code"),
         F.lit(2).alias("levelnum"), F.col("r_name").alias("name"))
-    nations = table(spark, sf_dir, "nation").where("n_nationkey <> 7").select(
-        F.rpad(F.concat(F.lit("76"), two(F.col("n_regionkey")), two(F.col("n_nationkey"))), 16, "0").alias("code"),
-        F.lit(3).alias("levelnum"), F.col("n_name").alias("name"))
-    return regions.unionByName(nations)
+    # A nation without a code has no partner.
+    known = F.when(F.col("n_nationkey") != 7, F.rpad(F.concat(F.lit("76"), two(F.col("n_regionkey")), two(F.col("n_nationkey"))), 16, "0"))
+    nations = table(spark, sf_dir, "nation").select(known.alias("code"), F.lit(3).alias("levelnum"), F.col("n_name").alias("name"))
+    low = _industry(spark, sf_dir).groupBy(F.rpad(F.substring("ind_code", 1, 8), 16, "0").alias("code")).agg(
+        F.lit(4).alias("levelnum"), F.concat(F.lit("group of "), F.min("c_custkey").cast("string")).alias("name"))
+    # Industries whose smallest customer has an odd key aren't in the dictionary.
+    low = low.withColumn("code", F.when(F.substring("name", -1, 1).isin("0", "2", "4", "6", "8"), F.col("code")))
+    return regions.unionByName(nations).unionByName(low)
 
 
 def hierarchy_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,15 +79,18 @@ def hierarchy_join_query(level: int):
     return query
 
 
-def hierarchy_rollup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = joins.hierarchy_rollup(_industry(spark, sf_dir), 2, {"balance": "c_acctbal"})
-    return out.withColumn("balance", F.round("balance", 2))
+def hierarchy_rollup_query(level: int):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = joins.hierarchy_rollup(_industry(spark, sf_dir), level, {"balance": "c_acctbal"})
+        return out.withColumn("balance", F.round("balance", 2))
+
+    return query
 
 
 def interval_join_query(end_inclusive: bool, how: str = "inner"):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        days = customer_days(table(spark, sf_dir, "customer"))
-        spells = customer_spells(table(spark, sf_dir, "orders"))
+        orders = table(spark, sf_dir, "orders")
+        days, spells = customer_days(table(spark, sf_dir, "customer"), orders), customer_spells(orders)
         return joins.interval_join(
             days, spells, "code", "trade_date", "entry_dt", "remove_dt", end_inclusive=end_inclusive, how=how)
 
@@ -108,7 +115,7 @@ def point_in_time_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("code"),
         F.date_add(day, F.pmod("o_orderkey", F.lit(60)).cast("int")).alias("ann_dt"),
         F.trunc(day, "MM").alias("report_period"), "o_orderkey", "o_totalprice")
-    return joins.point_in_time(customer_days(table(spark, sf_dir, "customer")), facts, "code")
+    return joins.point_in_time(customer_days(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")), facts, "code")
 
 
 def _master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,19 +180,21 @@ def route_by_market_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         customer_code(F.col("o_custkey")).alias("con_code"), F.col("o_orderdate").cast("date").alias("trade_date"),
         "o_orderstatus", "o_totalprice")
-    def market(where: str, family_name: str) -> DataFrame:
-        return orders.where(where).where(code_family("con_code") == family_name).groupBy(
-            "con_code", "trade_date").agg(F.max("o_totalprice").alias("close"))
+    # A market quotes its own family; orders in another state are quoted a day late.
+    def market(status: str, family_name: str) -> DataFrame:
+        day = F.when(F.col("o_orderstatus") == status, F.col("trade_date")).otherwise(F.date_add("trade_date", 1))
+        return orders.where(code_family("con_code") == family_name).groupBy("con_code", day.alias("trade_date")).agg(
+            F.max("o_totalprice").alias("close"))
 
     constituents = orders.select("con_code", "trade_date").distinct()
     return joins.route_by_market(
-        constituents, {"suffixed": market("o_orderstatus = 'F'", "suffixed"), "hk": market("o_orderstatus = 'O'", "hk")})
+        constituents, {"suffixed": market("F", "suffixed"), "hk": market("O", "hk")})
 
 
 def first_available_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", event_day().alias("trade_date"), "event_type")
     sources = [(kind, events.where(F.col("event_type") == kind).drop("event_type"))
-               for kind in ("purchase", "click", "view")]
+               for kind in ("purchase", "click", "view", "signup", "error")]
     return joins.first_available(sources, ["user_id", "trade_date"])
 
 
@@ -203,7 +212,9 @@ QUERIES = {
     "hierarchy_key": hierarchy_key_query,
     "hierarchy_join_level1": hierarchy_join_query(1),
     "hierarchy_join_level2": hierarchy_join_query(2),
-    "hierarchy_rollup": hierarchy_rollup_query,
+    "hierarchy_join_level3": hierarchy_join_query(3),
+    "hierarchy_rollup": hierarchy_rollup_query(2),
+    "hierarchy_rollup_level3": hierarchy_rollup_query(3),
     "interval_join_inclusive": interval_join_query(True),
     "interval_join_exclusive": interval_join_query(False, "left"),
     "interval_semantics": interval_semantics_query,
@@ -226,7 +237,8 @@ _INDUSTRY = """ind AS (SELECT c_custkey, c_acctbal, '76' || lpad(CAST(n_regionke
 _DICTIONARY = """dict AS (SELECT rpad('76' || lpad(CAST(r_regionkey AS VARCHAR), 2, '0'), 16, '0') AS code,
         2 AS levelnum, r_name AS name FROM region
     UNION ALL SELECT rpad('76' || lpad(CAST(n_regionkey AS VARCHAR), 2, '0') || lpad(CAST(n_nationkey AS VARCHAR), 2, '0'),
-        16, '0'), 3, n_name FROM nation WHERE n_nationkey <> 7)"""
+        16, '0'), 3, n_name FROM nation WHERE n_nationkey <> 7
+    UNION ALL SELECT rpad(substr(ind_code, 1, 8), 16, '0'), 4, 'group of ' || min(c_custkey) FROM ind GROUP BY 1 HAVING min(c_custkey) % 2 = 0)"""
 _HKEY = "rpad(substr(ind_code, 1, {n}), 16, '0')"
 _MASTER = """life AS (SELECT o_custkey AS code, CAST(min(o_orderdate) AS DATE) AS listdate,
         CAST(max(o_orderdate) AS DATE) AS last_day FROM orders GROUP BY 1),
@@ -247,6 +259,12 @@ def _hierarchy_join_sql(level: int) -> str:
         FROM ind LEFT JOIN dict ON code = {_HKEY.format(n=n)} AND levelnum = {level + 1}"""
 
 
+def _rollup_sql(level: int) -> str:
+    n = 2 + 2 * level
+    return f"""WITH {_INDUSTRY} SELECT {_HKEY.format(n=n)} AS hierarchy_code, count(*) AS n_rows,
+        round(sum(c_acctbal), 2) AS balance, {level} AS hierarchy_level, {n} AS prefix_len FROM ind GROUP BY 1"""
+
+
 ORACLES = {
     "code_family": f"""WITH {_CODED} SELECT c_custkey, code, {family('code')} AS family,
         split_part(code, '.', 1) AS raw FROM coded""",
@@ -267,8 +285,9 @@ ORACLES = {
         f"{_HKEY.format(n=2 + 2 * level)} AS level{level}" for level in (1, 2, 3)) + " FROM ind",
     "hierarchy_join_level1": _hierarchy_join_sql(1),
     "hierarchy_join_level2": _hierarchy_join_sql(2),
-    "hierarchy_rollup": f"""WITH {_INDUSTRY} SELECT {_HKEY.format(n=6)} AS hierarchy_code, count(*) AS n_rows,
-        round(sum(c_acctbal), 2) AS balance, 2 AS hierarchy_level, 6 AS prefix_len FROM ind GROUP BY 1""",
+    "hierarchy_join_level3": _hierarchy_join_sql(3),
+    "hierarchy_rollup": _rollup_sql(2),
+    "hierarchy_rollup_level3": _rollup_sql(3),
     "interval_join_inclusive": f"""WITH {SPELLS}, {CUSTOMER_DAYS}
         SELECT g.code, trade_date, entry_dt, remove_dt, status FROM grid g JOIN spells s ON g.code = s.code
         AND entry_dt <= trade_date AND (remove_dt IS NULL OR trade_date <= remove_dt)""",
@@ -314,15 +333,15 @@ ORACLES = {
     "route_by_market": f"""WITH o AS (SELECT {code_sql('o_custkey')} AS con_code, CAST(o_orderdate AS DATE) AS trade_date,
             o_orderstatus, o_totalprice FROM orders),
         c AS (SELECT DISTINCT con_code, trade_date, {family('con_code')} AS code_family FROM o),
-        q AS (SELECT con_code, trade_date, max(o_totalprice) AS close FROM o
-              WHERE ({family('con_code')} = 'suffixed' AND o_orderstatus = 'F')
-                 OR ({family('con_code')} = 'hk' AND o_orderstatus = 'O') GROUP BY 1, 2)
+        q AS (SELECT con_code, CASE WHEN o_orderstatus = CASE WHEN {family('con_code')} = 'hk' THEN 'O' ELSE 'F' END
+                     THEN trade_date ELSE trade_date + 1 END AS trade_date, max(o_totalprice) AS close FROM o
+              WHERE {family('con_code')} IN ('suffixed', 'hk') GROUP BY 1, 2)
         SELECT c.con_code, c.trade_date, code_family, CASE WHEN code_family NOT IN ('suffixed', 'hk') THEN 'unroutable'
             WHEN close IS NOT NULL THEN 'joined' ELSE 'no_quote' END AS route, close
         FROM c LEFT JOIN q USING (con_code, trade_date)""",
     "first_available": """WITH p AS (SELECT event_id, user_id, CAST(ts AS DATE) AS trade_date, event_type AS source,
-            CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 ELSE 2 END AS pr
-            FROM events WHERE event_type IN ('purchase', 'click', 'view'))
+            CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'signup' THEN 3
+            WHEN 'error' THEN 4 END AS pr FROM events)
         SELECT event_id, user_id, trade_date, source FROM p
         QUALIFY pr = min(pr) OVER (PARTITION BY user_id, trade_date)""",
     "unique_key": """SELECT o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate, count(*) AS n_rows,

@@ -18,8 +18,8 @@ ret AS (SELECT con_code, trade_date,
                close / lag(close) OVER (PARTITION BY con_code ORDER BY trade_date) - 1 AS ret FROM px)"""
 
 FLOWS = """
-flow AS (SELECT user_id AS con_code, CAST(ts AS DATE) AS trade_date, sum(value) AS flow
-         FROM events WHERE event_type IN ('purchase', 'signup') GROUP BY 1, 2)"""
+flow AS (SELECT user_id AS con_code, CAST(ts AS DATE) AS trade_date, sum(value) FILTER (event_type IN ('purchase', 'signup')) AS flow
+         FROM events GROUP BY 1, 2)"""
 
 ANCHORS = """
 anchors AS (SELECT user_id % 5 AS index_code, user_id AS con_code, CAST(ts AS DATE) AS trade_date,
@@ -83,4 +83,5 @@ spells AS (SELECT code, entry_dt,
 
 CUSTOMER_DAYS = """
 grid AS (SELECT c_custkey AS code, CAST(d AS DATE) AS trade_date
-         FROM customer, (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-07-01', INTERVAL 3 MONTH)) AS d))"""
+         FROM customer, (SELECT unnest(generate_series(date_trunc('quarter', (SELECT min(o_orderdate) FROM orders)),
+             CAST((SELECT max(o_orderdate) FROM orders) AS DATE)::TIMESTAMP, INTERVAL 3 MONTH)) AS d))"""

@@ -57,11 +57,9 @@ def dictionary_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dictionary page per part, with what the extractor has to cope with.
 
     Every size-7 part's page has no content container; pages differ in header
-    style, missing descriptions, range parameters and code blocks.  Parts are a
-    few bytes each and become pages, so they're spread over the cores first.
+    style, missing descriptions, range parameters and code blocks.
     """
-    part = table(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism, "p_partkey").withColumn(
-        "id", F.col("p_partkey").cast("string"))
+    part = table(spark, sf_dir, "part").withColumn("id", F.col("p_partkey").cast("string"))
 
     def row(*cells: str) -> str:
         return "<tr>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr>"
@@ -126,18 +124,18 @@ def contracts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contract_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ct.contract_text(_contracts(spark, sf_dir).where("error IS NULL"), 2).select("page_id", "contract_text")
+    return ct.contract_text(_contracts(spark, sf_dir), 2).select("page_id", "contract_text")
 
 
 def undocumented_fields_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ct.undocumented_fields(_contracts(spark, sf_dir))
-    return out.select("api_name", "doc_id", F.array_join("ask_for", ",").alias("ask_for"), F.col("undocumented").cast("long").alias(
+    return out.select("api_name", "doc_id", "error", F.array_join("ask_for", ",").alias("ask_for"), F.col("undocumented").cast("long").alias(
         "undocumented"), F.col("n_fields").cast("long").alias("n_fields"), F.round("undocumented_ratio", 6).alias("ratio"))
 
 
 def similar_contracts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = ct.similar_contracts(_contracts(spark, sf_dir), ["brand", "trade_date", "close"], 40)
-    return out.select("api_name", "doc_id", F.col("covered").cast("long").alias("covered"),
+    out = ct.similar_contracts(_contracts(spark, sf_dir), ["brand", "trade_date", "close"])
+    return out.select("api_name", "doc_id", "error", F.col("covered").cast("long").alias("covered"),
                       F.array_join("lacking", ",").alias("lacking"), F.col("required_filters").cast("long").alias("required_filters"))
 
 
@@ -147,7 +145,7 @@ def choose_scan_mode_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def contract_diff_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrived = table(spark, sf_dir, "part").select(F.col("p_brand").alias("Brand"), F.col("p_size").alias("size"))
-    return quality.contract_diff(_contracts(spark, sf_dir).where("error IS NULL"), arrived)
+    return quality.contract_diff(_contracts(spark, sf_dir), arrived)
 
 
 def event_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,7 +239,7 @@ def _html_to_text_sql() -> str:
 _LINES = r"""lines AS (SELECT doc_id, unnest(l) AS line, CAST(unnest(range(1, len(l) + 1)) AS INTEGER) AS line_no FROM (
         SELECT doc_id, string_split(regexp_replace(text, '\n$', ''), chr(10)) AS l FROM documents WHERE text <> ''))"""
 
-_OK = "part WHERE p_size <> 7"
+_OK, _BAD = "part WHERE p_size <> 7", "part WHERE p_size = 7"
 _INPUT_ROWS = "1 + CASE WHEN p_size % 3 = 0 THEN 2 ELSE 0 END"
 _ABOUT = "CASE WHEN p_size % 5 = 0 THEN '' ELSE p_type END"
 _CELLS = f"""cells AS (
@@ -315,20 +313,24 @@ ORACLES = {
          ' -  | type=float | default=N | unnamed'],
         CASE WHEN p_size % 4 = 0 THEN ['', 'Table Info', ' - 零件 | t_' || p_partkey] ELSE [] END,
         ['', 'Examples (2)', '```', 'pro = pro_api()', 'pro.query(''part_' || p_partkey || ''')', '```',
-         '```', 'pro.part_' || p_partkey || '(x)', '```']), chr(10)) AS contract_text FROM {_OK}""",
+         '```', 'pro.part_' || p_partkey || '(x)', '```']), chr(10)) AS contract_text FROM {_OK}
+        UNION ALL SELECT p_partkey, NULL FROM {_BAD}""",
     "undocumented_fields": f"""SELECT 'part_' || p_partkey AS api_name, CAST(p_partkey AS VARCHAR) AS doc_id,
         CASE WHEN p_size % 5 = 0 THEN 'brand' ELSE '' END AS ask_for,
         CAST(CASE WHEN p_size % 5 = 0 THEN 1 ELSE 0 END AS BIGINT) AS undocumented, CAST(3 AS BIGINT) AS n_fields,
-        CASE WHEN p_size % 5 = 0 THEN round(1 / 3, 6) ELSE 0.0 END AS ratio FROM {_OK}""",
+        CASE WHEN p_size % 5 = 0 THEN round(1 / 3, 6) ELSE 0.0 END AS ratio, CAST(NULL AS VARCHAR) AS error FROM {_OK}
+        UNION ALL SELECT '', CAST(p_partkey AS VARCHAR), NULL, NULL, NULL, NULL, 'no content container' FROM {_BAD}""",
     "similar_contracts": f"""SELECT 'part_' || p_partkey AS api_name, CAST(p_partkey AS VARCHAR) AS doc_id, CAST(2 AS BIGINT) AS covered,
-        'close' AS lacking, CAST(CASE WHEN p_size % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS required_filters FROM {_OK}
-        ORDER BY required_filters, api_name LIMIT 40""",
+        'close' AS lacking, CAST(CASE WHEN p_size % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS required_filters, CAST(NULL AS VARCHAR) AS error FROM {_OK}
+        UNION ALL SELECT '', CAST(p_partkey AS VARCHAR), NULL, NULL, NULL, 'no content container' FROM {_BAD}""",
     "choose_scan_mode": f"""SELECT 'part_' || p_partkey AS api_name, CAST(p_partkey AS VARCHAR) AS doc_id,
         CASE WHEN p_size % 3 = 0 THEN 'interval' ELSE 'split' END AS scan_mode,
-        p_size % 3 <> 0 AS recommend_range_params FROM {_OK}""",
+        p_size % 3 <> 0 AS recommend_range_params, CAST(NULL AS VARCHAR) AS error FROM {_OK}
+        UNION ALL SELECT '', CAST(p_partkey AS VARCHAR), NULL, NULL, 'no content container' FROM {_BAD}""",
     "contract_diff": f"""SELECT 'part_' || p_partkey AS api_name, unnest(['trade_date', 'brand', NULL]) AS documented,
         unnest([NULL, 'Brand', 'size']) AS present,
-        unnest(['documented_absent', 'case_only', 'present_undocumented']) AS status FROM {_OK}""",
+        unnest(['documented_absent', 'case_only', 'present_undocumented']) AS status FROM {_OK}
+        UNION ALL SELECT '', NULL, NULL, 'no_contract' FROM {_BAD}""",
     "note_names": f"""WITH {_NOTES}, b AS (SELECT note_id, strftime(noted_at, '%Y%m%d-%H%M%S') || '-'
             || replace(lower(topic), ' ', '-') AS base FROM notes),
         r AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY note_id) AS nth FROM b)

@@ -7,16 +7,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from panelprep.operators import quality
 from panelprep.plans.oracle_parts import customer_code as code_sql, family
 from panelprep.plans.tables import customer_code, event_day, table
-from panelprep.sources import Between, scan
+from panelprep.sources import Between
 
 WINDOW = Between("1995-01-01", "1997-12-31")
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items of three years, with nulls where a discount or tax is zero."""
+    """Line items, with nulls where a discount or tax is zero."""
     zero_to_null = [F.nullif(F.col(c), F.lit(0.0)).alias(c) for c in ("l_discount", "l_tax")]
-    rows = scan(table(spark, sf_dir, "lineitem"), {"l_shipdate": WINDOW})
-    return rows.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate", *zero_to_null)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate", *zero_to_null)
 
 
 def shape_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,14 +47,16 @@ def validation_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
     spec = quality.ReportSpec(
         key=["l_orderkey", "l_linenumber"], date_col="l_shipdate", null_threshold=0.1,
-        params={"l_shipdate": WINDOW, "l_returnflag": ["A", "N"]}, requested=asked, requested_key="l_orderkey")
+        params={"l_shipdate": WINDOW, "l_returnflag": ["A", "N"]}, requested=asked, requested_key="l_orderkey",
+        contract=["l_orderkey", "L_QUANTITY", "l_comment", "l_linenumber", "l_shipdate", "l_tax", "l_discount"])
     return quality.validation_report(_lineitem(spark, sf_dir), spec)
 
 
 def code_coverage_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = table(spark, sf_dir, "customer").select(customer_code(F.col("c_custkey")).alias("code"))
-    orders = table(spark, sf_dir, "orders").where("o_totalprice > 400000").select(
-        customer_code(F.col("o_custkey")).alias("code"))
+    # Only large orders name a code, so some customers have no row.
+    orders = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_totalprice") > 400000, customer_code(F.col("o_custkey"))).alias("code"))
     return quality.code_coverage(asked, orders, "code")
 
 
@@ -87,14 +88,16 @@ def failure_verdict_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compare_sources_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    a = events.where("event_type = 'purchase' AND value > 60")
-    b = events.where("event_type = 'click' AND value < 5")
+    # A source is an event type; cheap purchases name no code.
+    a = events.where("event_type = 'purchase'").withColumn("user_id", F.when(F.col("value") > 60, F.col("user_id")))
+    b = events.where("event_type = 'click'")
     return quality.compare_sources(a, b, "user_id", "ts", ("purchase", "click"))
 
 
 def latest_complete_date_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    late = table(spark, sf_dir, "events").where(
-        (event_day() < F.lit("2024-01-25").cast("date")) | (F.col("event_type") == "purchase"))
+    # From the 25th on only purchases have arrived with their user.
+    arrived = (event_day() < F.lit("2024-01-25").cast("date")) | (F.col("event_type") == "purchase")
+    late = table(spark, sf_dir, "events").withColumn("user_id", F.when(arrived, F.col("user_id")))
     return quality.latest_complete_date(late, "ts", "user_id", 0.95, 10)
 
 
@@ -115,13 +118,12 @@ QUERIES = {
 }
 
 _LI = """li AS (SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate,
-        nullif(l_discount, 0) AS l_discount, nullif(l_tax, 0) AS l_tax FROM lineitem
-        WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1995-01-01' AND DATE '1997-12-31')"""
+        nullif(l_discount, 0) AS l_discount, nullif(l_tax, 0) AS l_tax FROM lineitem)"""
 _LI_COLUMNS = ("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate", "l_discount", "l_tax")
 _COVERAGE = f"""cov AS (SELECT a.code, {family('a.code')} AS code_family, count(o.code) AS n_rows,
         count(o.code) > 0 AS covered
     FROM (SELECT {code_sql('c_custkey')} AS code FROM customer) a
-    LEFT JOIN (SELECT {code_sql('o_custkey')} AS code FROM orders WHERE o_totalprice > 400000) o ON a.code = o.code
+    LEFT JOIN (SELECT CASE WHEN o_totalprice > 400000 THEN {code_sql('o_custkey')} END AS code FROM orders) o ON a.code = o.code
     GROUP BY 1)"""
 
 
@@ -135,9 +137,13 @@ def _dense_report() -> str:
         f"SELECT 'column_count', '*', '{len(_LI_COLUMNS)}', 'info'",
         _nulls_sql("""SELECT 'null_count', '{c}', CAST(count(*) - count({c}) AS VARCHAR),
             CASE WHEN (count(*) - count({c})) / count(*) < 0.1 THEN 'ok' ELSE 'warn' END FROM li"""),
-        "SELECT 'filter_violations', 'l_shipdate', '0', 'ok'",
+        """SELECT 'filter_violations', 'l_shipdate', CAST(count(*) FILTER (l_shipdate NOT BETWEEN DATE '1995-01-01'
+            AND DATE '1997-12-31') AS VARCHAR), 'warn' FROM li""",
         """SELECT 'filter_violations', 'l_returnflag', CAST(count(*) FILTER (l_returnflag NOT IN ('A', 'N')) AS VARCHAR),
             'warn' FROM li""",
+        """SELECT 'contract_diff', f, s, CASE WHEN s = 'match' THEN 'ok' ELSE 'warn' END FROM (VALUES ('l_orderkey', 'match'),
+            ('L_QUANTITY', 'case_only'), ('l_comment', 'documented_absent'), ('l_linenumber', 'match'), ('l_shipdate', 'match'),
+            ('l_tax', 'match'), ('l_discount', 'match'), ('l_returnflag', 'present_undocumented')) AS d(f, s)""",
         "SELECT 'min_date', 'l_shipdate', CAST(min(l_shipdate) AS VARCHAR), 'info' FROM li",
         "SELECT 'max_date', 'l_shipdate', CAST(max(l_shipdate) AS VARCHAR), 'info' FROM li",
         "SELECT 'distinct_dates', 'l_shipdate', CAST(count(DISTINCT l_shipdate) AS VARCHAR), 'info' FROM li",
@@ -194,13 +200,13 @@ ORACLES = {
             CASE WHEN gone > 0 THEN 'missing' WHEN failures > 0 AND failures = transient_failures THEN 'flaky'
                  WHEN failures > 0 THEN 'structural' WHEN coalesce(max_rows, 0) = 0 THEN 'zero_rows' ELSE 'ok' END AS verdict
         FROM s""",
-    "compare_sources": """WITH a AS (SELECT event_type AS source, user_id, CAST(ts AS DATE) AS d FROM events
-            WHERE (event_type = 'purchase' AND value > 60) OR (event_type = 'click' AND value < 5)),
-        both_codes AS (SELECT user_id FROM a GROUP BY 1 HAVING count(DISTINCT source) = 2)
+    "compare_sources": """WITH a AS (SELECT event_type AS source, CASE WHEN event_type = 'click' OR value > 60 THEN user_id END AS user_id,
+            CAST(ts AS DATE) AS d FROM events WHERE event_type IN ('purchase', 'click')),
+        both_codes AS (SELECT user_id FROM a WHERE user_id IS NOT NULL GROUP BY 1 HAVING count(DISTINCT source) = 2)
         SELECT source, count(*) AS n_rows, count(DISTINCT user_id) AS n_codes, min(d) AS min_date, max(d) AS latest_date,
                (SELECT count(*) FROM both_codes) AS shared_codes FROM a GROUP BY 1""",
-    "latest_complete_date": """WITH d AS (SELECT CAST(ts AS DATE) AS trade_date, count(DISTINCT user_id) AS n_codes
-            FROM events WHERE CAST(ts AS DATE) < DATE '2024-01-25' OR event_type = 'purchase' GROUP BY 1),
+    "latest_complete_date": """WITH d AS (SELECT CAST(ts AS DATE) AS trade_date, count(DISTINCT CASE
+            WHEN CAST(ts AS DATE) < DATE '2024-01-25' OR event_type = 'purchase' THEN user_id END) AS n_codes FROM events GROUP BY 1),
         n AS (SELECT *, avg(n_codes) OVER (ORDER BY trade_date ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS norm FROM d),
         c AS (SELECT * FROM n WHERE norm IS NULL OR n_codes >= 0.95 * norm)
         SELECT max(trade_date) AS latest_complete_date, arg_max(n_codes, trade_date) AS n_codes,

@@ -35,10 +35,9 @@ def user_prices(events: DataFrame) -> DataFrame:
 
 
 def user_flows(events: DataFrame) -> DataFrame:
-    """Flow per user and day, from purchases and sign-ups only."""
-    return events.where(F.col("event_type").isin("purchase", "signup")).groupBy(
-        F.col("user_id").alias("con_code"), event_day().alias("trade_date")
-    ).agg(F.sum("value").alias("flow"))
+    """Flow per user and day: the purchases' and sign-ups' value, null on days with neither."""
+    moved = F.when(F.col("event_type").isin("purchase", "signup"), F.col("value"))
+    return events.groupBy(F.col("user_id").alias("con_code"), event_day().alias("trade_date")).agg(F.sum(moved).alias("flow"))
 
 
 def user_anchors(events: DataFrame) -> DataFrame:
@@ -77,7 +76,9 @@ def customer_spells(orders: DataFrame) -> DataFrame:
         F.col("o_custkey").alias("code"), "entry_dt", F.date_sub(following, 1).alias("remove_dt"), "status")
 
 
-def customer_days(customer: DataFrame, step_months: int = 3) -> DataFrame:
-    """A date grid per customer."""
-    grid = F.expr(f"sequence(date'1995-01-01', date'2001-07-01', interval {step_months} months)")
+def customer_days(customer: DataFrame, orders: DataFrame, step_months: int = 3) -> DataFrame:
+    """A date grid per customer, from the first order's quarter to the last order."""
+    day = F.col("o_orderdate").cast("date")
+    first, last = orders.select(F.trunc(F.min(day), "quarter")).scalar(), orders.select(F.max(day)).scalar()
+    grid = F.sequence(first, last, F.expr(f"interval {step_months} months"))
     return customer.select(F.col("c_custkey").alias("code"), F.explode(grid).alias("trade_date"))

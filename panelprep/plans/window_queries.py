@@ -22,7 +22,7 @@ def month_end_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_shape_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir)
-    out = calendar.snapshot_shape(orders.where("o_orderstatus = 'P'"), "o_orderdate", weekday_calendar(orders))
+    out = calendar.snapshot_shape(orders, "o_orderdate", weekday_calendar(orders))
     return out.select(*[F.round(c, 6).alias(c) if c.endswith("share") else c for c in out.columns])
 
 
@@ -50,8 +50,8 @@ def assign_anchor_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     # Anchors per user this time: the user's days with a purchase above 60.
     days = events.select(F.col("user_id").alias("index_code"), event_day().alias("trade_date")).distinct()
-    anchors = events.where("event_type = 'purchase' AND value > 60").select(
-        F.col("user_id").alias("index_code"), event_day().alias("trade_date"))
+    chosen = (F.col("event_type") == "purchase") & (F.col("value") > 60)
+    anchors = events.select(F.col("user_id").alias("index_code"), F.when(chosen, event_day()).alias("trade_date"))
     return calendar.assign_anchor(days, anchors, event_calendar(events))
 
 
@@ -61,13 +61,21 @@ def return_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "con_code", "trade_date", F.round("close", 6).alias("close"), F.round("ret", 6).alias("ret"))
 
 
+def return_adjusted_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third day has no adjusted price."""
+    prices = user_prices(table(spark, sf_dir, "events")).withColumn(
+        "adj", F.when(F.dayofmonth("trade_date") % 3 != 0, F.col("close") / (1 + F.pmod("con_code", F.lit(4)))))
+    return drift.return_from_price(prices, adj_price="adj").select("con_code", "trade_date", F.round("ret", 6).alias("ret"))
+
+
 def _returns(events: DataFrame) -> DataFrame:
     return drift.return_from_price(user_prices(events))
 
 
 def _sparse_returns(events: DataFrame) -> DataFrame:
-    """Returns quoted only from purchases above 60, so many users have none after an anchor."""
-    return drift.return_from_price(user_prices(events.where("event_type = 'purchase' AND value > 60")))
+    """A user's day has a quote only if there's a purchase above 60, so many have none after an anchor."""
+    quoted = F.when((F.col("event_type") == "purchase") & (F.col("value") > 60), F.col("value"))
+    return drift.return_from_price(user_prices(events.withColumn("value", quoted)).where("close IS NOT NULL"))
 
 
 def _drifted(events: DataFrame, through_next: bool = False) -> DataFrame:
@@ -153,6 +161,7 @@ QUERIES = {
     "trading_offset_back": trading_offset_query(-5),
     "assign_anchor": assign_anchor_query,
     "return_from_price": return_query,
+    "return_from_adjusted_price": return_adjusted_query,
     "drift_weights": drift_weights_query,
     "normalize_weights": normalize_weights_query,
     "drop_unquoted": drop_unquoted_query,
@@ -173,7 +182,7 @@ sret AS (SELECT con_code, trade_date, close / lag(close) OVER (PARTITION BY con_
 ORACLES = {
     "month_end_dates": f"WITH {CALENDAR}, {_ENDS} SELECT CAST(m AS DATE) AS month, trade_date FROM ends",
     "snapshot_shape": f"""WITH {CALENDAR}, {_ENDS},
-        d AS (SELECT CAST(o_orderdate AS DATE) AS trade_date, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
+        d AS (SELECT CAST(o_orderdate AS DATE) AS trade_date, count(*) AS n FROM orders GROUP BY 1),
         f AS (SELECT d.*, trade_date IN (SELECT trade_date FROM ends) AS is_end,
                      trade_date IN (SELECT trade_date FROM cal) AS in_cal FROM d),
         span AS (SELECT count(*) AS n_cal FROM cal WHERE trade_date BETWEEN (SELECT min(trade_date) FROM d)
@@ -205,6 +214,9 @@ ORACLES = {
         FROM m JOIN ecal x ON x.trade_date = m.trade_date LEFT JOIN ecal y ON y.trade_date = anchor_date""",
     "return_from_price": f"""WITH {PRICES} SELECT con_code, trade_date, round(close, 6) AS close, round(ret, 6) AS ret
         FROM ret JOIN px USING (con_code, trade_date)""",
+    "return_from_adjusted_price": f"""WITH {PRICES}, a AS (SELECT *, CASE WHEN day(trade_date) % 3 <> 0 THEN close / (1 + con_code % 4) END AS adj FROM px)
+        SELECT con_code, trade_date, round(coalesce(adj / lag(adj) OVER w, close / lag(close) OVER w) - 1, 6) AS ret
+        FROM a WINDOW w AS (PARTITION BY con_code ORDER BY trade_date)""",
     "drift_weights": f"""WITH {_DRIFTED}, {drift_sql()} SELECT index_code, con_code, trade_date, anchor_date, anchor_weight,
         CAST(days_since_anchor AS INTEGER) AS days_since_anchor, round(raw_weight, 6) AS raw_weight, has_quotes FROM drifted""",
     "normalize_weights": f"""WITH {_DRIFTED}, {drift_sql()} SELECT index_code, con_code, trade_date,

@@ -68,7 +68,14 @@ def test_returns(spark, rows):
     df = spark.createDataFrame([("a", d(1), 10.0, None), ("a", d(2), 12.0, 11.0), ("a", d(5), 0.0, None), ("a", d(6), 3.0, None)],
                                "con_code string, trade_date date, close double, adj double")
     out = {r["trade_date"]: r["ret"] for r in drift.return_from_price(df, adj_price="adj").collect()}
-    assert out[d(1)] is None and out[d(2)] == pytest.approx(0.1) and out[d(5)] == -1.0 and out[d(6)] is None
+    assert out[d(1)] is None and out[d(2)] == pytest.approx(0.2) and out[d(5)] == -1.0 and out[d(6)] is None
+
+
+def test_returns_stay_within_one_price_series(spark):
+    df = spark.createDataFrame([("a", d(1), 100.0, 50.0), ("a", d(2), 101.0, None), ("a", d(3), 102.0, 51.0), ("a", d(4), 103.0, 52.02)],
+                               "con_code string, trade_date date, close double, adj double")
+    out = {r["trade_date"]: r["ret"] for r in drift.return_from_price(df, adj_price="adj").collect()}
+    assert [out[d(i)] for i in (2, 3, 4)] == [pytest.approx(0.01), pytest.approx(102 / 101 - 1), pytest.approx(0.02)]
 
 
 ANCHORS = [("i", "a", d(2), 60.0), ("i", "b", d(2), 30.0), ("i", "q", d(2), 10.0), ("i", "a", d(8), 50.0), ("i", "c", d(8), 50.0),
@@ -144,7 +151,7 @@ def test_index_flow(inputs, week, carried):
         anchors.withColumn("anchor_weight_source", F.lit("official")), returns, week, carry=carry))
     out = drift.index_flow(live, None if carried else flow, week, start="2024-01-02", end="20240109")
     got = {(r["index_code"], r["trade_date"]): r.asDict() for r in out.collect()}
-    assert len(got) == 2 * 6
+    assert len(got) == 6 + 4  # an index starts with its first anchor
     first = got[("i", d(2))]
     assert first["weight_mode"] == "missing" and first["index_flow"] is None and first["constituent_count"] == 0
     third = got[("i", d(3))]  # official weights of the 2nd: 60, 30, 10

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from panelprep.operators import drift, joins, sets
+from panelprep.plans import registry
 from panelprep.sources import Between, scan
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -41,11 +42,12 @@ SKEW = {
 }
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_no_cross_join_when_nothing_is_small(spark, name):
     with settings(spark, **BIG):
         text = plan(entry.queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert "REPARTITION_BY_NUM" not in text  # the number of tasks follows the input
     # Python runs once per page, and only where HTML has to be read.
     assert len(re.findall(r"ArrowEvalPython \[", text)) <= 1 and "BatchEvalPython" not in text
     # Only frames of distinct days are broadcast by hint: keyed by one date or its position.
