@@ -84,11 +84,10 @@ def page_links(
     if scope not in ("page", "corpus"):
         raise ValueError("scope must be 'page' or 'corpus'")
     base = F.col(url) if root is None else (F.lit(root) if isinstance(root, str) else root)
-    found = pages.select(
-        page_id, base.alias("_base"),
-        F.regexp_extract_all(html_col, F.lit(_LINK), 1).alias("_hrefs"),
-        F.regexp_extract_all(html_col, F.lit(_LINK), 2).alias("_titles"),
-    )
+    # a page is searched once; its parts are taken from the short matches
+    whole = pages.select(page_id, base.alias("_base"), F.regexp_extract_all(html_col, F.lit(_LINK), 0).alias("_whole"))
+    part = lambda i: F.transform("_whole", lambda link: F.regexp_extract(link, _LINK, i))
+    found = whole.select(page_id, "_base", part(1).alias("_hrefs"), part(2).alias("_titles"))
     links = found.select(page_id, _resolve_links("_base", "_hrefs", "_titles").alias("_l"))
     rows = links.select(page_id, F.inline(F.arrays_zip("_l.pos", "_l.title", "_l.url")))
     return dedupe_first(rows, ["title", "url"], [page_id, "pos"]) if scope == "corpus" else rows
