@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from panelprep.llm.common import shared_path
 
-CHUNK_BYTES = 8 * 1024 * 1024
-BLOCK_WORDS = 2_000_000  # different words (or pairs) that one block group should have
+CHUNK_BYTES = 5 * 1024 * 1024
+BLOCK_WORDS = 1_200_000  # different words (or pairs) that one block group should have
 END = 1  # hash of the token after the last word
 
 
