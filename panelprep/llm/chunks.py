@@ -18,7 +18,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from panelprep.llm.common import shared_path
+from panelprep.llm.common import drop_kept, shared_path
 
 CHUNK_BYTES = 5 * 1024 * 1024
 BLOCK_WORDS = 1_200_000  # different words (or pairs) that one block group should have
@@ -53,6 +53,7 @@ def write_chunks(docs: DataFrame, words_of: Callable[[bytes], list[bytes]], end:
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         part, seq = TaskContext.get().partitionId(), 0
         numbers, lengths, tokens, keys, size = _Numbers(), [], [], [], 0
 

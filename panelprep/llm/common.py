@@ -8,6 +8,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelprep.session import checkpoint_dir
 
+# What operators keep in a worker process between tasks.  Workers are reused, so an
+# operator that needs memory for itself drops what others have left.
+_KEPT: list[dict] = []
+
+
+def kept(cache: dict) -> dict:
+    _KEPT.append(cache)
+    return cache
+
+
+def drop_kept() -> None:
+    for cache in _KEPT:
+        cache.clear()
+
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from panelprep.llm.common import shared_path, text_or_empty
+from panelprep.llm.common import kept, shared_path, text_or_empty
 from panelprep.llm.wavelet import WaveletMatrix
 
 END_ID = 1
@@ -92,7 +92,7 @@ class Encoder:
                 cache.clear()
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = kept({})
 
 
 def encoder(path: str) -> Encoder:
