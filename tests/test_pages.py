@@ -136,7 +136,8 @@ def test_sections_and_examples(spark, rows):
 
 def test_undocumented_similar_mode(spark, rows):
     c = ct.contracts(pages(spark, CONTRACT, "<p>x</p>"))
-    assert rows(ct.undocumented_fields(c), "api_name", "ask_for", "undocumented", "undocumented_ratio") == [("daily", ["open"], 1, 0.5)]
+    assert rows(ct.undocumented_fields(c), "api_name", "ask_for", "undocumented", "undocumented_ratio") == [
+        ("", None, None, None), ("daily", ["open"], 1, 0.5)]
     made = spark.createDataFrame([
         ("one", "1", [{"名称": "code"}], ["open", "close"], [], None), ("two", "2", [{"名称": "a"}, {"名称": "b"}], ["open", "close"], [], None),
         ("three", "3", [], ["open"], [{"名称": "START_DT"}, {"名称": "end_dt"}], None), ("none", "4", [], ["x"], [{"名称": "start_date"}], None),
@@ -144,10 +145,11 @@ def test_undocumented_similar_mode(spark, rows):
         "api_name string, doc_id string, required_params array<map<string,string>>, output_fields array<string>, "
         "input_params array<map<string,string>>, error string")
     ranked = ct.similar_contracts(made, ["close", "open", "open"]).collect()
-    assert [(r["api_name"], r["covered"], r["lacking"]) for r in ranked] == [("one", 2, []), ("two", 2, []), ("three", 1, ["close"])]
+    assert [(r["api_name"], r["covered"], r["lacking"]) for r in ranked] == [
+        ("one", 2, []), ("two", 2, []), ("three", 1, ["close"]), ("none", 0, ["close", "open"]), ("series", 0, ["close", "open"]), ("bad", None, None)]
     assert [r["api_name"] for r in ct.similar_contracts(made, ["open"], 2).collect()] == ["three", "one"]
     assert rows(ct.choose_scan_mode(made), "api_name", "scan_mode", "recommend_range_params") == [
-        ("none", "split", False), ("one", "split", False), ("series", "split", True), ("three", "interval", False), ("two", "split", False)]
+        ("bad", None, None), ("none", "split", False), ("one", "split", False), ("series", "split", True), ("three", "interval", False), ("two", "split", False)]
 
 
 def test_unescape_matches_python(spark):
