@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelprep.operators import calendar, drift
+from panelprep.operators import calendar, drift, joins
 from panelprep.plans.oracle_parts import ANCHORS, CALENDAR, EVENT_CALENDAR, FLOWS, PRICES, SPANS, drift as drift_sql
 from panelprep.plans.tables import (
     event_calendar, event_day, table, user_anchors, user_flows, user_prices, weekday_calendar,
@@ -133,6 +133,25 @@ def index_flow_of_weights_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_flow(drift.index_flow(drifted, user_flows(events), days, indices=anchors))
 
 
+FLOW_START, FLOW_END = "2024-01-10", "2024-01-30"
+
+
+def index_flow_by_source_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship by the book: weight sources by priority, the anchor before the range, drift, flow.
+
+    Purchases are the better weights, but only three of the five indices have them.
+    """
+    events = table(spark, sf_dir, "events")
+    days = durable(event_calendar(events))
+    bought = F.when((F.col("event_type") == "purchase") & (F.col("user_id") % 5 < 3), F.col("user_id"))
+    better = user_anchors(events.withColumn("user_id", bought)).where("con_code IS NOT NULL")
+    sourced = joins.first_available([("purchase_count", better), ("event_count", user_anchors(events))], ["index_code", "trade_date"])
+    anchors = durable(calendar.with_previous_anchor(sourced.withColumnRenamed("source", "anchor_weight_source"), FLOW_START, FLOW_END))
+    flows = drift.next_day_flow(user_flows(events), days)
+    drifted = drift.drop_unquoted(drift.drift_weights(anchors, _returns(events), days, carry=flows))
+    return _rounded_flow(drift.index_flow(drifted, None, days, start=FLOW_START, end=FLOW_END, indices=anchors))
+
+
 def _rounded_flow(out: DataFrame) -> DataFrame:
     return out.select(*[
         F.round(c, 6).alias(c) if c in ("index_flow", "moneyflow_weight_coverage_ratio") else c for c in out.columns])
@@ -168,6 +187,7 @@ QUERIES = {
     "coverage_loss": coverage_loss_query,
     "index_flow": index_flow_query,
     "index_flow_of_weights": index_flow_of_weights_query,
+    "index_flow_by_source": index_flow_by_source_query,
     "drift_error": drift_error_query,
 }
 
@@ -269,3 +289,15 @@ ORACLES = {
         FROM p LEFT JOIN ov USING (index_code, trade_date) GROUP BY 1, 2""",
 }
 ORACLES["index_flow_of_weights"] = ORACLES["index_flow"]
+_SOURCED = """
+counted AS (SELECT user_id % 5 AS index_code, user_id AS con_code, CAST(ts AS DATE) AS trade_date, CAST(count(*) AS DOUBLE) AS weight,
+        CAST(count(*) FILTER (event_type = 'purchase' AND user_id % 5 < 3) AS DOUBLE) AS better
+    FROM events WHERE day(ts) IN (1, 16) GROUP BY 1, 2, 3),
+chosen AS (SELECT *, max(better) OVER (PARTITION BY index_code, trade_date) > 0 AS has_better FROM counted),
+anchors AS (SELECT index_code, con_code, trade_date, CASE WHEN has_better THEN better ELSE weight END AS weight,
+        CASE WHEN has_better THEN 'purchase_count' ELSE 'event_count' END AS source
+    FROM chosen WHERE NOT has_better OR better > 0)"""
+ORACLES["index_flow_by_source"] = ORACLES["index_flow"].replace(ANCHORS, _SOURCED).replace(
+    "CASE WHEN anchor_weight_date IS NOT NULL THEN 'event_count' END",
+    "(SELECT any_value(source) FROM anchors a WHERE a.index_code = i.index_code AND a.trade_date = anchor_weight_date)",
+) + f" WHERE c.trade_date BETWEEN DATE '{FLOW_START}' AND DATE '{FLOW_END}'"
