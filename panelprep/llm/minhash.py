@@ -10,14 +10,19 @@ weighted Jaccard similarity.  Four samples make a band, and texts that agree on
 any of ten bands are candidates: at similarity 0.8 all but 1 in 200 pairs.
 
 Every text is compared with the first text of each of its buckets.  Where that
-fails in a bucket of three or more, the bucket's texts are compared again by their
-rarest shingles (of similar texts, the rarest fifth of the weight must have one in
-common), in order and with the first text.  Links are verified similarities, and
-classes their connected components.  Exact copies count as one text throughout.
+fails in a bucket of three or more, the bucket's texts are compared with the first
+text of each of their rarest shingles (of similar texts, the rarest fifth of the
+weight must have one in common).  After that all pairs of such a bucket that aren't
+in one class yet are compared, block by block; left out are only texts that share
+none of both's rarest shingles with another class and texts whose weights differ
+too much, which can't be similar.  So of each bucket every similar pair is in one
+class.  Links are verified similarities, and classes their connected components.
+Exact copies count as one text throughout.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +36,9 @@ WORDS = 5
 BANDS, ROWS = 10, 4
 THRESHOLD = 0.8
 PART = 48  # candidates of a text that are compared with it in one group
+BLOCK = 512  # texts, and
+BLOCK_SHINGLES = 200_000  # shingles of a block, two of which are compared in one group
+_COLUMNS = 4096
 
 _TABLE = 1 << 16
 _SHINGLE_BITS = 48
@@ -145,7 +153,7 @@ def _signatures(joined: DataFrame, n_docs: int, bands: int, rows: int) -> DataFr
 
 
 def _vectors(joined: DataFrame, wanted: DataFrame, n_docs: int) -> DataFrame:
-    """Shingle sets of the wanted texts ``(key, chunk, nth)``: ``key, shingles, weights``."""
+    """Shingle sets of the wanted texts ``(key, chunk, nth)``: ``key, shingles, weights``, their number and total weight."""
     per_chunk = wanted.groupBy("chunk").agg(F.collect_list(F.struct("nth", "key")).alias("wanted"))  # texts of one chunk at most
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,9 +165,17 @@ def _vectors(joined: DataFrame, wanted: DataFrame, n_docs: int) -> DataFrame:
                     pa.array([keys[d] for d in texts.docs.tolist()], pa.string()),
                     pa.array([pack(texts.shingle[a:b]) for a, b in zip(texts.starts, texts.ends)], pa.binary()),
                     pa.array([pack(texts.weight[a:b]) for a, b in zip(texts.starts, texts.ends)], pa.binary()),
-                ], names=["key", "shingles", "weights"])
+                    pa.array(texts.ends - texts.starts, pa.int64()),
+                    pa.array([texts.weight[a:b].sum() for a, b in zip(texts.starts, texts.ends)], pa.float64()),
+                ], names=["key", "shingles", "weights", "size", "total"])
 
-    return joined.join(per_chunk, "chunk").mapInArrow(build, "key string, shingles binary, weights binary")
+    return joined.join(per_chunk, "chunk").mapInArrow(build, "key string, shingles binary, weights binary, size long, total double")
+
+
+def _similarity(left: np.ndarray, w: np.ndarray, right: np.ndarray, v: np.ndarray) -> float:
+    _, i, j = np.intersect1d(left, right, True, True)
+    both = np.minimum(w[i], v[j]).sum()
+    return both / (w.sum() + v.sum() - both)
 
 
 def _similarities(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -180,17 +196,14 @@ def _similarities(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
         out = []
         for k in range(len(keys)):
             if k != first:
-                _, i, j = np.intersect1d(left, unpack(shingles[k].as_py(), np.uint64), True, True)
-                v = unpack(weights[k].as_py(), float)
-                both = np.minimum(w[i], v[j]).sum()
-                out.append((a, keys[k], both / (w.sum() + v.sum() - both)))
+                out.append((a, keys[k], _similarity(left, w, unpack(shingles[k].as_py(), np.uint64), unpack(weights[k].as_py(), float))))
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.string(), pa.float64()))], names=["a", "b", "similarity"])
 
-    return rows.join(vectors, "key").groupBy("a", "part").applyInArrow(compare, "a string, b string, similarity double")
+    return rows.join(vectors.select("key", "shingles", "weights"), "key").groupBy("a", "part").applyInArrow(compare, "a string, b string, similarity double")
 
 
-def _rare_pairs(keys: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of the texts in ``keys`` that share one of both's rarest shingles, each with the next and the first text of the shingle."""
+def _rarest(keys: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+    """``shingle, key``: the rarest shingles of the texts in ``keys``, of which two similar texts must share one."""
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, shingles, weights in zip(*(c.to_pylist() for c in batch.columns)):
@@ -201,13 +214,102 @@ def _rare_pairs(keys: DataFrame, vectors: DataFrame, threshold: float) -> DataFr
         spread, "key string, shingle long, w double"), "rare")
     counted = rows.join(rows.groupBy("shingle").count(), "shingle")
     before = Window.partitionBy("key").orderBy("count", "shingle")  # one text
-    prefix = counted.withColumn("upto", F.sum("w").over(before.rowsBetween(Window.unboundedPreceding, -1))).withColumn(
+    return counted.withColumn("upto", F.sum("w").over(before.rowsBetween(Window.unboundedPreceding, -1))).withColumn(
         "all", F.sum("w").over(Window.partitionBy("key"))).where(
         (F.coalesce("upto", F.lit(0.0)) <= (1 - threshold) * F.col("all") * (1 + 1e-9)) & (F.col("count") > 1)).select("shingle", "key")
-    order = Window.partitionBy("shingle").orderBy("key")
-    chained = prefix.select("key", F.lag("key").over(order).alias("next"), F.first("key").over(order).alias("first")).select(
-        F.col("key").alias("b"), F.explode(F.array("next", "first")).alias("a"))
-    return chained.where("a < b").select("a", "b").distinct()
+
+
+def _common_weights(sets: list[tuple[np.ndarray, np.ndarray]], second: np.ndarray) -> np.ndarray:
+    """Sums of the smaller weights of common shingles: texts not in ``second`` by those in it, or all by all where none is.
+
+    A shingle is a column for each weight it has, worth what this exceeds the next
+    smaller one by, and a text has the columns up to its weight.
+    """
+    code, w = np.concatenate([s for s, _ in sets]), np.concatenate([v for _, v in sets])
+    text = np.repeat(np.arange(len(sets)), [len(s) for s, _ in sets])
+    order = np.lexsort((w, code))
+    code, w, text = code[order], w[order], text[order]
+    other = np.append(True, code[1:] != code[:-1])
+    new = other | np.append(True, w[1:] != w[:-1])
+    column = np.cumsum(new) - 1
+    lowest = column[np.flatnonzero(other)][np.cumsum(other) - 1]
+    worth = np.where(other[new], w[new], np.diff(w[new], prepend=0))
+    upto = column - lowest + 1
+    text = np.repeat(text, upto)
+    column = np.repeat(lowest, upto) + np.arange(len(text)) - np.repeat(np.cumsum(upto) - upto, upto)
+    right = second if second.any() else np.ones(len(sets), bool)
+    left = ~second
+    shared = np.bincount(column[left[text]], minlength=len(worth)) * np.bincount(column[right[text]], minlength=len(worth)) > (0 if second.any() else 1)
+    text, column = text[shared[column]], (np.cumsum(shared) - 1)[column[shared[column]]]
+    worth = worth[shared]
+    order = np.argsort(column, kind="stable")
+    text, column = text[order], column[order]
+    out = np.zeros((left.sum(), right.sum()))
+    for a in range(0, len(worth), _COLUMNS):
+        lo, hi = np.searchsorted(column, [a, a + _COLUMNS])
+        has = np.zeros((len(sets), min(_COLUMNS, len(worth) - a)))
+        has[text[lo:hi], column[lo:hi] - a] = 1
+        out += (has[left] * worth[a : a + _COLUMNS]) @ has[right].T
+    return out
+
+
+def _joined_labels(table: pa.Table, threshold: float) -> pa.Table:
+    """Labels of one block, or of two, that similar texts join: as many links as are needed for that."""
+    labels, second = table.column("label").to_pylist(), np.array(table.column("second").to_pylist(), bool)
+    sets = [(unpack(s, np.uint64), unpack(w, float)) for s, w in zip(table.column("shingles").to_pylist(), table.column("weights").to_pylist())]
+    above: dict[str, str] = {}
+
+    def root(label: str) -> str:
+        while label in above:
+            label = above[label]
+        return label
+
+    out = []
+    if not second.all():
+        rows, columns = np.flatnonzero(~second), np.flatnonzero(second if second.any() else ~second)
+        total = np.array([w.sum() for _, w in sets])
+        number = np.unique(labels, return_inverse=True)[1]
+        both = _common_weights(sets, second)
+        near = (both >= (threshold - 1e-9) * (total[rows][:, None] + total[columns] - both)) & (number[rows][:, None] != number[columns])
+        for i, j in np.argwhere(near).tolist():
+            i, j = rows[i], columns[j]
+            a, b = sorted((root(labels[i]), root(labels[j])))
+            if a != b and _similarity(*sets[i], *sets[j]) >= threshold:
+                above[b] = a
+                out.append((a, b))
+    return pa.table([pa.array([p[k] for p in out], pa.string()) for k in range(2)], names=["a", "b"])
+
+
+def _rest_of_buckets(members: DataFrame, vectors: DataFrame, threshold: float, block: int, block_shingles: int) -> DataFrame:
+    """Links ``(a, b)`` of labels by all pairs of a bucket's texts (``bucket, key, label``) with different labels.
+
+    A bucket is cut into blocks: labels with many texts have blocks of their own,
+    which aren't compared among themselves, the others by ranges of the weight.
+    Only neighbouring ranges can hold similar texts.
+    """
+    width = -math.log(max(threshold, 1e-9) * (1 - 1e-9))
+    sized = members.join(vectors.select("key", "size", "total"), "key")
+    whole = sized.groupBy("bucket").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("n_shingles")).where(
+        "low <> high").select("bucket", ((F.col("n") <= block) & (F.col("n_shingles") <= block_shingles)).alias("one"))
+    of_label = sized.groupBy("bucket", "label").agg((F.count(F.lit(1)) >= block).alias("many"))
+    ranged = stored(sized.join(whole, "bucket").join(of_label, ["bucket", "label"]).select(
+        "bucket", "key", "label", "size", F.when(F.col("many") & ~F.col("one"), F.col("label")).otherwise(F.lit("")).alias("own"),
+        F.when(F.col("one"), F.lit(0)).otherwise(F.floor(F.log("total") / F.lit(width))).cast("long").alias("range")), "ranged")
+    parts = ranged.groupBy("bucket", "own", "range").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(block), F.sum("size") / F.lit(block_shingles))).cast("int").alias("parts"))
+    blocks = parts.select("bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "own", "range").select(
+        "bucket", F.struct("own", "range", "part").alias("block"))
+    x, y = F.col("x"), F.col("y")
+    pairs = stored(blocks.withColumnRenamed("block", "x").join(blocks.withColumnRenamed("block", "y"), "bucket").where(
+        (x <= y) & ((x["own"] == "") | (x["own"] != y["own"])) & (F.abs(x["range"] - y["range"]) <= 1)), "block_pairs")
+    to = pairs.select("bucket", "x", "y", x.alias("block"), F.lit(False).alias("second")).unionByName(
+        pairs.where(x != y).select("bucket", "x", "y", y.alias("block"), F.lit(True).alias("second")))
+    placed = ranged.join(parts, ["bucket", "own", "range"]).select(
+        "bucket", "key", "label", F.struct("own", "range", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part")).alias("block"))
+    return placed.join(to, ["bucket", "block"]).join(vectors.select("key", "shingles", "weights"), "key").select(
+        "bucket", "x", "y", "second", "label", "shingles", "weights").groupBy("bucket", "x", "y").applyInArrow(
+        lambda table: _joined_labels(table, threshold), "a string, b string").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -231,7 +333,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id",
-                    text_col: str = "text", block_words: int = BLOCK_WORDS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+                    text_col: str = "text", block_words: int = BLOCK_WORDS, chunk_bytes: int = CHUNK_BYTES,
+                    block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """A row per input row: ``id, key, class_id, class_key, n_class, n_copies, n_links``.
 
     ``key`` identifies the text (a null text is an empty one), ``class_id`` is the
@@ -264,12 +367,23 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
 
     failed = members.where("size > 2").join(compared.where(F.col("similarity") < threshold).select(
         F.col("a").alias("first"), F.col("b").alias("key")), ["first", "key"], "left_semi").select("bucket").distinct()
-    again = members.join(failed, "bucket", "left_semi").select(F.explode(F.array("key", "first")).alias("key")).distinct()
-    rare = _rare_pairs(again, vectors, threshold).join(compared, ["a", "b"], "left_anti")
+    held = members.join(failed, "bucket", "left_semi")
+    held = stored(held.select("bucket", "key").unionByName(held.select("bucket", F.col("first").alias("key")).distinct()), "held")
+    rarest = stored(_rarest(held.select("key").distinct(), vectors, threshold), "rarest")
+    firsts = rarest.groupBy("shingle").agg(F.min("key").alias("a"))
+    rare = rarest.join(firsts, "shingle").where("a < key").select("a", F.col("key").alias("b")).distinct().join(compared, ["a", "b"], "left_anti")
     more = stored(_similarities(rare, vectors), "compared_again")
     links = stored(compared.unionByName(more).where(F.col("similarity") >= threshold).select("a", "b"), "links")
 
     labels = components(links)
+    label = F.coalesce("label", "key").alias("label")
+    # texts that share one of both's rarest shingles with another class
+    shared = rarest.join(labels, "key", "left").select("shingle", "key", label)
+    mixed = shared.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    apart = shared.join(mixed, "shingle", "left_semi").select("key", "label").distinct()
+    wider = components(stored(_rest_of_buckets(held.join(apart, "key"), vectors, threshold, block, block_shingles), "wider"))
+    labels = texts.select("key").join(labels, "key", "left").select("key", label).join(
+        wider.select(F.col("key").alias("label"), F.col("label").alias("wider")), "label", "left").select("key", F.coalesce("wider", "label").alias("label"))
     degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
     labelled = texts.select("key", "id", "n").join(labels, "key", "left").join(degree, "key", "left").select(
         "key", "id", "n", F.coalesce("label", "key").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))

@@ -89,6 +89,65 @@ def test_classes_equal_all_pairs(spark, seed, bounds):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(sizes)
 
 
+def family(seed, n):
+    """Variants of one text with six of sixty edits each: similar if they share four, and every edit is in a tenth of them."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(300)]
+    edits = [(4 * i + 10, f"e{i}") for i in range(60)]
+    texts = []
+    for _ in range(n):
+        words = list(base)
+        for at, word in rng.sample(edits, 6):
+            words[at] = word
+        texts.append(" ".join(words))
+    return texts
+
+
+@pytest.mark.parametrize("n,bounds", [(400, {"block": 60, "block_shingles": 8000}), (2500, {})])
+def test_all_similar_texts_of_a_family(spark, n, bounds):
+    texts = family(n, n)
+    words = [t.split() for t in texts]
+    df = Counter(w for ws in words for w in set(ws))
+    idf = {w: 1 + math.log((n + 1) / (c + 1)) for w, c in df.items()}
+    number, worth = {}, []
+    sets = np.zeros((n, 20_000), np.float32)
+    for i, ws in enumerate(words):
+        for g in zip(*(ws[k:] for k in range(5))):
+            if g not in number:
+                number[g] = len(number)
+                worth.append(sum(idf[w] for w in g) / 5)
+            sets[i, number[g]] = 1
+    sets = sets[:, : len(worth)].astype(float)
+    both = (sets * worth) @ sets.T
+    total = np.diag(both)
+    close = np.argwhere(np.triu(both / (total[:, None] + total - both) >= 0.8, 1)).tolist()
+    want = list(range(n))
+    for _ in range(n):  # smallest number of the component
+        before = list(want)
+        for a, b in close:
+            want[a] = want[b] = min(want[a], want[b])
+        if want == before:
+            break
+    assert len(close) > 30 and len(set(want)) > n / 4
+    got = {r["doc_id"]: r["class_id"] for r in m.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), **bounds).collect()}
+    assert sum(got[a] == got[b] for a, b in close) >= 0.98 * len(close)
+    assert all(want[i] == want[c] for i, c in got.items())
+
+
+def test_common_weights_equal_plain_sums():
+    rng = np.random.default_rng(6)
+    sets = []
+    for _ in range(30):
+        codes = np.sort(rng.choice(60, rng.integers(1, 40), replace=False)).astype(np.uint64)
+        sets.append((codes, rng.integers(1, 4, len(codes)) * (1 + codes / 7)))
+    plain = np.array([[sum(min(w, v) for c, w in zip(*a) for d, v in zip(*b) if c == d) for b in sets] for a in sets])
+    for second in (np.zeros(30, bool), rng.random(30) < 0.4):
+        right = second if second.any() else ~second
+        got = m._common_weights(sets, second)
+        same = np.equal.outer(np.flatnonzero(~second), np.flatnonzero(right))  # a text with itself isn't asked for
+        assert np.allclose(got[~same], plain[~second][:, right][~same])
+
+
 def test_samples_agree_as_often_as_texts_are_similar():
     rng = np.random.default_rng(0)
     row = lambda s, w: (np.array(sorted(s)), w)
