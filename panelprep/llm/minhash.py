@@ -335,15 +335,14 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id",
                     text_col: str = "text", block_words: int = BLOCK_WORDS, chunk_bytes: int = CHUNK_BYTES,
                     block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """A row per input row: ``id, key, class_id, class_key, n_class, n_copies, n_links``.
+    """A row per input row: ``id, key, class_id, class_key, n_class, n_copies``.
 
     ``key`` identifies the text (a null text is an empty one), ``class_id`` is the
     smallest id of its class and ``class_key`` a text that has this id, ``n_class``
-    the class's rows, ``n_copies`` the rows with exactly this text and ``n_links``
-    its verified links to other texts.  Texts without words are alike only if they
-    are equal.  A null id is never a class's id while the class has another.
-    Repeated rows are copies; an empty table gives no rows; other columns are
-    ignored.
+    the class's rows and ``n_copies`` the rows with exactly this text.  Texts without
+    words are alike only if they are equal.  A null id is never a class's id while
+    the class has another.  Repeated rows are copies; an empty table gives no rows;
+    other columns are ignored.
     """
     text = text_or_empty(text_col).cast("binary")
     keyed = docs.select(F.struct(F.col(id_col).alias("id"), F.md5(text).alias("key")).alias("k"), text.alias("text"))
@@ -384,14 +383,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     wider = components(stored(_rest_of_buckets(held.join(apart, "key"), vectors, threshold, block, block_shingles), "wider"))
     labels = texts.select("key").join(labels, "key", "left").select("key", label).join(
         wider.select(F.col("key").alias("label"), F.col("label").alias("wider")), "label", "left").select("key", F.coalesce("wider", "label").alias("label"))
-    degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
-    labelled = texts.select("key", "id", "n").join(labels, "key", "left").join(degree, "key", "left").select(
-        "key", "id", "n", F.coalesce("label", "key").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    labelled = texts.select("key", "id", "n").join(labels, "key")
     classes = labelled.groupBy("label").agg(F.min("id").alias("class_id"), F.sum("n").alias("n_class"),
                                             F.min_by("key", F.struct(F.col("id").isNull(), "id", "key")).alias("class_key"))
-    found = labelled.join(classes, "label").select("key", "class_id", "class_key", "n_class", F.col("n").alias("n_copies"), "n_links")
+    found = labelled.join(classes, "label").select("key", "class_id", "class_key", "n_class", F.col("n").alias("n_copies"))
     return signed.select(F.col("k.id").alias(id_col), F.col("k.key").alias("key")).join(found, "key").select(
-        id_col, "key", "class_id", "class_key", "n_class", "n_copies", "n_links")
+        id_col, "key", "class_id", "class_key", "n_class", "n_copies")
 
 
 def one_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

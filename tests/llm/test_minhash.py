@@ -182,3 +182,7 @@ def test_odd_documents(odd_docs, no_docs):
     assert sorted(classes[0]) == [0, 104, 104, 104, 104] and sorted(classes[1]) == [1, 105] and classes[2] == [2, 105]
     assert sorted(classes[100]) == [100, 101] and classes[103] == [103] and classes[None] == [None]
     assert m.near_duplicates(no_docs).count() == 0
+
+
+def test_result_claims_no_degree(no_docs):
+    assert m.near_duplicates(no_docs).columns == ["doc_id", "key", "class_id", "class_key", "n_class", "n_copies"]  # not all links are looked for
