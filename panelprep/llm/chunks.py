@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from panelprep.llm.common import drop_kept, shared_path
 
 CHUNK_BYTES = 5 * 1024 * 1024
+ROW_BYTES = 64  # what a text counts for besides its bytes, so that empty ones fill a chunk, too
 BLOCK_WORDS = 1_200_000  # different words (or pairs) that one block group should have
 END = 1  # hash of the token after the last word
 
@@ -78,7 +79,7 @@ def write_chunks(docs: DataFrame, words_of: Callable[[bytes], list[bytes]], end:
                     words.append(b"")
                 tokens.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
                 lengths.append(len(words))
-                size += len(text)
+                size += len(text) + ROW_BYTES
                 if size >= chunk_bytes:
                     keys.append(batch.column(0).slice(at, i + 1 - at))
                     at = i + 1

@@ -32,7 +32,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from panelprep.llm.chunks import answered, block_count, block_of, cuts, joined_answer, pack, unpack
+from panelprep.llm.chunks import ROW_BYTES, answered, block_count, block_of, cuts, joined_answer, pack, unpack
 from panelprep.llm.common import shared_path, stored, text_or_empty
 
 LENGTH = 200
@@ -200,7 +200,7 @@ def _text_chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
             at = 0
             for i, text in enumerate(batch.column(1).to_pylist()):
                 texts.append(text)
-                size += len(text)
+                size += len(text) + ROW_BYTES
                 if size >= chunk_bytes:
                     ids.append(batch.column(0).slice(at, i + 1 - at))
                     at = i + 1

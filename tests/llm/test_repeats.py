@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 
 from panelprep.llm import repeats
+from panelprep.llm.chunks import ROW_BYTES, write_chunks
 
 SCHEMA = "doc_id long, text string, n_bytes string"
 
@@ -67,3 +68,12 @@ def test_short_lengths_and_kept_text(spark):
 
 def test_empty_table(spark):
     assert repeats.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_chunks_of_empty_texts_are_bounded(spark):
+    rows = [(i, None if i % 3 else "") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "id long, text string").coalesce(1).selectExpr("id", "id as k", "cast(coalesce(text, '') as binary) as text")
+    words = write_chunks(docs, bytes.split, False, 100 * ROW_BYTES)
+    texts = repeats._text_chunks(docs, 100 * ROW_BYTES)
+    for sizes in ([len(c["ks"]) for c in words.select("ks").collect()], [len(c["ids"]) for c in texts.select("ids").collect()]):
+        assert sum(sizes) == 2000 and max(sizes) <= 100
