@@ -107,11 +107,14 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _groups(rows: DataFrame) -> DataFrame:
-    """``cell`` to the group that judges it: its own, its language's small ones, all small ones, or none (null)."""
+    """``cell`` to the group that judges it: its own, its language's small ones, all small ones, or none (null).
+
+    Without a source a cell reads as its language does, so names begin with their kind.
+    """
     cells = rows.where("not base_failed").groupBy("cell", "wide").count()
     wide = cells.where(F.col("count") < LEAST_ROWS).groupBy("wide").agg(F.sum("count").alias("wide_count"))
-    named = cells.join(wide, "wide", "left").withColumn("group", F.when(F.col("count") >= LEAST_ROWS, F.col("cell")).when(
-        F.col("wide_count") >= LEAST_ROWS, F.col("wide")).otherwise(F.lit("*")))
+    named = cells.join(wide, "wide", "left").withColumn("group", F.when(F.col("count") >= LEAST_ROWS, F.concat(F.lit("cell "), "cell")).when(
+        F.col("wide_count") >= LEAST_ROWS, F.concat(F.lit("wide "), "wide")).otherwise(F.lit("*")))
     rest = named.where("group = '*'").select(F.sum("count")).scalar()
     return named.select("cell", F.when((F.col("group") != "*") | (rest >= LEAST_ROWS), F.col("group")).alias("group"))
 

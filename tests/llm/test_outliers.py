@@ -62,5 +62,17 @@ def test_steps_equal_plain_concentration():
     assert abs(np.cov(inner.T).diagonal().mean() * o._consistency(0.75, 8) - 1) < 0.02
 
 
+def test_null_sources_are_no_pool(spark):
+    rng = np.random.default_rng(5)
+    words = [f"{'abcdefgh'[i % 8]}{i}" for i in range(2000)]
+    sources = [None] * 60 + ["s1"] * 30 + ["s2"] * 30
+    rows = [(i, " ".join(rng.choice(words, 80)), lang, s) for lang in ("en", None) for i, s in enumerate(sources)]
+    statistics = o.text_statistics(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    group = {r["cell"]: r["group"] for r in o._groups(statistics).collect()}
+    assert len(group) == 6 and len(set(group.values())) == 4
+    for lang in ('"0":"en",', ""):
+        assert group[f'{{{lang}"1":"s1"}}'] == group[f'{{{lang}"1":"s2"}}'] != group[f"{{{lang.rstrip(',')}}}"]
+
+
 def test_empty_table(no_docs):
     assert o.judge(no_docs).count() == 0
