@@ -179,7 +179,7 @@ def test_odd_documents(odd_docs, no_docs):
     classes = {}
     for r in got:
         classes.setdefault(r["class_id"], []).append(r["doc_id"])
-    assert sorted(classes[0]) == [0, 104, 104, 104, 104] and sorted(classes[1]) == [1, 105] and classes[2] == [2, 105]
+    assert sorted(classes[0]) == [0, 104, 104, 104, 104] and sorted(classes[1]) == [1, 105] and sorted(classes[2]) == [2, 105]
     assert sorted(classes[100]) == [100, 101] and classes[103] == [103] and classes[None] == [None]
     assert m.near_duplicates(no_docs).count() == 0
 
