@@ -8,7 +8,6 @@ which any token, the count of an id and all its places can be looked up.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -17,90 +16,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from panelprep.llm.common import kept, shared_path, text_or_empty
+from panelprep.llm.common import shared_path, text_or_empty
+from panelprep.llm.encoding import encoder
 from panelprep.llm.wavelet import WaveletMatrix
 
 END_ID = 1
 SHARD_TOKENS = 4_000_000
-CACHE_ENTRIES = 700_000
-
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-# Between a letter a-z and ASCII punctuation or a digit (not an apostrophe) the
-# pre-tokenizer always cuts, and nothing is composed across it.
-_CUT = re.compile(rb"(?<=[a-z])(?=[!-&(-@\[-`{-~])|(?<=[!-&(-@\[-`{-~])(?=[a-z])")
-
-
-def byte_alphabet() -> dict[int, str]:
-    """The printable stand-ins of byte-level pre-tokenizers: printable Latin-1 bytes stand for themselves, the rest follow from U+0100."""
-    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in kept]
-    return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-
-class _Pieces(dict):
-    """Token ids (as bytes) of the pieces met so far; a missing piece is encoded when first asked for."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, piece: bytes) -> bytes:
-        self[piece] = ids = self.encode(piece)
-        return ids
-
-
-class Encoder:
-    """Encodes whole texts exactly as the tokenizer does, but each different piece of text only once.
-
-    Text may be cut at ASCII white space, which no token spans; there, after
-    lowering A-Z, pieces repeat a lot.  Runs of letters go straight to the
-    tokenizer's model, anything else through its whole pipeline.  A text in which
-    a special token could be meant is encoded in one piece.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
-        self.alphabet = byte_alphabet()
-        self.parts = _Pieces(self._part)
-        self.pieces = _Pieces(lambda piece: b"".join(map(self.parts.__getitem__, _CUT.split(piece))))
-
-    def _ids(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
-
-    def _part(self, part: bytes) -> bytes:
-        text = part.decode("utf-8")
-        if not part.isalpha():
-            text = self.tokenizer.normalizer.normalize_str(text) if text.isalpha() else ""
-            if not text.isalpha():
-                return self._ids(self.tokenizer.encode(part.decode("utf-8"), add_special_tokens=False).ids)
-            text = text.encode("utf-8").decode("latin-1").translate(self.alphabet)
-        return self._ids([t.id for t in self.tokenizer.model.tokenize(text)])
-
-    def encode(self, text: bytes) -> bytes:
-        if b"<|" in text:
-            return self._ids(self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids)
-        return b"".join(map(self.pieces.__getitem__, text.translate(_LOWER).split()))
-
-    def trim(self) -> None:
-        """Forgets all pieces once they are too many: memory stays bounded."""
-        for cache in (self.parts, self.pieces):
-            if len(cache) > CACHE_ENTRIES:
-                cache.clear()
-
-
-_ENCODERS: dict[str, Encoder] = kept({})
-
-
-def encoder(path: str) -> Encoder:
-    """One for each worker process and tokenizer."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
 
 _SHARDS = "part int, seq int, n_docs long, n_tokens long, doc_ids binary, lengths binary, wavelet binary"
 
@@ -134,14 +55,13 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
             ], names=["part", "seq", "n_docs", "n_tokens", "doc_ids", "lengths", "wavelet"])
 
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                chunks.append(enc.encode(text) + end)
+            for i, tokens in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1).to_pylist())):
+                chunks.append(tokens + end)
                 ids.append(i)
                 size += len(chunks[-1]) // enc.dtype().itemsize
                 if size >= shard_tokens:
                     yield shard()
                     ids, chunks, size, seq = [], [], 0, seq + 1
-            enc.trim()
         if ids:
             yield shard()
 

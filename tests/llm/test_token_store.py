@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from panelprep.llm import token_store as ts
+from panelprep.llm.encoding import Encoder
 from panelprep.llm.queries import tokenizer_path
 from panelprep.llm.wavelet import WaveletMatrix
 
@@ -25,22 +26,38 @@ def test_wavelet_matrix(n, top):
             assert matrix.occurrences(v).tolist() == np.flatnonzero(values == v).tolist() and matrix.count(v) == (values == v).sum()
 
 
-ENCODER = ts.Encoder(tokenizer_path())
+ENCODER = Encoder(tokenizer_path())
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.one_of(st.sampled_from(" \n\t'.,!?0123abcXYŹé—ßİΣ<|>"), st.characters(exclude_categories=["Cs"])), max_size=40))
-def test_pieces_encode_like_the_whole_text(text):
-    got = np.frombuffer(ENCODER.encode(text.encode()), ENCODER.dtype).tolist()
+def test_encodes_like_the_tokenizer(text):
+    assert ENCODER.fast
+    got = np.frombuffer(ENCODER.encode([text.encode()])[0], ENCODER.dtype).tolist()
     assert got == ENCODER.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("text", ["<|endoftext|> a", "A<|startoftext|>b'S", "it's I'LL x.y-z 3a", "ﬁ Å x́.y ½a२3"])
 def test_special_strings(text):
-    got = np.frombuffer(ENCODER.encode(text.encode()), ENCODER.dtype).tolist()
+    got = np.frombuffer(ENCODER.encode([text.encode()])[0], ENCODER.dtype).tolist()
     assert got == ENCODER.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_texts_of_a_batch_and_long_ones():
+    texts = ["a " * 700_000, "", "\n", "x" * 1_100_000 + " ß ’s 字 end", "it's"] * 2
+    got = [np.frombuffer(ids, ENCODER.dtype).tolist() for ids in ENCODER.encode([t.encode() for t in texts])]
+    assert got == [ENCODER.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_tokenizer_of_another_shape():
+    import public_tokenizers
+
+    other = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not other.fast
+    text = "It's  A\n\ntext, ½ 字 "
+    assert np.frombuffer(other.encode([text.encode()])[0], other.dtype).tolist() == other.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_round_trip_in_order(spark, odd_docs, tmp_path):
     rows, df = odd_docs
     path = str(tmp_path / "shards")
