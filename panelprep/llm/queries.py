@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelprep.llm import fm_decontam, katz, minhash, mixing, oracles, outliers, quality_trees, repeats, shard_order, token_store, url_filters
+from panelprep.llm import (
+    fm_decontam, katz, merkle, minhash, mixing, oracles, outliers, packing, quality_trees, repeats, shard_order, token_pairs, token_store, url_filters)
 from panelprep.llm.common import table
 
 
@@ -55,6 +56,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_pairs.align_documents(table(spark, sf_dir, "documents"), *paths)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return merkle.proofs(merkle.build(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], {"text": tampered}))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op2_token_store, op3_quality, op4_sharding, op5_minhash, op6_repeats, op7_outliers, op8_katz, op9_mixing, op10_decontamination)}
+    op1_url_filters, op2_token_store, op3_quality, op4_sharding, op5_minhash, op6_repeats, op7_outliers, op8_katz, op9_mixing, op10_decontamination,
+    op11_alignment, op12_packing, op13_merkle)}
 ORACLES = oracles.ORACLES
