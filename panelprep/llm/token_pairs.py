@@ -26,6 +26,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -33,7 +34,7 @@ from panelprep.llm.chunks import ROW_BYTES, pack, unpack
 from panelprep.llm.common import kept, shared_path, stored, text_or_empty
 from panelprep.llm.encoding import byte_alphabet
 
-CHUNK_BYTES = 5 * 1024 * 1024
+CHUNK_BYTES = 3 * 1024 * 1024
 SLICE_PAIRS = 4_000_000  # distinct pairs that a slice can have at most
 GROUP_BYTES = 16 * 1024 * 1024  # of packed blocks that become one vector
 FAN = 8  # vectors that are summed at a time
@@ -45,6 +46,16 @@ _CUT = re.compile(r"(?<=\S) (?=[^\s▁])")
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+def _pack_ids(ids: np.ndarray) -> bytes:
+    """Token ids take most of what is stored: better packed than :func:`pack` does."""
+    small = not len(ids) or int(ids.max()) < 1 << 16
+    return bytes([2 if small else 4]) + zstandard.ZstdCompressor(level=3).compress(ids.astype(np.uint16 if small else np.uint32).tobytes())
+
+
+def _unpack_ids(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint16 if data[0] == 2 else np.uint32)
+
+
 class PerfectHash:
     """Minimal perfect hash of distinct 64-bit keys: numbers them from 0 to n - 1.
 
@@ -127,6 +138,8 @@ class Tokenizers:
             own = Tokenizer.from_file(path_a)
             own.encode_special_tokens = True
             self.encode_a = lambda text: own.encode(text, add_special_tokens=False).ids
+        # how an id is written inside a group, and as the last one of its kind
+        self.said = [f"{i}{mark}" for of, marks in ((self.bytes_a, ",|"), (self.bytes_b, ",;")) for i in range(len(of)) for mark in marks]
         self.length_a, self.length_b = (np.array([len(t) for t in of], np.int64) for of in (self.bytes_a, self.bytes_b))
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -182,8 +195,10 @@ def align(length_a: np.ndarray, length_b: np.ndarray) -> Alignment:
     ends[ends_b] |= 2
     at = np.flatnonzero(ends)
     kind = ends[at]
+    del ends
     ends_with_a, ends_with_b, both = kind & 1, kind >> 1, kind == 3
-    before = lambda flags: np.cumsum(flags, dtype=np.int64) - flags
+    kind_of = np.int32 if size < 1 << 31 else np.int64
+    before = lambda flags: np.cumsum(flags, dtype=kind_of) - flags
     group = before(both)
     return Alignment(group[ends_with_a == 1], group[ends_with_b == 1], before(ends_with_a), before(ends_with_b), at, both)
 
@@ -210,7 +225,7 @@ def _write_chunks(docs: DataFrame, path_a: str, path_b: str, slices: int, chunk_
             return pa.RecordBatch.from_arrays([
                 pa.array([(part << 32) + seq], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held),
                 *(pa.array([pack(np.array([len(x) for x in of], np.int64))], pa.binary()) for of in (a, b)),
-                pa.array([pack(all_a)], pa.binary()), pa.array([pack(all_b)], pa.binary()), pa.array([blocks], block)],
+                pa.array([_pack_ids(all_a)], pa.binary()), pa.array([_pack_ids(all_b)], pa.binary()), pa.array([blocks], block)],
                 names=["chunk", "ids", "n_a", "n_b", "a", "b", "blocks"])
 
         for batch in batches:
@@ -349,6 +364,11 @@ def _answers(blocks: DataFrame, totals: DataFrame, groups: int) -> DataFrame:
 _RESULT = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
+def _text_ends(length_a: np.ndarray, n_a: np.ndarray) -> np.ndarray:
+    """Last byte of each text, put end to end; first a 0."""
+    return np.concatenate((np.zeros(1, np.int64), np.cumsum(length_a)))[np.concatenate((np.zeros(1, np.int64), np.cumsum(n_a)))]
+
+
 def _per_text(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """Sums of each text's values."""
     return np.diff(np.concatenate((np.zeros(1, np.int64), np.cumsum(values, dtype=np.int64)))[edges])
@@ -376,14 +396,14 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, groups: bool = Fa
     blocks = blocks.withColumn("grp", F.pmod(F.xxhash64("chunk"), F.lit(parts)).cast("int"))
     answers = _answers(blocks, _totals(blocks, _pair_table(blocks, parts), parts), parts)
     answers = answers.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("slice", "counts", "best"))).alias("answers"))  # a chunk's blocks
-    length_a, length_b = len(both.bytes_a), len(both.bytes_b)
+    length_a = len(both.bytes_a)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = tokenizers(path_a, path_b)
-        said = [f"{i}{mark}" for top, marks in ((length_a, ",|"), (length_b, ",;")) for i in range(top) for mark in marks]
         for batch in batches:
-            for i, row in enumerate(batch.drop_columns(["ids"]).to_pylist()):
-                a, b, n_a, n_b = unpack(row["a"], np.uint32), unpack(row["b"], np.uint32), unpack(row["n_a"], np.int64), unpack(row["n_b"], np.int64)
+            for i in range(batch.num_rows):
+                row = {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names) if name != "ids"}
+                a, b, n_a, n_b = _unpack_ids(row["a"]), _unpack_ids(row["b"]), unpack(row["n_a"], np.int64), unpack(row["n_b"], np.int64)
                 links = align(both.length_a[a], both.length_b[b])
                 answers = row["answers"] or []
                 known = np.concatenate([np.zeros(0, np.uint64), *(_read_keys(k["keys"]) for k in sorted(row["blocks"], key=lambda k: k["slice"]))])
@@ -391,19 +411,20 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, groups: bool = Fa
                 best = np.concatenate([np.zeros(0, np.uint8), *(unpack(k["best"], np.uint8) for k in answers)])
                 order = np.argsort(known)
                 at = order[np.searchsorted(known[order], _keys(a[links.link_a], b[links.link_b]))]
+                edges = np.searchsorted(links.ends, _text_ends(both.length_a[a], n_a), side="right")
+                n_best, count_sum = (_per_text(of[at], edges) for of in (best, counts))
                 edge_a, edge_b = (np.concatenate((np.zeros(1, np.int64), np.cumsum(n))) for n in (n_a, n_b))
-                last = np.concatenate((np.zeros(1, np.int64), np.cumsum(both.length_a[a])))[edge_a]  # last byte of each text
-                edges = np.searchsorted(links.ends, last, side="right")
                 n_groups = _per_text(links.both, edges)
+                del at, known, order
                 in_a, in_b = (np.concatenate((np.zeros(1, np.int64), np.cumsum(np.bincount(g, minlength=int(links.both.sum()))))) for g in (links.group_a, links.group_b))
-                text = np.empty(len(a) + len(b), np.int64)  # tokens of both in the order of the groups
-                text[np.arange(len(a)) + in_b[links.group_a]] = a.astype(np.int64) * 2 + (np.diff(links.group_a, append=-1) != 0)
-                text[np.arange(len(b)) + in_a[links.group_b + 1]] = (b.astype(np.int64) + length_a) * 2 + (np.diff(links.group_b, append=-1) != 0)
+                text = np.empty(len(a) + len(b), np.int32)  # tokens of both in the order of the groups
+                text[np.arange(len(a)) + in_b[links.group_a]] = a.astype(np.int32) * 2 + (np.diff(links.group_a, append=-1) != 0)
+                text[np.arange(len(b)) + in_a[links.group_b + 1]] = (b.astype(np.int32) + length_a) * 2 + (np.diff(links.group_b, append=-1) != 0)
                 cut = (edge_a + edge_b).tolist()
-                told = ["".join(map(said.__getitem__, text[s:e].tolist()))[:-1] for s, e in zip(cut, cut[1:])]
+                told = ["".join(map(both.said.__getitem__, text[s:e].tolist()))[:-1] for s, e in zip(cut, cut[1:])]
                 digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in told]
                 columns = [batch.column(batch.schema.get_field_index("ids"))[i].values, *map(pa.array, (
-                    n_a, n_b, n_groups, np.diff(edges), _per_text(best[at], edges), _per_text(counts[at], edges))), pa.array(digests, pa.string())]
+                    n_a, n_b, n_groups, np.diff(edges), n_best, count_sum)), pa.array(digests, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(told, pa.string())] * groups,
                                                  names=["id", *(c.split()[0] for c in _RESULT.split(", "))] + ["groups"] * groups)
 
