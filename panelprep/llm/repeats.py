@@ -13,8 +13,11 @@ The windows of one occurrence of an anchor lie together in a segment of the text
   the boundaries with a longest common prefix of l.  After 200 levels, boundaries
   still without one separate suffixes that agree in 200 bytes or more; a run of
   these with two windows or more repeats.
-* an anchor with very many different segments would fill a task; its windows are
-  counted by a digest of their bytes instead.
+* an anchor with very many different segments would fill a task.  Its windows are
+  split in two by how far behind their start the anchor lies; all windows of a half
+  share more bytes round the anchor, and these are the half's anchor.  Halves with
+  very many different segments are split again: at the end a window is an anchor
+  of its own.
 
 Texts are read once into chunks of some megabytes; anchors and their answers
 travel as packed blocks (see :mod:`panelprep.llm.chunks`).
@@ -37,10 +40,10 @@ from panelprep.llm.common import shared_path, stored, text_or_empty
 
 LENGTH = 200
 GRAM = 100  # bytes of the substrings that anchors are chosen from
-RANGE_BYTES = 2_000_000  # of segments that one transform should have
+RANGE_BYTES = 1_000_000  # of segments that one transform should have
 CHUNK_BYTES = 4 * 1024 * 1024
 BLOCK_ANCHORS = 500_000
-MANY = 2_000  # different segments of an anchor beyond which its windows are counted by digest
+MANY = 2_000  # different segments of an anchor beyond which its windows are split
 
 _PIECE = 1 << 16  # windows that are gone through at a time
 _BASE = 0x9E3779B97F4A7C15
@@ -73,10 +76,10 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def segments(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of texts put end to end: anchor, digest of the segment, first and last window, for all windows within a text, in order."""
+def segments(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Of texts put end to end: anchor, digest of the segment, first and last window, and the anchor's place, for all windows within a text, in order."""
     ends = ends[np.diff(ends, prepend=0) > 0]
-    parts = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    parts = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))]
     for start in range(0, len(data) - length + 1, _PIECE):
         windows = min(_PIECE, len(data) - length + 1 - start)
         part = data[start : start + windows + length - 1]
@@ -92,7 +95,7 @@ def segments(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tupl
         first, last = first[inside[first]], last[inside[first]]
         content = _mix((sums[last + length] - sums[first]) * _INVERSE[first] + (last - first).astype(np.uint64))
         # anchors have small hashes: mixed again, they spread over all blocks
-        parts.append((_mix(grams[anchor[first]] + np.uint64(_BASE)), content, first + start, last + start))
+        parts.append((_mix(grams[anchor[first]] + np.uint64(_BASE)), content, first + start, last + start, anchor[first] + start))
     return tuple(np.concatenate(p) for p in zip(*parts))
 
 
@@ -107,19 +110,26 @@ def sorted_suffixes(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
     step = first = 62 // bits
     key = np.zeros(n, np.int64)
     for k in range(first):
-        key[: max(n - k, 0)] |= symbols[k:] << (bits * (first - 1 - k))
-    order = np.argsort(key)
-    change = key[order][1:] ^ key[order][:-1]
-    common = np.where(change == 0, first, first - 1 - (np.frexp(change.astype(float))[1] - 1) // bits)
-    rank = np.empty(n, np.int64)
+        key <<= bits
+        key[: max(n - k, 0)] |= symbols[k:]
+    order = np.argsort(key).astype(np.int32)
+    key = key[order]
+    change = key[1:] ^ key[:-1]
+    common = np.zeros(n, np.uint8)
+    for k in range(1, first + 1):
+        common[1:] += change < 1 << (bits * (first - k))
+    del change
+    rank = np.empty(n, np.int32)
     while True:
-        rank[order] = np.cumsum(np.concatenate(([0], key[order][1:] != key[order][:-1])))
+        rank[order] = np.cumsum(np.concatenate(([False], key[1:] != key[:-1])), dtype=np.int32)
         if step >= length or rank[order[-1]] == n - 1:
-            return order, np.concatenate(([0], common)), first
-        following = np.zeros(n, np.int64)
-        following[: max(n - step, 0)] = rank[step:] + 1
-        key = rank * (n + 1) + following
-        order = np.argsort(key)
+            return order, common, first
+        key = rank.astype(np.int64)
+        key *= n + 1
+        key[: max(n - step, 0)] += rank[step:]
+        key[: max(n - step, 0)] += 1
+        order = np.argsort(key).astype(np.int32)
+        key = key[order]
         step *= 2
 
 
@@ -134,24 +144,26 @@ def long_prefixes(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndar
     sa, common, level = sorted_suffixes(symbols, length)
     level = min(level, length)
     bwt = symbols[sa - 1]
-    to = np.empty(n, np.int64)  # where each place's suffix, extended by the symbol to its left, stands
-    to[np.argsort(bwt.astype(np.uint16), kind="stable")] = np.arange(n)
+    to = np.empty(n, np.int32)  # where each place's suffix, extended by the symbol to its left, stands
+    to[np.argsort(bwt, kind="stable")] = np.arange(n, dtype=np.int32)
     unset = np.append(common >= level, False)  # no common prefix length known yet at the boundary before a place
     unset[0] = False
-    edges = np.flatnonzero(~unset)
+    edges = np.flatnonzero(~unset).astype(np.int32)
     low, high = edges[:-1], edges[1:]  # half-open intervals of the strings of this level, those with a new boundary at their end
-    new = np.append(common, -1)[high] == level - 1
+    new = np.append(common, np.uint8(255))[high] == level - 1
     low, high = low[new], high[new]
     while level < length and len(low):
         sizes = high - low
-        of = np.repeat(np.arange(len(low)), sizes)
-        place = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low, sizes)
+        of = np.repeat(np.arange(len(low), dtype=np.int32), sizes)
+        place = np.arange(len(of), dtype=np.int32) + np.repeat(low - (np.cumsum(sizes, dtype=np.int32) - sizes), sizes)
         symbol = bwt[place]
         more = symbol > 1
         # strings longer by one: of one interval, the places with one symbol to the left lead to neighbours
-        key, target = (of * 512 + symbol)[more], to[place[more]]
+        place, key = place[more], of[more].astype(np.int64)
+        key <<= 9
+        key |= symbol[more]
         order = np.argsort(key, kind="stable")
-        key, target = key[order], target[order]
+        key, target = key[order], to[place[order]]
         first = np.flatnonzero(np.diff(key, prepend=-1))
         last = np.append(first[1:], len(key))[: len(first)] - 1
         low, high = target[first], target[last] + 1
@@ -167,14 +179,16 @@ def repeated_windows(texts: list[bytes], weights: list[int], length: int) -> lis
     sizes = np.array([len(t) + 1 for t in texts])
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    symbols = np.frombuffer(b"\x00".join(texts) + b"\x00\x00", np.uint8).astype(np.int64) + 2
+    symbols = np.frombuffer(b"\x00".join(texts) + b"\x00\x00", np.uint8).astype(np.uint16) + np.uint16(2)
     symbols[ends - 1], symbols[-1] = 1, 0  # 1 ends a segment, 0 the whole
     sa, same = long_prefixes(symbols, length)
-    room = np.append(np.repeat(ends - 1, sizes) - np.arange(len(symbols) - 1), 0)  # bytes up to the segment's end
-    weight = np.where(room >= length, np.append(np.repeat(np.minimum(weights, 2), sizes), 0), 0)[sa]
-    run = np.cumsum(~same) - 1
+    known = np.zeros(len(symbols), np.uint8)  # weights of whole windows
+    for a, b, weight in zip(starts.tolist(), ends.tolist(), weights):
+        known[a : max(a, b - length)] = min(weight, 2)
+    known = known[sa]
+    run = np.cumsum(~same, dtype=np.int32) - 1
     repeated = np.zeros(len(symbols), bool)
-    repeated[sa] = (np.bincount(run, weight)[run] >= 2) & (weight > 0)
+    repeated[sa] = (np.bincount(run, known)[run] >= 2) & (known > 0)
     return [repeated[a : max(a, b - length)] for a, b in zip(starts.tolist(), ends.tolist())]
 
 
@@ -225,9 +239,9 @@ class _Chunk:
 
     def find(self, length: int, gram: int) -> None:
         """Segments in the order of anchor and content; ``first_of`` marks the first of equal ones, ``entry`` that of an anchor."""
-        anchor, content, first, last = segments(self.data, self.ends, length, gram)
+        anchor, content, first, last, at = segments(self.data, self.ends, length, gram)
         order = np.lexsort((content, anchor))
-        self.anchor, self.content, self.first, self.last = anchor[order], content[order], first[order], last[order]
+        self.anchor, self.content, self.first, self.last, self.at = (x[order] for x in (anchor, content, first, last, at))
         self.entry = np.ones(len(order), bool)
         self.entry[1:] = self.anchor[1:] != self.anchor[:-1]
         self.first_of = self.entry.copy()
@@ -274,7 +288,7 @@ def _anchor_answers(chunks: DataFrame, blocks: int, length: int, gram: int, many
     return sent.groupBy("block").applyInArrow(answer, "block long, chunk long, codes binary")
 
 
-_FOUND = "chunk long, starts binary, ends binary, anchor long, content long, weight long, many boolean, first long, data binary"
+_FOUND = "chunk long, starts binary, ends binary, anchor long, content long, weight long, many boolean, first long, at long, data binary"
 
 
 def _first_findings(joined: DataFrame, length: int, gram: int) -> DataFrame:
@@ -295,12 +309,12 @@ def _first_findings(joined: DataFrame, length: int, gram: int) -> DataFrame:
                 nothing = lambda kind: pa.nulls(1, kind)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([row["chunk"]]), pa.array([pack(chunk.first[sure])], pa.binary()), pa.array([pack(chunk.last[sure] + 1)], pa.binary()),
-                    *[nothing(pa.int64())] * 3, nothing(pa.bool_()), nothing(pa.int64()), nothing(pa.binary())], names=names)
+                    *[nothing(pa.int64())] * 3, nothing(pa.bool_()), *[nothing(pa.int64())] * 2, nothing(pa.binary())], names=names)
                 view = memoryview(chunk.bytes)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(n, row["chunk"])), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.array(chunk.anchor[send].view(np.int64)),
                     pa.array(chunk.content[send].view(np.int64)), pa.array(all_weight[send].astype(np.int64)), pa.array(code[send] == _MANY),
-                    pa.array(chunk.first[send]), pa.array([view[a : b + length] for a, b in zip(chunk.first[send].tolist(), chunk.last[send].tolist())], pa.binary())],
+                    pa.array(chunk.first[send]), pa.array(chunk.at[send]), pa.array([view[a : b + length] for a, b in zip(chunk.first[send].tolist(), chunk.last[send].tolist())], pa.binary())],
                     names=names)
 
     return joined.mapInArrow(find, _FOUND)
@@ -328,21 +342,60 @@ def _transformed(rows: DataFrame, ranges: int, length: int) -> DataFrame:
     return spread.groupBy("range").applyInArrow(transform, _MORE)
 
 
-def _counted(rows: DataFrame, length: int) -> DataFrame:
-    """The same for segments of anchors with very many: windows are counted by a digest of their bytes."""
+_SPLIT = "chunk long, first long, at long, low int, high int, anchor long, content long, weight long, data binary"
+
+
+def _halves(rows: DataFrame, length: int) -> DataFrame:
+    """Each segment's windows in two, by how far behind their start the anchor lies: from ``low`` up to the middle, and from there up to ``high``."""
+    names = [c.split()[0] for c in _SPLIT.split(", ")]
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, first, weight, data in zip(*(batch.column(c).to_pylist() for c in ("chunk", "first", "weight", "data"))):
-                view, n = memoryview(data), len(data) - length + 1
-                digests = [xxhash.xxh3_128_digest(view[i : i + length]) for i in range(n)]
-                yield pa.RecordBatch.from_arrays([pa.array([chunk] * n), pa.array([first] * n), pa.array(range(n), pa.int64()), pa.array([weight] * n),
-                                                  pa.array(digests, pa.binary())], names=["chunk", "first", "at", "weight", "digest"])
-
-    windows = rows.select("chunk", "first", "weight", "data").mapInArrow(split, "chunk long, first long, at long, weight long, digest binary")
-    often = windows.groupBy("digest").agg(F.sum("weight").alias("n")).where("n > 1").select("digest")
-    hits = windows.where("weight = 1").join(often, "digest", "left_semi")
-    starts = F.sort_array(F.collect_list("at"))  # windows of one segment
-    return hits.groupBy("chunk", "first").agg(starts.alias("starts")).withColumn("ends", F.transform("starts", lambda x: x + 1))
+            out = []
+            for chunk, first, at, low, high, weight, data in zip(*(batch.column(c).to_pylist() for c in ("chunk", "first", "at", "low", "high", "weight", "data"))):
+                middle, view = (low + high) // 2, memoryview(data)
+                for a, z in ((low, middle), (middle, high)):
+                    begin, end = max(first, at - z + 1), min(first + len(data) - length, at - a) + 1  # windows of this half
+                    if begin < end:
+                        shared = view[at - a - first : at - z + 1 + length - first]  # what every window of the half has
+                        part = view[begin - first : end - 1 + length - first]
+                        anchor, content = xxhash.xxh3_64_intdigest(shared, seed=a << 16 | z), xxhash.xxh3_64_intdigest(part)
+                        out.append((chunk, begin, at, a, z, anchor - (1 << 63), content - (1 << 63), weight, bytes(part)))
+            columns = zip(*out) if out else [[]] * len(names)
+            kinds = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.int64()] * 3 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    return rows.select("chunk", "first", "at", "low", "high", "weight", "data").mapInArrow(split, _SPLIT)
+
+
+def _split_until_few(rows: DataFrame, length: int, gram: int, many: int, range_bytes: int) -> list[DataFrame]:
+    """Repeated windows of segments whose anchor has very many different ones.
+
+    Equal parts become one row with their weight before anything else is done
+    with them; parts alone under their anchor are done with.  The last split has
+    one window a part.
+    """
+    out, low, high = [], 0, length - gram + 1
+    rows = rows.select("chunk", "first", "at", F.lit(low).alias("low"), F.lit(high).alias("high"), "weight", "data")
+    first = F.struct("chunk", "first", "at", "low", "high", "data")
+    whole = lambda n: (F.array(F.lit(0).cast("long")).alias("starts"), F.array(n).alias("ends"))
+    for level in range((high - low - 1).bit_length()):
+        parts = stored(_halves(rows, length), f"parts{level}")
+        known = stored(parts.groupBy("anchor", "content").agg(F.sum("weight").alias("weight"), F.count("*").alias("n"), F.min_by(first, F.struct("chunk", "first")).alias("one"))
+                       .select("anchor", "content", "weight", "n", "one.*"), f"kinds{level}")
+        twice = known.where("n > 1").select("anchor", "content")
+        again = parts.where("weight = 1").join(twice, ["anchor", "content"], "left_semi")
+        out.append(again.select("chunk", "first", *whole((F.octet_length("data") - length + 1).cast("long"))))
+        kinds = known.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+        open_ = stored(known.join(kinds, "anchor").where("high > low + 1"), f"open{level}")
+        few = open_.where(F.col("kinds") <= many)
+        total = few.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+        if total:
+            out.append(_transformed(few, -(-total // range_bytes), length))
+        rows = open_.where(F.col("kinds") > many)
+        if not rows.head(1):
+            break
+    return out
 
 
 _RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -367,7 +420,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     found = stored(_first_findings(answered(chunks, codes, ["codes"], "codes"), length, gram), "findings")
     open_ = found.where("data is not null")
     total = open_.where("not many").agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    more = _transformed(open_.where("not many"), max(1, -(-total // range_bytes)), length).unionByName(_counted(open_.where("many"), length))
+    more = _transformed(open_.where("not many"), max(1, -(-total // range_bytes)), length)
+    if open_.where("many").head(1):
+        for part in _split_until_few(open_.where("many"), length, gram, many, range_bytes):
+            more = more.unionByName(part)
     per_chunk = stored(more.where(F.size("starts") > 0), "more").groupBy("chunk").agg(
         F.flatten(F.collect_list(F.transform("starts", lambda x: x + F.col("first")))).alias("more_starts"),
         F.flatten(F.collect_list(F.transform("ends", lambda x: x + F.col("first")))).alias("more_ends"))
