@@ -41,7 +41,7 @@ from panelprep.llm.common import shared_path, stored, text_or_empty
 LENGTH = 200
 GRAM = 100  # bytes of the substrings that anchors are chosen from
 RANGE_BYTES = 1_000_000  # of segments that one transform should have
-CHUNK_BYTES = 4 * 1024 * 1024
+CHUNK_BYTES = 1024 * 1024  # a packed chunk should be well under half a region of the heap
 BLOCK_ANCHORS = 500_000
 MANY = 2_000  # different segments of an anchor beyond which its windows are split
 
