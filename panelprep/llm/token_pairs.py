@@ -31,14 +31,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from panelprep.llm.chunks import ROW_BYTES, pack, unpack
-from panelprep.llm.common import kept, shared_path, stored, text_or_empty
+from panelprep.llm.common import drop_kept, kept, shared_path, stored, text_or_empty
 from panelprep.llm.encoding import byte_alphabet
 
-CHUNK_BYTES = 3 * 1024 * 1024
+CHUNK_BYTES = 512 * 1024  # a packed chunk should be under half a region of the heap
 SLICE_PAIRS = 4_000_000  # distinct pairs that a slice can have at most
 GROUP_BYTES = 16 * 1024 * 1024  # of packed blocks that become one vector
 FAN = 8  # vectors that are summed at a time
-PART_BYTES = 1 << 20  # a longer text is encoded in parts
+PART_BYTES = 1 << 18  # a longer text is encoded in parts
 
 # A single space between two other characters: tokens begin at such a space, and none goes on across it.
 _CUT = re.compile(r"(?<=\S) (?=[^\s▁])")
@@ -138,8 +138,6 @@ class Tokenizers:
             own = Tokenizer.from_file(path_a)
             own.encode_special_tokens = True
             self.encode_a = lambda text: own.encode(text, add_special_tokens=False).ids
-        # how an id is written inside a group, and as the last one of its kind
-        self.said = [f"{i}{mark}" for of, marks in ((self.bytes_a, ",|"), (self.bytes_b, ",;")) for i in range(len(of)) for mark in marks]
         self.length_a, self.length_b = (np.array([len(t) for t in of], np.int64) for of in (self.bytes_a, self.bytes_b))
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -166,6 +164,15 @@ class Tokenizers:
 
 _NO_IDS = np.zeros(0, np.uint32)
 _LOADED: dict[tuple[str, str], Tokenizers] = kept({})
+_SAID: dict[tuple[int, int], list[str]] = kept({})
+
+
+def _said(kinds_a: int, kinds_b: int) -> list[str]:
+    """How each id of A, then of B, is written inside a group and as the last one of its kind."""
+    if (kinds_a, kinds_b) not in _SAID:
+        drop_kept()  # the tokenizers aren't needed any more
+        _SAID[kinds_a, kinds_b] = [f"{i}{mark}" for kinds, marks in ((kinds_a, ",|"), (kinds_b, ",;")) for i in range(kinds) for mark in marks]
+    return _SAID[kinds_a, kinds_b]
 
 
 def tokenizers(path_a: str, path_b: str) -> Tokenizers:
@@ -241,6 +248,7 @@ def _write_chunks(docs: DataFrame, path_a: str, path_b: str, slices: int, chunk_
                     at = i + 1
                     yield chunk()
                     ids, a, b, size, seq = [], [], [], 0, seq + 1
+                    pa.default_memory_pool().release_unused()
             if at < batch.num_rows:
                 ids.append(batch.column(0).slice(at))
         if a:
@@ -396,22 +404,22 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, groups: bool = Fa
     blocks = blocks.withColumn("grp", F.pmod(F.xxhash64("chunk"), F.lit(parts)).cast("int"))
     answers = _answers(blocks, _totals(blocks, _pair_table(blocks, parts), parts), parts)
     answers = answers.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("slice", "counts", "best"))).alias("answers"))  # a chunk's blocks
-    length_a = len(both.bytes_a)
+    length_a, length_b = both.length_a.astype(np.int32), both.length_b.astype(np.int32)  # of some ten thousand tokens each
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = tokenizers(path_a, path_b)
+        said = _said(len(length_a), len(length_b))
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names) if name != "ids"}
                 a, b, n_a, n_b = _unpack_ids(row["a"]), _unpack_ids(row["b"]), unpack(row["n_a"], np.int64), unpack(row["n_b"], np.int64)
-                links = align(both.length_a[a], both.length_b[b])
+                links = align(length_a[a], length_b[b])
                 answers = row["answers"] or []
                 known = np.concatenate([np.zeros(0, np.uint64), *(_read_keys(k["keys"]) for k in sorted(row["blocks"], key=lambda k: k["slice"]))])
                 counts = np.concatenate([np.zeros(0, np.uint64), *(unpack(k["counts"], np.uint64) for k in answers)]).astype(np.int64)
                 best = np.concatenate([np.zeros(0, np.uint8), *(unpack(k["best"], np.uint8) for k in answers)])
                 order = np.argsort(known)
                 at = order[np.searchsorted(known[order], _keys(a[links.link_a], b[links.link_b]))]
-                edges = np.searchsorted(links.ends, _text_ends(both.length_a[a], n_a), side="right")
+                edges = np.searchsorted(links.ends, _text_ends(length_a[a], n_a), side="right")
                 n_best, count_sum = (_per_text(of[at], edges) for of in (best, counts))
                 edge_a, edge_b = (np.concatenate((np.zeros(1, np.int64), np.cumsum(n))) for n in (n_a, n_b))
                 n_groups = _per_text(links.both, edges)
@@ -419,9 +427,9 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, groups: bool = Fa
                 in_a, in_b = (np.concatenate((np.zeros(1, np.int64), np.cumsum(np.bincount(g, minlength=int(links.both.sum()))))) for g in (links.group_a, links.group_b))
                 text = np.empty(len(a) + len(b), np.int32)  # tokens of both in the order of the groups
                 text[np.arange(len(a)) + in_b[links.group_a]] = a.astype(np.int32) * 2 + (np.diff(links.group_a, append=-1) != 0)
-                text[np.arange(len(b)) + in_a[links.group_b + 1]] = (b.astype(np.int32) + length_a) * 2 + (np.diff(links.group_b, append=-1) != 0)
+                text[np.arange(len(b)) + in_a[links.group_b + 1]] = (b.astype(np.int32) + len(length_a)) * 2 + (np.diff(links.group_b, append=-1) != 0)
                 cut = (edge_a + edge_b).tolist()
-                told = ["".join(map(both.said.__getitem__, text[s:e].tolist()))[:-1] for s, e in zip(cut, cut[1:])]
+                told = ["".join(map(said.__getitem__, text[s:e].tolist()))[:-1] for s, e in zip(cut, cut[1:])]
                 digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in told]
                 columns = [batch.column(batch.schema.get_field_index("ids"))[i].values, *map(pa.array, (
                     n_a, n_b, n_groups, np.diff(edges), n_best, count_sum)), pa.array(digests, pa.string())]
