@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelprep.session import checkpoint_dir
@@ -23,6 +26,20 @@ def drop_kept() -> None:
         cache.clear()
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows one by one: those of a batch may be megabytes each."""
+    for i in range(batch.num_rows):
+        yield {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
+
+
+def release_memory() -> None:
+    """Gives freed memory back: workers are reused, and what one task needed would stay theirs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim is not None:
+        trim(0)
+
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -42,6 +59,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, n: str, to: str) -> DataFrame:
+    """``df`` with each row as often as its column ``n`` (1 or more) says, numbered from 0 in ``to``.
+
+    A row becomes ranges of at most 4,096 numbers, which are dealt to all partitions
+    before they become rows: a row that stands for a third of a table fills no task,
+    and no array is longer than some thousands below 7 * 10^10 rows.
+    """
+    ranges, last = df, F.col(n) - 1
+    for step in (1 << 24, 1 << 12):
+        ends = F.lit(0).cast("long") if step > 1 << 12 else F.col("_from")
+        until = last if step > 1 << 12 else F.least(last, F.col("_from") + ((1 << 24) - 1))
+        ranges = ranges.withColumn("_from", F.explode(F.sequence(ends, until.cast("long"), F.lit(step).cast("long"))))
+    ranges = ranges.repartition(F.xxhash64(*[c for c, kind in ranges.dtypes if kind in ("string", "bigint", "int", "double")]))
+    return ranges.withColumn(to, F.explode(F.sequence(F.col("_from"), F.least(last, F.col("_from") + ((1 << 12) - 1))))).drop("_from")
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -36,11 +36,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from panelprep.llm.chunks import ROW_BYTES, answered, block_count, block_of, cuts, joined_answer, pack, unpack
-from panelprep.llm.common import shared_path, stored, text_or_empty
+from panelprep.llm.common import release_memory, rows_of, shared_path, stored, text_or_empty
 
 LENGTH = 200
 GRAM = 100  # bytes of the substrings that anchors are chosen from
-RANGE_BYTES = 1_000_000  # of segments that one transform should have
+RANGE_BYTES = 500_000  # of segments that one transform should have
 CHUNK_BYTES = 1024 * 1024  # a packed chunk should be well under half a region of the heap
 BLOCK_ANCHORS = 500_000
 MANY = 2_000  # different segments of an anchor beyond which its windows are split
@@ -212,14 +212,15 @@ def _text_chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
 
         for batch in batches:
             at = 0
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                texts.append(text)
+            for i, text in enumerate(batch.column(1)):
+                texts.append(text := text.as_py())
                 size += len(text) + ROW_BYTES
                 if size >= chunk_bytes:
                     ids.append(batch.column(0).slice(at, i + 1 - at))
                     at = i + 1
                     yield chunk()
                     ids, texts, size, seq = [], [], 0, seq + 1
+                    release_memory()
             if at < batch.num_rows:
                 ids.append(batch.column(0).slice(at))
         if texts:
@@ -255,7 +256,7 @@ def _anchor_answers(chunks: DataFrame, blocks: int, length: int, gram: int, many
     """For each chunk's anchors, in order: occurs once, all its segments equal, different ones, or very many different ones."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 chunk = _Chunk(row)
                 chunk.find(length, gram)
                 at = np.flatnonzero(chunk.entry)
@@ -297,7 +298,7 @@ def _first_findings(joined: DataFrame, length: int, gram: int) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 chunk = _Chunk(row)
                 chunk.find(length, gram)
                 code = joined_answer(row["codes"], "codes", np.uint8)[np.cumsum(chunk.entry) - 1] if len(chunk.anchor) else np.zeros(0, np.uint8)
@@ -316,6 +317,7 @@ def _first_findings(joined: DataFrame, length: int, gram: int) -> DataFrame:
                     pa.array(chunk.content[send].view(np.int64)), pa.array(all_weight[send].astype(np.int64)), pa.array(code[send] == _MANY),
                     pa.array(chunk.first[send]), pa.array(chunk.at[send]), pa.array([view[a : b + length] for a, b in zip(chunk.first[send].tolist(), chunk.last[send].tolist())], pa.binary())],
                     names=names)
+            release_memory()
 
     return joined.mapInArrow(find, _FOUND)
 
@@ -331,6 +333,7 @@ def _transformed(rows: DataFrame, ranges: int, length: int) -> DataFrame:
         weight = table.column("weight").to_numpy()
         total = np.bincount(which, weight).astype(np.int64)
         found = repeated_windows([d.as_py() for d in table.column("data").take(pa.array(first))], total.tolist(), length)
+        release_memory()
         alone = np.flatnonzero(weight == 1)  # the others are known to repeat
         runs = [_runs(found[k]) for k in which[alone].tolist()]
         taken = table.take(pa.array(alone))
@@ -431,7 +434,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, row in enumerate(batch.to_pylist()):
+            for i, row in enumerate(rows_of(batch)):
                 chunk = _Chunk(row)
                 starts = chunk.ends - np.diff(chunk.ends, prepend=0)
                 first = np.concatenate((unpack(row["starts"], np.int64), np.array(row["more_starts"] or [], np.int64)))
