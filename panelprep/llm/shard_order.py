@@ -15,6 +15,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from panelprep.llm.common import spread
+
 ROUNDS = 6
 
 
@@ -78,8 +80,8 @@ def shard_plan(docs: DataFrame, shards: int, seed: int = 20, id_col: str = "doc_
     would move all rows.  A null text counts as empty, a null id is an id of its
     own; rows equal in id, size and crc get consecutive numbers, so which of them
     is which makes no difference.  An empty table gives no rows; other columns
-    are ignored.  Equal rows are counted before the shuffle and numbered by a
-    range, so no group of copies meets in one task.  ``blocks`` only bounds how
+    are ignored.  Equal rows are counted before the shuffle and become rows again
+    in ranges dealt to all tasks, so no group of copies meets in one.  ``blocks`` only bounds how
     many rows are sorted together; at 10^11 rows a block has 25 million.
     """
     spark = docs.sparkSession
@@ -95,9 +97,8 @@ def shard_plan(docs: DataFrame, shards: int, seed: int = 20, id_col: str = "doc_
         "block", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("block").orderBy("id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, -1)
     placed = equal.withColumn("place", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    numbered = placed.join(F.broadcast(offsets), "block", "left").select(
-        "id", "size", "text_crc32",
-        F.explode(F.sequence(F.col("offset") + F.col("place"), F.col("offset") + F.col("place") + F.col("n") - 1)).alias("number"))
+    numbered = spread(placed.join(F.broadcast(offsets), "block", "left").select(
+        "id", "size", "text_crc32", "n", (F.col("offset") + F.col("place")).alias("first")), "n", "j").withColumn("number", F.col("first") + F.col("j"))
     return permuted(numbered, "number", rows, seed).select(
         F.col("id").alias(id_col), "size", "text_crc32", F.lit("rows").alias("law"),
         F.pmod("position", F.lit(shards)).cast("int").alias("shard"),
