@@ -11,6 +11,11 @@ The work is a reduction tree of DataFrame steps: groups of some dozens of
 documents of one source and like size are rounded inside an array, each leaves
 one document with a fraction over, and the remainders are grouped again until
 there is one for each source, whose fraction then decides by a draw.
+
+A source's documents are rounded in three bands, the longest first.  What a band
+took too little or too much is made up by the next ones: their rate is what is
+still owed over the words they have.  So a source misses its target by about a
+document of the last band, which has the shortest ones.
 """
 
 from __future__ import annotations
@@ -20,9 +25,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelprep.llm.common import count_words, stored
+from panelprep.llm.common import count_words, spread, stored
 
 GROUP = 48  # documents in a group on average
+BANDS = (1.0, 0.4, 0.08)  # share of a source's words that a band and those after it have at most
 
 
 def source_targets(sizes: DataFrame, most: float = 3.0) -> DataFrame:
@@ -106,22 +112,37 @@ def mix_plan(docs: DataFrame, seed: int = 7, most: float = 3.0, id_col: str = "d
         F.first("id").alias("id"), F.first("source").alias("source"), F.first("size").alias("size"), F.count(F.lit(1)).alias("n"),
     ).withColumn("class", F.floor(F.log2(F.col("size") + 1.0) * 4).cast("int")), "units")
 
+    by_size = Window.partitionBy("source").orderBy("class")  # some dozens of classes a source
+    upto = F.try_divide(F.sum("words").over(by_size), F.sum("words").over(Window.partitionBy("source")))
+    band = sum((F.coalesce(upto <= share, F.lit(True)).cast("int") for share in BANDS[1:]), F.lit(0))
     per_class = units.groupBy("source", "class").agg(
-        F.sum(F.col("size") * F.col("n")).alias("words"), F.count(F.lit(1)).alias("docs"))
+        F.sum(F.col("size") * F.col("n")).alias("words"), F.count(F.lit(1)).alias("docs")).withColumn("band", band)
     sizes = stored(per_class.groupBy("source").agg(
-        F.sum("words").alias("source_size"), F.map_from_entries(F.collect_list(F.struct("class", "docs"))).alias("classes")), "sizes")
+        F.sum("words").alias("source_size"), F.map_from_entries(F.collect_list(F.struct("class", F.struct("docs", "band")))).alias("classes"),
+        F.array(*(F.sum(F.when(F.col("band") >= b, F.col("words")).otherwise(0)) for b in range(len(BANDS)))).alias("from_band")), "sizes")
     targets = source_targets(sizes.select("source", "source_size"), most)
-    sources = targets.alias("t").join(sizes.alias("s"), F.expr("t.source <=> s.source")).select(
-        "t.source", "t.source_size", "t.target", "s.classes",
-        F.coalesce(F.expr("t.target / nullif(s.source_size, 0)"), F.lit(0.0)).alias("rate"))
-
+    sources = stored(targets.alias("t").join(sizes.alias("s"), F.expr("t.source <=> s.source")).select(
+        "t.source", "t.source_size", "t.target", "s.classes", "s.from_band"), "sources")
+    owed, plans = sources.withColumn("owed", F.col("target")), []
+    for number in range(len(BANDS)):
+        rate = F.coalesce(F.try_divide(F.greatest("owed", F.lit(0.0)), F.element_at("from_band", number + 1)), F.lit(0.0))
+        rates = stored(owed.withColumn("rate", F.least(rate, F.lit(float(most)))), f"rates{number}")
+        plans.append(stored(_rounded(units, rates, number, seed), f"plan{number}"))
+        taken = plans[-1].groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"))
+        owed = rates.drop("rate").alias("r").join(taken.alias("k"), F.expr("r.source <=> k.source"), "left").select(
+            *(f"r.{c}" for c in sources.columns), (F.col("owed") - F.coalesce("taken", F.lit(0))).alias("owed"))
+    return reduce(DataFrame.unionByName, plans)
+
+
+def _rounded(units: DataFrame, rates: DataFrame, band: int, seed: int) -> DataFrame:
+    """The documents of one band with their ``copies``, by the rate of their source."""
     share = F.col("n") * F.col("rate")
     whole = F.floor(share + 1e-9)
-    doc = F.struct("k", "id", F.col("u.source").alias("source"), "size", "n", "s.source_size", "target", whole.cast("long").alias("whole"))
+    doc = F.struct("k", "id", F.col("u.source").alias("source"), "size", "n", "r.source_size", "target", whole.cast("long").alias("whole"))
     mass = F.greatest(share - whole, F.lit(0.0))
-    state = stored(units.alias("u").join(sources.alias("s"), F.expr("u.source <=> s.source")).select(
-        doc.alias("doc"), "class", mass.alias("mass"),
-        F.ceil(F.element_at("classes", F.col("class")) / F.lit(float(GROUP))).alias("groups")), "shares")
+    known = F.element_at("classes", F.col("class"))
+    state = stored(units.alias("u").join(rates.alias("r"), F.expr("u.source <=> r.source")).where(known["band"] == band).select(
+        doc.alias("doc"), "class", mass.alias("mass"), F.ceil(known["docs"] / F.lit(float(GROUP))).alias("groups")), "shares")
 
     decided = [state.where("mass < 1e-9").select("doc", F.lit(0).alias("up"))]
     rest = state.where("mass >= 1e-9").select(
@@ -147,7 +168,7 @@ def mix_plan(docs: DataFrame, seed: int = 7, most: float = 3.0, id_col: str = "d
 
 def mixed_rows(plan: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """A row per input row: id, ``size, source, source_size, target, copies, taken``; equal rows share their document's copies."""
-    each = plan.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("j"))
+    each = spread(plan, "n", "j")
     copies = F.floor(F.col("copies") / F.col("n")) + (F.col("j") < F.pmod("copies", "n")).cast("long")
     return each.select(F.col("id").alias(id_col), "size", "source", "source_size", "target",
                        copies.alias("copies"), (copies * F.col("size")).alias("taken"))
@@ -157,8 +178,8 @@ def mixed_documents(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", so
                     text_col: str = "text") -> DataFrame:
     """The mix itself: each document as often as ``plan`` takes it, with all columns of ``docs``."""
     keyed = docs.select(document_key(id_col, source_col, text_col).alias("_k"), F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
-    taken = plan.where("copies > 0").select(F.col("k").alias("_k"), F.col("n").alias("_n"), F.col("copies").alias("_copies"))
-    matched = keyed.join(taken, "_k")
-    single = matched.where("_n = 1").select("_doc", "_copies")
-    repeated = matched.where("_n > 1").groupBy("_k").agg(F.first("_doc").alias("_doc"), F.first("_copies").alias("_copies")).drop("_k")
-    return single.unionByName(repeated).select("_doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select("_doc.*")
+    taken = plan.where("copies > 0").select(F.col("k").alias("_k"), F.col("copies").alias("_copies"))
+    matched = keyed.dropDuplicates(["_k"]).join(taken, "_k")  # equal rows meet as one: each task reduces its own first
+    once = matched.where("_copies <= 4096").select("_doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    often = spread(matched.where("_copies > 4096"), "_copies", "_j")
+    return once.select("_doc.*").unionByName(often.select("_doc.*"))
