@@ -4,9 +4,10 @@ Fixed rules first (too few words, too much repetition).  Of the texts that pass,
 a vector of transformed statistics is compared with its language and source: the
 minimum-covariance-determinant estimate takes the mean and covariance of the
 three quarters of a group that lie closest together, found by concentration
-steps, and a text beyond ``cutoff`` Mahalanobis distance is rejected.
+steps from three starts, of which the one with the smallest determinant counts.
+A text whose Mahalanobis distance is beyond the chi-square quantile is rejected.
 
-One step is one pass: distances under the present estimate fall into fixed
+One step is one pass for all starts: distances under the present estimate fall into fixed
 logarithmic bins, and each bin carries its count and moments, so the quantile
 and the new estimate come from a table of bins.  No group's rows meet anywhere.
 """
@@ -28,9 +29,11 @@ from panelprep.llm.common import stored, text_or_empty
 LEAST_WORDS = 50
 CENTRE = 0.75  # share of a group that the estimate is made from
 LEAST_ROWS = 50  # a smaller group is pooled with the others of its language, then with all
-STEPS = 6
-CUTOFF = 10.0
+FIRST_STEPS, MOST_STEPS = 3, 25  # of all starts, and at most of the best one, which goes on until
+SETTLED = 0.01  # the logarithm of its determinant falls by less in every group
+TAIL = 1e-6  # share of normally distributed vectors that lie beyond the cutoff
 BINS = 1024
+FEW_GROUPS = 50_000  # estimates of so many groups, some 400 bytes each, are sent to all tasks
 # Statistic and the standard deviation that is always allowed: most texts have no symbols or repeated lines at all,
 # and without a floor the tightest three quarters would have no spread there.
 VECTOR = {"word_length": 0.05, "symbols": 0.3, "marks": 0.3, "upper": 0.3, "repeats": 0.3, "lines": 0.3, "digits": 0.3, "distinct": 0.05}
@@ -119,38 +122,48 @@ def _groups(rows: DataFrame) -> DataFrame:
     return named.select("cell", F.when((F.col("group") != "*") | (rest >= LEAST_ROWS), F.col("group")).alias("group"))
 
 
-def _consistency(share: float, size: int) -> float:
-    """What the covariance of the central share of a normal distribution in ``size`` (even) dimensions is too small by."""
-    def below(x: float, freedom: int) -> float:
-        return 1 - math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(freedom // 2))
+def _beyond(x: float, freedom: int) -> float:
+    """Share of a chi-square distribution with an even number of degrees of freedom beyond ``x``."""
+    return math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(freedom // 2))
+
 
+def chi_square(beyond: float, freedom: int) -> float:
+    """The value that this share lies beyond."""
     low, high = 0.0, 1000.0
     for _ in range(100):
         middle = (low + high) / 2
-        low, high = (middle, high) if below(middle, size) < share else (low, middle)
-    return share / below(low, size + 2)
+        low, high = (middle, high) if _beyond(middle, freedom) > beyond else (low, middle)
+    return low
 
 
-_ESTIMATE = "group string, mean array<double>, root array<double>"
+def _consistency(share: float, size: int) -> float:
+    """What the covariance of the central share of a normal distribution in ``size`` (even) dimensions is too small by."""
+    return share / (1 - _beyond(chi_square(1 - share, size), size + 2))
+
+
+_ESTIMATE = "group string, start int, mean array<double>, root array<double>, logdet double"
 _FLOORS = np.array(list(VECTOR.values()))
 _SIZE = len(VECTOR)
 _LOWER = [(i, j) for i in range(_SIZE) for j in range(i + 1)]
 
 
 def _start(rows: DataFrame) -> DataFrame:
-    """First estimate: median and quartile range of each statistic, from a histogram of fixed width."""
+    """First estimates, from a histogram of fixed width of each statistic: median and quartile range, mean and deviation, median and 1."""
     bins = rows.select("group", F.posexplode("z").alias("axis", "value")).groupBy(
         "group", "axis", F.round(F.col("value") / _GRID).cast("int").alias("bin")).count()
 
     def estimate(key: tuple, bins: pd.DataFrame) -> pd.DataFrame:
         bins = bins.sort_values(["axis", "bin"])
-        mean, spread = np.zeros(_SIZE), np.zeros(_SIZE)
+        mean, spread = np.zeros((3, _SIZE)), np.ones((3, _SIZE))
         for axis, part in bins.groupby("axis"):
-            total = part["count"].cumsum().to_numpy()
-            low, middle, high = part["bin"].to_numpy()[np.searchsorted(total, total[-1] * np.array([0.25, 0.5, 0.75]))] * _GRID
-            mean[axis], spread[axis] = middle, (high - low) / 1.349
-        root = np.diag(1 / np.sqrt(spread**2 + _FLOORS**2))
-        return pd.DataFrame({"group": [key[0]], "mean": [mean.tolist()], "root": [[root[i, j] for i, j in _LOWER]]})
+            total, value = part["count"].cumsum().to_numpy(), part["bin"].to_numpy() * _GRID
+            low, middle, high = value[np.searchsorted(total, total[-1] * np.array([0.25, 0.5, 0.75]))]
+            average = np.average(value, weights=part["count"])
+            mean[:, axis] = middle, average, middle
+            spread[:2, axis] = (high - low) / 1.349, math.sqrt(np.average((value - average) ** 2, weights=part["count"]))
+        roots = [np.diag(1 / np.sqrt(s**2 + _FLOORS**2)) for s in spread]
+        return pd.DataFrame({"group": [key[0]] * 3, "start": range(3), "mean": mean.tolist(),
+                             "root": [[r[i, j] for i, j in _LOWER] for r in roots], "logdet": [math.inf] * 3})
 
     return bins.groupBy("group").applyInPandas(estimate, _ESTIMATE)
 
@@ -164,12 +177,12 @@ def _distance() -> Column:
 
 
 def _step(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """One concentration step."""
-    placed = rows.join(estimate, "group").withColumn("d", _distance())
+    """One concentration step of all starts."""
+    placed = rows.join(estimate.drop("logdet"), "group").withColumn("d", _distance())
     at = F.floor(F.log2(F.greatest("d", F.lit(1e-6))) * 24 + 480)
     moments = [F.sum(F.col("z")[i]).alias(f"s{i}") for i in range(_SIZE)] + [
         F.sum(F.col("z")[i] * F.col("z")[j]).alias(f"q{i}_{j}") for i, j in _LOWER]
-    bins = placed.groupBy("group", F.least(F.greatest(at, F.lit(0)), F.lit(BINS - 1)).cast("int").alias("bin")).agg(
+    bins = placed.groupBy("group", "start", F.least(F.greatest(at, F.lit(0)), F.lit(BINS - 1)).cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("n"), *moments)
     factor = _consistency(CENTRE, _SIZE)
 
@@ -182,13 +195,36 @@ def _step(rows: DataFrame, estimate: DataFrame) -> DataFrame:
         spread = np.zeros((_SIZE, _SIZE))
         for i, j in _LOWER:
             spread[i, j] = spread[j, i] = inner[f"q{i}_{j}"].sum() / n - mean[i] * mean[j]
-        root = np.linalg.inv(np.linalg.cholesky(spread * factor + np.diag(_FLOORS**2)))
-        return pd.DataFrame({"group": [key[0]], "mean": [mean.tolist()], "root": [[root[i, j] for i, j in _LOWER]]})
+        lower = np.linalg.cholesky(spread * factor + np.diag(_FLOORS**2))
+        root = np.linalg.inv(lower)
+        return pd.DataFrame({"group": [key[0]], "start": [key[1]], "mean": [mean.tolist()], "root": [[root[i, j] for i, j in _LOWER]],
+                             "logdet": [2 * float(np.log(lower.diagonal()).sum())]})
 
-    return bins.groupBy("group").applyInPandas(estimate_of, _ESTIMATE)
+    return bins.groupBy("group", "start").applyInPandas(estimate_of, _ESTIMATE)
 
 
-def judge(docs: DataFrame, cutoff: float = CUTOFF, id_col: str = "doc_id", text_col: str = "text",
+def fit(vectors: DataFrame) -> DataFrame:
+    """Of vectors (``group, z``) the estimate of each group: ``group, mean, root``.
+
+    All starts take a few steps; each group's best one goes on until it's settled.
+    Whole bins are let in, so a step may raise a determinant; then the estimate before stays.
+    """
+    estimate = stored(_start(vectors), "estimate0")
+    near = F.broadcast if estimate.count() <= 3 * FEW_GROUPS else lambda df: df
+    lowest = F.min_by(F.struct("start", "mean", "root", "logdet"), F.struct("logdet", "start")).alias("lowest")
+    for step in range(1, MOST_STEPS + 1):
+        better = _step(vectors, near(estimate)).unionByName(estimate)
+        better = better.groupBy("group", *["start"] * (step < FIRST_STEPS)).agg(lowest).select("group", "lowest.*")
+        better = stored(better, f"estimate{step}")
+        before = estimate.select("group", "start", F.col("logdet").alias("before"))
+        moved = better.join(before, ["group", "start"]).select(F.max(F.col("before") - F.col("logdet"))).first()[0]
+        estimate = better
+        if step >= FIRST_STEPS and (moved is None or moved < SETTLED):
+            break
+    return near(estimate.select("group", "mean", "root"))
+
+
+def judge(docs: DataFrame, tail: float = TAIL, id_col: str = "doc_id", text_col: str = "text",
           group_cols: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """A row per input row: id, base statistics, ``base_failed``, ``distance``, ``kept``.
 
@@ -197,14 +233,14 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, id_col: str = "doc_id", text_
     allow.  A null or empty text has no words and fails.  Null languages and
     sources are groups like any other.  Repeated rows count as often as they are
     there and are judged alike; an empty table gives no rows; other columns of any
-    name are ignored.
+    name are ignored.  ``tail`` is the share of normal vectors beyond the cutoff.
     """
+    cutoff = math.sqrt(chi_square(tail, _SIZE))
     rows = stored(text_statistics(docs, id_col, text_col, group_cols), "statistics")
-    grouped = rows.join(_groups(rows), "cell", "left")
+    groups = stored(_groups(rows), "groups")
+    grouped = rows.join(F.broadcast(groups) if groups.count() <= FEW_GROUPS else groups, "cell", "left")
     fitted = stored(grouped.where("not base_failed and group is not null").select("group", "z"), "vectors")
-    estimate = stored(_start(fitted), "estimate0")
-    for step in range(STEPS):
-        estimate = stored(_step(fitted, estimate), f"estimate{step + 1}")
+    estimate = fit(fitted)
     judged = grouped.join(estimate, "group", "left").withColumn(
         "distance", F.when(~F.col("base_failed"), F.sqrt(_distance())))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))

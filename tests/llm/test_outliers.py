@@ -62,6 +62,55 @@ def test_steps_equal_plain_concentration():
     assert abs(np.cov(inner.T).diagonal().mean() * o._consistency(0.75, 8) - 1) < 0.02
 
 
+def plain_estimate(z):
+    """Concentration of three starts over whole bins of distances, by numpy; the smallest determinant."""
+    value = np.round(z / o._GRID) * o._GRID
+    quartile = [np.sort(value, axis=0)[np.searchsorted(np.arange(1, len(z) + 1), len(z) * q)] for q in (0.25, 0.5, 0.75)]
+    floors = np.diag(o._FLOORS**2)
+    found = []
+    for mean, spread in ((quartile[1], (quartile[2] - quartile[0]) / 1.349), (value.mean(axis=0), value.std(axis=0)), (quartile[1], np.ones(8))):
+        cov = np.diag(spread**2) + floors
+        for _ in range(60):
+            d = np.einsum("ni,ij,nj->n", z - mean, np.linalg.inv(cov), z - mean)
+            bins = np.clip(np.floor(np.log2(np.maximum(d, 1e-6)) * 24 + 480), 0, o.BINS - 1)
+            last = np.sort(bins)[int(np.ceil(0.75 * len(z))) - 1]
+            inner = z[bins <= last]
+            mean, cov = inner.mean(axis=0), np.cov(inner.T, bias=True) * o._consistency(0.75, 8) + floors
+            found.append((np.linalg.slogdet(cov)[1], mean, cov))
+    return min(found, key=lambda f: f[0])
+
+
+def test_fit_equals_plain_concentration(spark):
+    rng = np.random.default_rng(8)
+    clean = rng.normal(size=(900, 8)) @ rng.normal(size=(8, 8)) * 0.5
+    groups = {"a": np.vstack([clean, rng.normal(6, 0.3, size=(250, 8))]), "b": rng.standard_t(3, size=(400, 8))}
+    vectors = spark.createDataFrame([(g, z.tolist()) for g, zs in groups.items() for z in zs], "group string, z array<double>").repartition(5)
+    got = {r["group"]: r for r in o.fit(vectors).collect()}
+    for g, z in groups.items():
+        _, mean, cov = plain_estimate(z)
+        root = np.zeros((8, 8))
+        for (i, j), v in zip(o._LOWER, got[g]["root"]):
+            root[i, j] = v
+        lower = np.linalg.inv(root)
+        assert np.allclose(got[g]["mean"], mean, atol=0.05) and np.allclose(lower @ lower.T, cov, atol=0.2)
+
+
+def test_cutoff_is_the_quantile():
+    assert abs(o.chi_square(0.05, 8) - 15.507) < 1e-3 and abs(o.chi_square(0.001, 8) - 26.124) < 1e-3
+
+
+def test_one_statistic_alone_can_reject(spark):
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 9))) for _ in range(3000)]
+    clean = [" ".join(rng.choice(words, rng.integers(80, 300))) for _ in range(300)]
+    odd = {"symbols": lambda t: " ".join(w + "#" * (k % 5 < 2) for k, w in enumerate(t.split())), "marks": lambda t: t.replace(" ", "! "),
+           "upper": str.upper, "lines": lambda t: "\n".join([t] + [t[:20]] * 9), "digits": lambda t: t.translate(str.maketrans("abcdefgh", "12345678"))}
+    rows = [(i, t, "en", "s") for i, t in enumerate(clean)] + [(1000 + i, change(clean[i]), "en", "s") for i, change in enumerate(odd.values())]
+    got = {r["doc_id"]: r for r in o.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(got[i]["kept"] for i in range(300))
+    assert {name: got[1000 + i]["kept"] for i, name in enumerate(odd)} == dict.fromkeys(odd, False)
+
+
 def test_null_sources_are_no_pool(spark):
     rng = np.random.default_rng(5)
     words = [f"{'abcdefgh'[i % 8]}{i}" for i in range(2000)]
