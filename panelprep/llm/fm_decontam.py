@@ -12,20 +12,23 @@ word spans are merged per document.
 from __future__ import annotations
 
 import hashlib
+import pickle
+import uuid
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from panelprep.llm.common import text_or_empty
+from panelprep.llm.common import kept, stored, text_or_empty
 from panelprep.llm.wavelet import WaveletMatrix
 
 WINDOW = 10
 SHARD_WORDS = 2_000_000
 SAMPLE = 8
-MAX_BENCHMARK_BYTES = 256 * 1024 * 1024  # phrases are sent to every executor
+SLICE_WINDOWS = 200_000  # of the benchmark that a task searches for at a time
 
 # Lower-case letters, digits and bytes of non-ASCII characters are word bytes, A-Z are lowered, all else separates.
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -35,24 +38,72 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_WORDS).split()
 
 
+def _windows(texts: pa.Array, window: int) -> tuple[list[int], list[bytes]]:
+    """Each text's different windows, words joined by spaces, with the number of the text."""
+    rows, found = [], []
+    for row, text in enumerate(texts.to_pylist()):
+        words = words_of(text)
+        own = {b" ".join(words[start : start + window]) for start in range(max(1, len(words) - window + 1) if words else 0)}
+        rows += [row] * len(own)
+        found += own
+    return rows, found
+
+
 class Phrases:
-    """The different windows of the benchmark as rows of word numbers, and which items have each."""
+    """A slice of the benchmark's different windows as rows of word numbers, and which items have each."""
 
-    def __init__(self, items: list[tuple[object, bytes]], window: int = WINDOW):
+    def __init__(self, windows: list[bytes], owners: list[list[str]], window: int):
         self.words: dict[bytes, int] = {}
-        seen: dict[tuple[int, ...], set[str]] = {}
-        for item_id, text in items:
-            numbers = [self.words.setdefault(w, len(self.words) + 1) for w in words_of(text)]
-            for start in range(max(1, len(numbers) - window + 1) if numbers else 0):
-                owners = seen.setdefault(tuple(numbers[start : start + window]), set())
-                if item_id is not None:
-                    owners.add(str(item_id))
-        self.length = np.array([len(p) for p in seen], np.int64)
-        self.phrases = np.zeros((len(seen), window), np.int64)
-        for i, phrase in enumerate(seen):
+        numbers = [[self.words.setdefault(w, len(self.words) + 1) for w in phrase.split()] for phrase in windows]
+        self.length = np.array([len(n) for n in numbers], np.int64)
+        self.phrases = np.zeros((len(windows), window), np.int64)
+        for i, phrase in enumerate(numbers):
             self.phrases[i, : len(phrase)] = phrase
-        self.items = [sorted(owners) for owners in seen.values()]
-        self.shortest = int(self.length.min()) if len(seen) else 0
+        names = sorted(set().union(*owners))
+        number = {name: i for i, name in enumerate(names)}
+        self.names, self.owner = names, np.array([number[name] for of in owners for name in of], np.int32)
+        self.owned = np.concatenate(([0], np.cumsum([len(of) for of in owners]))).astype(np.int64)
+        self.shortest = int(self.length.min()) if len(windows) else 0
+
+    def items(self, phrase: int) -> list[str]:
+        return [self.names[k] for k in self.owner[self.owned[phrase] : self.owned[phrase + 1]].tolist()]
+
+    def to_bytes(self) -> bytes:
+        words = b" ".join(self.words)  # in the order of their numbers
+        return pickle.dumps((words, self.phrases.astype(np.int32), self.length.astype(np.uint16), "\0".join(self.names), self.owner, self.owned))
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> Phrases:
+        out = cls([], [], 1)
+        words, phrases, length, names, out.owner, out.owned = pickle.loads(data)
+        out.words = {word: i + 1 for i, word in enumerate(words.split())}
+        out.phrases, out.length, out.names = phrases.astype(np.int64), length.astype(np.int64), names.split("\0")
+        out.shortest = int(length.min()) if len(length) else 0
+        return out
+
+
+def phrase_slices(benchmark: DataFrame, window: int = WINDOW, item_col: str = "item_id", text_col: str = "text",
+                  slice_windows: int = SLICE_WINDOWS) -> DataFrame:
+    """The benchmark's windows in slices of about ``slice_windows``, packed: ``slice, packed``.  Numbered in the tasks that have a slice."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, found = _windows(batch.column(1), window)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(0).take(pa.array(rows, pa.int64()))], names=["window", "item"])
+
+    def packed(table: pa.Table) -> pa.Table:
+        owners: dict[bytes, list[str]] = {}
+        for phrase, item in zip(table.column("window").to_pylist(), table.column("item").to_pylist()):
+            owners.setdefault(phrase, [])
+            if item is not None:
+                owners[phrase].append(item)
+        phrases = Phrases(list(owners), list(owners.values()), window)
+        return pa.table({"slice": table.column("slice").slice(0, 1), "packed": pa.array([phrases.to_bytes()], pa.binary())})
+
+    texts = benchmark.select(F.col(item_col).cast("string").alias("item"), text_or_empty(text_col).cast("binary").alias("text"))
+    pairs = stored(texts.mapInArrow(cut, "window binary, item string").distinct(), "windows")
+    total = pairs.select("window").distinct().count()
+    spread = pairs.withColumn("slice", F.pmod(F.xxhash64("window"), F.lit(max(1, -(-total // slice_windows)))).cast("int"))
+    return spread.groupBy("slice").applyInArrow(packed, "slice int, packed binary")
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
@@ -162,18 +213,44 @@ def search_shard(texts: list[bytes], phrases: Phrases) -> list[tuple[int, list[t
     pairs = np.unique(docs * len(hits) + phrase)
     items: dict[int, set[str]] = {}
     for pair in pairs.tolist():
-        items.setdefault(pair // len(hits), set()).update(phrases.items[pair % len(hits)])
+        items.setdefault(pair // len(hits), set()).update(phrases.items(pair % len(hits)))
     for d, names in items.items():
         found[d][2].extend(sorted(names))
     return found
 
 
+def merge(found: list, more: list) -> list:
+    """Findings of two slices of the benchmark over the same texts."""
+    out = []
+    for (n, spans, items), (_, other, names) in zip(found, more):
+        joined: list[tuple[int, int]] = []
+        for a, b in sorted(spans + other):
+            if joined and a <= joined[-1][1]:
+                joined[-1] = joined[-1][0], max(b, joined[-1][1])
+            else:
+                joined.append((a, b))
+        out.append((n, joined, sorted({*items, *names})))
+    return out
+
+
+# The slice that a worker has unpacked last.
+_UNPACKED: dict[str, Phrases] = kept({})
+
+
+def _unpacked(name: str, slice_: Broadcast) -> Phrases:
+    if name not in _UNPACKED:
+        _UNPACKED.clear()
+        _UNPACKED[name] = Phrases.from_bytes(slice_.value)
+        slice_.__dict__.pop("_value", None)  # a worker holds the last slice only
+    return _UNPACKED[name]
+
+
 _RESULT = ("n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
            "spans array<struct<start:long,end:long>>, items array<string>")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                  item_col: str = "item_id", item_text_col: str = "text", slice_windows: int = SLICE_WINDOWS) -> DataFrame:
     """A row ``(doc, found)`` per input row: the row itself as a struct, and what of the benchmark its text has.
 
     ``found.spans`` are merged word ranges (end exclusive) of all occurrences of
@@ -183,26 +260,27 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
     named.  Repeated rows get equal results; an empty table on either side gives
     no rows or no hits.  Columns of ``docs`` may have any names.
 
-    No shuffle: a document is searched in the task that reads it.  The benchmark
-    goes to every executor and is refused beyond ``MAX_BENCHMARK_BYTES``.
+    No shuffle of documents: each is searched in the task that reads it.  The
+    benchmark's windows are numbered and packed by tasks, in slices of bounded size;
+    slices go to every executor, and a shard is searched for one after the other.
     """
     spark = docs.sparkSession
-    size = benchmark.agg(F.sum(F.octet_length(item_text_col))).first()[0] or 0
-    if size > MAX_BENCHMARK_BYTES:
-        raise ValueError(f"{size} bytes of benchmark texts are too many to send to every executor; split the benchmark")
-    items = benchmark.select(F.col(item_col), text_or_empty(item_text_col).cast("binary")).collect()
-    ready = spark.sparkContext.broadcast(Phrases([(r[0], bytes(r[1])) for r in items], window))
+    packed_slices = phrase_slices(benchmark, window, item_col, item_text_col, slice_windows)
+    # bounded each; the driver holds one at a time, as a broadcast is a file
+    slices = [(uuid.uuid4().hex, spark.sparkContext.broadcast(bytes(row["packed"]))) for row in packed_slices.toLocalIterator()]
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), text_or_empty(text_col).cast("binary").alias("text"))
     schema = packed.select("doc").withColumn("found", F.lit(None).cast(f"struct<{_RESULT}>")).schema
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases = ready.value
         kind = pa.struct([
             ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()),
             ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string()))])
 
         def shard(held: list[pa.RecordBatch], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-            found, at = search_shard(texts, phrases), 0
+            found, at = [(len(words_of(t)), [], []) for t in texts] if not slices else None, 0
+            for name, slice_ in slices:
+                more = search_shard(texts, _unpacked(name, slice_))
+                found = more if found is None else merge(found, more)
             for batch in held:
                 rows = []
                 for n, spans, names in found[at : at + batch.num_rows]:

@@ -48,6 +48,9 @@ def test_equals_plain_search(spark):
     for i, t in enumerate(texts):
         assert tuple(got[i])[1:6] == brute(t, items), t
         assert sum(s["end"] - s["start"] for s in got[i]["spans"]) == got[i]["n_hit"]
+    sliced = f.decontaminate(docs, bench, slice_windows=20).select("doc.doc_id", "found.*").collect()  # some searches for several slices
+    assert sorted(tuple(r)[:6] for r in sliced) == sorted(tuple(r)[:6] for r in got.values())
+    assert f.phrase_slices(bench, slice_windows=20).count() > 3
     kept = f.decontaminate(docs, bench).select("doc.*", "found.items")
     assert kept.columns == [*docs.columns, "items"] and kept.count() == len(texts)
 
