@@ -38,6 +38,7 @@ THRESHOLD = 0.8
 PART = 48  # candidates of a text that are compared with it in one group
 BLOCK = 512  # texts, and
 BLOCK_SHINGLES = 200_000  # shingles of a block, two of which are compared in one group
+HUB = 1024  # links that a text keeps itself
 _COLUMNS = 4096
 
 _TABLE = 1 << 16
@@ -312,13 +313,24 @@ def _rest_of_buckets(members: DataFrame, vectors: DataFrame, threshold: float, b
         lambda table: _joined_labels(table, threshold), "a string, b string").distinct()
 
 
+def _thinned(links: DataFrame, seed: int) -> DataFrame:
+    """Links of the same components in which ``a`` has a thousandth of its links: the others go to one of some thousand of its partners."""
+    placed = links.select("a", "b", F.pmod(F.xxhash64(F.lit(seed), "b"), F.lit(HUB)).alias("part"))
+    partner = placed.groupBy("a", "part").agg(F.min("b").alias("partner"))
+    moved = placed.join(partner, ["a", "part"]).where("b <> partner").select(F.col("partner").alias("a"), "b")
+    return moved.unionByName(partner.select("a", F.col("partner").alias("b")))
+
+
 def components(links: DataFrame) -> DataFrame:
     """``key, label`` of all linked keys: the smallest key of each connected component.
 
     Each round takes the smallest label of a key's neighbours and then its label's
-    label, so a path of n links takes about log n rounds.
+    label, so a path of n links takes about log n rounds.  A key ``a`` that very many
+    are linked to isn't one task: its links are first dealt to some thousand of its
+    partners, and theirs once more.
     """
-    edges = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    links = _thinned(stored(_thinned(links.select("a", "b").distinct(), 1), "links_dealt"), 2)
+    edges = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = edges.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("near")).select("key", F.least("key", "near").alias("label"))
     labels, nth = stored(labels, "labels0"), 0
     while True:

@@ -172,6 +172,16 @@ def test_components_of_a_path(spark):
     assert {got[n] for n in names} == {"k000"} and got["y"] == got["x"] == "x"
 
 
+def test_links_of_a_hub_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(m, "HUB", 8)
+    links = spark.range(1, 2001).selectExpr("'a' AS a", "concat('b', lpad(id, 5, '0')) AS b").unionByName(
+        spark.createDataFrame([("x", "y"), ("y", "z"), ("b00007", "c")], "a string, b string"))
+    thin = m._thinned(m._thinned(links, 1), 2)
+    assert max(r["count"] for r in thin.groupBy("a").count().collect()) < 100
+    got = {r["key"]: r["label"] for r in m.components(links).collect()}
+    assert len(got) == 2005 and {got[k] for k in got if k[0] in "abc"} == {"a"} and {got[k] for k in "xyz"} == {"x"}
+
+
 def test_odd_documents(odd_docs, no_docs):
     rows, df = odd_docs
     got = m.near_duplicates(df).collect()
