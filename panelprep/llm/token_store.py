@@ -9,7 +9,7 @@ which any token, the count of an id and all its places can be looked up.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +100,50 @@ def read_documents(spark: SparkSession, path: str, id_col: str = "doc_id") -> Da
         F.col("id").alias(id_col), (F.col("offset") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
+class _Shard:
+    """A shard's row: its documents' ids and ends, and its tokens, of which none is decoded before it's asked for."""
+
+    def __init__(self, row: dict):
+        flags = -(-row["n_docs"] // 8)
+        known = np.unpackbits(np.frombuffer(row["doc_ids"][:flags], np.uint8), count=row["n_docs"]).astype(bool)
+        self.ids = pa.array(np.frombuffer(row["doc_ids"][flags:], np.int64), mask=~known)
+        self.ends = np.cumsum(np.frombuffer(row["lengths"], np.int64))
+        self.matrix = WaveletMatrix.from_bytes(row["wavelet"])
+
+
+def count_tokens(spark: SparkSession, path: str, tokens: Sequence[int]) -> DataFrame:
+    """How often each of ``tokens`` is in the files: ``token, n``; two ranks a bit plane and shard, no decoding."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                matrix = _Shard(row).matrix
+                n = [matrix.count(t) if 0 <= t < 1 << len(matrix.planes) else 0 for t in wanted]
+                yield pa.RecordBatch.from_arrays([pa.array(wanted, pa.int64()), pa.array(n, pa.int64())], names=["token", "n"])
+
+    wanted = sorted(set(tokens))
+    asked = spark.createDataFrame([(t, 0) for t in wanted], "token long, n long")
+    counted = spark.read.schema(_SHARDS).parquet(path).mapInArrow(count, "token long, n long")
+    return counted.unionByName(asked).groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def find_tokens(spark: SparkSession, path: str, tokens: Sequence[int], id_col: str = "doc_id") -> DataFrame:
+    """All places of ``tokens`` in the files: ``token, id, offset`` (in its document), by selecting up through the bit planes."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                shard = _Shard(row)
+                for token in wanted:
+                    at = shard.matrix.occurrences(token) if 0 <= token < 1 << len(shard.matrix.planes) else np.zeros(0, np.int64)
+                    doc = np.searchsorted(shard.ends, at, side="right")
+                    begin = np.concatenate((np.zeros(1, np.int64), shard.ends[:-1]))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(at), token, np.int64)), shard.ids.take(pa.array(doc)), pa.array(at - begin[doc])], names=["token", "id", "offset"])
+
+    wanted = sorted(set(tokens))
+    found = spark.read.schema(_SHARDS).parquet(path).mapInArrow(find, "token long, id long, offset long")
+    return found.withColumnRenamed("id", id_col)
+
+
 def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, **names: str) -> DataFrame:
     """Writes shards to the shared folder and reads the documents back from them."""
     spark = docs.sparkSession

@@ -70,6 +70,12 @@ def test_round_trip_in_order(spark, odd_docs, tmp_path):
         ids = [*ENCODER.tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
         assert tuple(r) == (doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+    places = {(t, d, k) for d, text, *_ in want for k, t in enumerate([*ENCODER.tokenizer.encode(text or "", add_special_tokens=False).ids, 1])}
+    asked = [1, 2, 70_000, *sorted({t for t, _, _ in places})[5:200:40]]
+    found = ts.find_tokens(spark, path, asked).collect()
+    assert {tuple(r) for r in found} == {p for p in places if p[0] in asked}
+    counts = {r["token"]: r["n"] for r in ts.count_tokens(spark, path, asked).collect()}
+    assert counts == {t: sum(r["token"] == t for r in found) for t in asked}
     files = list((tmp_path / "shards").glob("part-*.parquet"))
     assert len(files) == spark.read.parquet(path).count() > 3  # one file a shard
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from panelprep.llm import url_filters as u
 
 SCHEMA = "page_id long, url string, host string, verdict string"
@@ -52,5 +54,21 @@ def test_only_candidates_run_and_whole_tokens_count():
     assert index == {"en": [0]} and always == [1, 2]
 
 
+def test_many_rules_and_long_urls(spark):
+    """Thousands of rules: verdicts equal those of trying every rule, and few rules run per URL."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 4)))
+    hosts = [f"{word()}.{word()}.{rng.choice(['com', 'org', 'net'])}" for _ in range(400)]
+    rules = list({f"{rng.choice(hosts)}/{'/'.join(word() for _ in range(rng.randint(0, 3)))}{rng.choice(['', '/'])}": None for _ in range(4000)})
+    rules = [(rng.choice(["allow", "block"]), r) for r in rules]
+    urls = [f"https://{rng.choice(['', 'www.', word() + '.'])}{r.split('/', 1)[0]}/{r.split('/', 1)[1]}{rng.choice(['', '/x', 'y', '?q=1', '#z'])}" for _, r in rng.sample(rules, 300)]
+    urls += [f"http://{rng.choice(hosts)}/{word()}/{word()}" for _ in range(100)] + ["http://a.org/" + "b/" * 100_000, "x" * 200_000]
+    got = {r["page_id"]: r for r in u.judge_urls(spark.createDataFrame([(i, x, "", "") for i, x in enumerate(urls)], SCHEMA), rules, ()).collect()}
+    for i, url in enumerate(urls):
+        want = plain(url, rules, lambda h, p: False)
+        assert (got[i]["host"], got[i]["path"], got[i]["rule"], got[i]["verdict"]) == want, url[:100]
+    assert sum(r["n_candidates"] for r in got.values()) / len(got) < len(rules) / 20
+
+
 def test_empty_table(spark):
     assert u.judge_urls(spark.createDataFrame([], SCHEMA)).count() == 0
