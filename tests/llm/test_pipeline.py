@@ -75,6 +75,29 @@ def test_tokens(stages):
     assert Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in after.collect()) == want
 
 
+@pytest.mark.parametrize("name", [name for name, _ in pipeline.STAGES])
+def test_odd_documents(spark, odd_docs, name):
+    """Nulls, empty and long texts, repeated rows and clashing columns: rows come through a stage whole or not at all."""
+    rows, docs = odd_docs
+    after = dict(pipeline.STAGES)[name](spark, docs, SF_DIR)
+    got, given = after.collect(), Counter(map(tuple, rows))
+    if name == "tokens":
+        assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows)
+        return
+    assert after.schema == docs.schema and set(map(tuple, got)) <= set(given)
+    kept = Counter(map(tuple, got))
+    if name == "mix":
+        assert all(n <= 3 * given[row] for row, n in kept.items())
+        return
+    assert kept <= given
+    if name == "near_duplicates":
+        texts = Counter((r[1] or "") for r in rows)
+        assert {(r["text"] or "") for r in got} <= set(texts) and len(got) == len({(r["text"] or "") for r in got})
+        assert {r["doc_id"] for r in got} >= {i for i in range(3, 60)} | {102, 103}
+    if name == "decontaminate":
+        assert kept == given  # none has a passage, without words or with
+
+
 def test_empty_tables(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF_DIR}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
@@ -88,5 +111,5 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 14)}
     assert quality_trees.SAMPLE and fm_decontam.WINDOW == 10
