@@ -1,4 +1,9 @@
-"""From raw documents to token files: five stages, each one operator's decision on all that the stage before kept."""
+"""From raw documents to token files: five stages, each one operator's decision on all that the stage before kept.
+
+Every stage but the last returns rows of its input, whole and with all columns, of
+whatever names.  A null text is an empty one; null ids, languages and sources are
+values like others; equal rows are judged alike; an empty table gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -16,22 +21,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, the one with the smallest id."""
+    """One document of each class of near duplicates, the one with the smallest id; of equal rows any; a null id is chosen last."""
     return minhash.one_of_each(docs, minhash.near_duplicates(docs))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any ten-word passage of the benchmark."""
+    """Documents without any ten-word passage of the benchmark; one without words has none."""
     return fm_decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")).where(~F.col("found.contaminated")).select("doc.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: not at all, or up to three times."""
+    """Documents as often as the mix takes them: not at all, or up to three times each; equal rows share theirs."""
     return mixing.mixed_documents(docs, mixing.mix_plan(docs))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files, and from them the place, length and crc of every document's ids."""
+    """Token files, and from them the place, length and crc of every document's ids; one without words has the end id alone."""
     return token_store.encode_documents(docs, tokenizer_path())
 
 
