@@ -37,7 +37,7 @@ def to_raw_code(col: Column | str) -> Column:
 
 def hk_key(col: Column | str) -> Column:
     """Padding-free key of a Hong Kong code: ``00700.HK`` and ``0700.HK`` give ``700``."""
-    digits = F.regexp_extract(as_col(col), r"^0*(\d+)\.HK$", 1)
+    digits = F.regexp_extract(as_col(col), r"^0*(\d+)\.HK\z", 1)
     return F.nullif(digits, F.lit(""))
 
 

@@ -147,7 +147,9 @@ def assign_anchor(
     following = Window.partitionBy(key).orderBy("anchor_date")
     held = anchors.select(key, F.col(anchor_date).alias("anchor_date")).distinct().withColumn(
         "_until", F.lead("anchor_date").over(following))
-    joined = interval_join(dates, held, key, date, "anchor_date", "_until", end_inclusive=False, how="left").drop("_until")
+    joined = interval_join(
+        dates, held, key, date, "anchor_date", "_until", end_inclusive=False, how="left",
+        last_start=anchors.select(F.max(anchor_date)).scalar()).drop("_until")
     pos = day_positions(
         calendar, calendar_col, dates.select(F.col(date).alias("trade_date")), held.select(F.col("anchor_date").alias("trade_date")))
     of_day = pos.select(F.col("trade_date").alias(date), F.col("pos").alias("_pos"))

@@ -1,22 +1,22 @@
 """Field contracts from dictionary pages.
 
-A small HTML reader turns each page into plain parts (paragraphs, tables, code
-blocks) in one Arrow pass; every rule about what those parts mean is a Spark
-expression over them.
+The events of the standard HTML parser become flat element rows in one Arrow
+pass: an element's tag, its parent, the end of its descendants and its text
+pieces.  What tables, sections and code blocks are is said by Spark expressions
+over these rows, as is what they mean.
 """
 
 from __future__ import annotations
 
-import re
-from bisect import bisect_left
 from collections.abc import Sequence
-from html import unescape
+from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from panelprep.functions.text import as_col, doc_id, doc_url, let, map_last_wins, meta_map, normalize_ws
+from panelprep.functions.text import as_col, doc_id, doc_url, let, map_last_wins, meta_map, normalize_ws, strip
 
 # The wording of the dictionary pages.
 SECTION_INPUT, SECTION_OUTPUT, SECTION_TABLE = "输入参数", "输出参数", "表信息"
@@ -31,165 +31,173 @@ EXAMPLE_QUERY, EXAMPLE_CALL, EXAMPLE_API = "pro.query(", r"\bpro\.[a-zA-Z0-9_]+\
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SILENT = frozenset(("script", "style", "template", "rt", "rp"))
 
-_ROW = T.ArrayType(T.StringType())
-_TABLE = T.StructType([T.StructField("headers", _ROW), T.StructField("rows", T.ArrayType(_ROW))])
-_PARAGRAPH = T.StructType([
-    T.StructField("text", T.StringType()), T.StructField("direct", T.BooleanType()),
-    T.StructField("table", T.IntegerType()),
-])
-PARTS = T.StructType([
-    T.StructField("has_content", T.BooleanType()), T.StructField("title", T.StringType()),
-    T.StructField("paragraphs", T.ArrayType(_PARAGRAPH)), T.StructField("tables", T.ArrayType(_TABLE)),
-    T.StructField("code", _ROW),
-])
+_ELEMENT = T.StructType([T.StructField(name, T.StringType() if name in ("tag", "classes") else T.IntegerType())
+                         for name in ("no", "tag", "classes", "parent", "end", "text_from", "text_to")])
+_ELEMENTS = T.StructType([T.StructField("elements", T.ArrayType(_ELEMENT)), T.StructField("pieces", T.ArrayType(T.StringType()))])
 
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[^<]+|<", re.S)
-_CLASS = re.compile(r"(?is)(?:^|\s)class\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+class _Events(HTMLParser):
+    """Writes elements and text pieces of page after page to flat columns.
 
-
-class _Page:
-    """Elements of a page in document order, tolerant of bad markup.
-
-    Element ``i`` has the descendants ``i+1 .. end[i]-1`` and the text pieces
-    ``lo[i] .. hi[i]-1``.  A stray end tag is ignored, a skipped one is implied.
+    Element ``i`` has the descendants ``i+1 .. end-1`` and the text pieces
+    ``text_from .. text_to-1``.  A stray end tag is ignored, a skipped one is implied.
     """
 
-    def __init__(self, html: str):
-        self.tag, self.css, self.up, self.end, self.lo, self.hi = [], [], [], [], [], []
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.columns: dict[str, list] = {name: [] for name in _ELEMENT.names}
         self.pieces: list[str] = []
-        self.at: dict[str, list[int]] = {}
-        self._stack: list[int] = []
-        self._open: dict[str, int] = {}
-        self._silent = 0
-        self._read(html)
-        while self._stack:
-            self._close()
-
-    def _close(self) -> str:
-        i = self._stack.pop()
-        self.end[i], self.hi[i] = len(self.tag), len(self.pieces)
-        tag = self.tag[i]
-        self._open[tag] -= 1
-        self._silent -= tag in _SILENT
+        self.element_ends, self.piece_ends = [0], [0]
+
+    def page(self, html: str) -> None:
+        self.reset()
+        self.first, self.first_piece = self.element_ends[-1], self.piece_ends[-1]
+        self.open: list[tuple[int, str]] = []
+        self.silent, self.joined = 0, False
+        self.feed(html)
+        self.close()
+        while self.open:
+            self._end()
+        self.element_ends.append(len(self.columns["tag"]))
+        self.piece_ends.append(len(self.pieces))
+
+    def handle_starttag(self, tag, attrs):
+        column, at, piece = self.columns, len(self.columns["tag"]) - self.first, len(self.pieces) - self.first_piece
+        column["no"].append(at)
+        column["tag"].append(tag)
+        column["classes"].append(dict(attrs).get("class") if tag == "div" else None)
+        column["parent"].append(self.open[-1][0] if self.open else -1)
+        column["end"].append(at + 1)
+        column["text_from"].append(piece)
+        column["text_to"].append(piece)
+        if tag not in _VOID:
+            self.open.append((at, tag))
+            self.silent += tag in _SILENT
+        self.joined = False
+
+    def _end(self) -> str:
+        at, tag = self.open.pop()
+        self.columns["end"][self.first + at] = len(self.columns["tag"]) - self.first
+        self.columns["text_to"][self.first + at] = len(self.pieces) - self.first_piece
+        self.silent -= tag in _SILENT
         return tag
 
-    def _start(self, tag: str, attrs: str) -> None:
-        i = len(self.tag)
-        found = _CLASS.search(attrs) if tag == "div" else None
-        self.tag.append(tag)
-        self.css.append(next((g for g in found.groups() if g), "") if found else "")
-        self.up.append(self._stack[-1] if self._stack else -1)
-        self.end.append(i + 1)
-        self.lo.append(len(self.pieces))
-        self.hi.append(len(self.pieces))
-        self.at.setdefault(tag, []).append(i)
-        if tag not in _VOID:
-            self._stack.append(i)
-            self._open[tag] = self._open.get(tag, 0) + 1
-            self._silent += tag in _SILENT
-            if attrs.endswith("/"):
-                self._close()
-
-    def _read(self, html: str) -> None:
-        pos, joined = 0, False
-        while pos < len(html):
-            token = _TOKEN.match(html, pos)
-            text, closing, opening, attrs = token[0], token[1], token[2], token[3]
-            pos = token.end()
-            if opening:
-                opening = opening.lower()
-                self._start(opening, attrs)
-                if opening in ("script", "style") and not attrs.endswith("/"):
-                    stop = re.compile(rf"(?i)</{opening}\b").search(html, pos)
-                    pos = stop.start() if stop else len(html)
-                joined = False
-            elif closing:
-                closing = closing.lower()
-                while self._open.get(closing) and self._close() != closing:
-                    pass
-                joined = False
-            elif text[0] == "<" and len(text) > 1:
-                joined = False
-            elif not self._silent:
-                if joined:
-                    self.pieces[-1] += text
-                else:
-                    self.pieces.append(text)
-                joined = True
-
-    def find(self, i: int, *tags: str) -> list[int]:
-        """Descendants of ``i`` with one of the tags, in document order; -1 is the page."""
-        first, last = (0, len(self.tag)) if i < 0 else (i + 1, self.end[i])
-        hits = [self.at.get(t, []) for t in tags]
-        picked = [h[bisect_left(h, first):bisect_left(h, last)] for h in hits]
-        return picked[0] if len(picked) == 1 else sorted(sum(picked, []))
-
-    def text(self, i: int, sep: str) -> str:
-        """Trimmed text pieces of ``i``, joined."""
-        pieces = (unescape(p).strip() for p in self.pieces[self.lo[i]:self.hi[i]])
-        return sep.join(p for p in pieces if p)
-
-    def cells(self, row: int, *tags: str) -> list[str]:
-        return [" ".join(self.text(c, " ").split()) for c in self.find(row, *tags)]
-
-    def table(self, i: int) -> dict:
-        """Header cells and body rows: ``thead`` names the header, else the first row."""
-        rows, head = self.find(i, "tr"), self.find(i, "thead")
-        if head:
-            headers = self.cells(head[0], "th", "td")
-            bodies = self.find(i, "tbody")
-            body = [r for r in self.find(bodies[0], "tr") if self.up[r] == bodies[0]] if bodies else rows[1:]
-        else:
-            headers, body = (self.cells(rows[0], "th", "td") if rows else []), rows[1:]
-        filled = [self.cells(r, "td", "th") for r in body]
-        return {"headers": headers, "rows": [c for c in filled if any(c)]}
-
-    def next_table(self, i: int) -> int | None:
-        """The sibling table that follows, unless a paragraph or heading comes first."""
-        stop = self.end[self.up[i]] if self.up[i] >= 0 else len(self.tag)
-        j = self.end[i]
-        while j < stop:
-            if self.tag[j] in ("table", "p", "h2", "h3"):
-                return j if self.tag[j] == "table" else None
-            j = self.end[j]
-        return None
-
-
-def _read(html: str | None) -> tuple:
-    page = _Page(html or "")
-    tables = page.find(-1, "table")
-    place = {t: n for n, t in enumerate(tables)}
-    plain_tables = [page.table(t) for t in tables]
-    content = next((d for d in page.find(-1, "div") if "content" in page.css[d].split()), None)
-    if content is None:
-        return False, None, [], plain_tables, []
-    headings = page.find(content, "h2")
-    title = " ".join(page.text(headings[0], " ").split()) if headings else ""
-    paragraphs = [
-        {"text": page.text(p, "\n"), "direct": page.up[p] == content, "table": place.get(page.next_table(p))}
-        for p in page.find(content, "p")
-    ]
-    code = [c for c in (page.text(b, "\n") for b in page.find(content, "pre")) if c]
-    return True, title, paragraphs, plain_tables, code
+    def handle_endtag(self, tag):
+        if any(tag == other for _, other in self.open):
+            while self._end() != tag:
+                pass
+        self.joined = False
+
+    def handle_data(self, data):
+        if not self.silent:
+            if self.joined:
+                self.pieces[-1] += data
+            else:
+                self.pieces.append(data)
+            self.joined = True
+
+    def handle_comment(self, data):
+        self.joined = False
 
+    handle_decl = handle_pi = unknown_decl = handle_comment
 
-@F.arrow_udf(PARTS)
-def read_parts(html: pa.Array) -> pa.Array:
-    """Plain parts of each page, see ``PARTS``."""
-    rows = [dict(zip(PARTS.names, _read(h))) for h in html.to_pylist()]
-    return pa.array(rows, type=to_arrow_type(PARTS))
+
+@F.arrow_udf(_ELEMENTS)
+def _read_elements(html: pa.Array) -> pa.Array:
+    events = _Events()
+    for page in html.to_pylist():
+        events.page(page or "")
+    kinds = to_arrow_type(_ELEMENT)
+    flat = pa.StructArray.from_arrays([pa.array(events.columns[f.name], f.type) for f in kinds], fields=list(kinds))
+    lists = [pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), values)
+             for ends, values in ((events.element_ends, flat), (events.piece_ends, pa.array(events.pieces, pa.string())))]
+    return pa.StructArray.from_arrays(lists, names=["elements", "pieces"])
 
 
 # A filter on the result would else be pushed below it and parse every page twice.
-read_parts = read_parts.asNondeterministic()
+_read_elements = _read_elements.asNondeterministic()
+
+
+def page_elements(pages: DataFrame, page_id: str = "page_id", html_col: str = "html", keep: Sequence[str] = ()) -> DataFrame:
+    """The one Python pass: ``page_id, keep…, elements, pieces``; a null page has none.
+
+    Pages are dealt out anew before it: parsing costs many times what moving a page
+    does, and a table in few files would be parsed by as few tasks.
+    """
+    dealt = pages.select(page_id, *keep, html_col).hint("rebalance")
+    read = dealt.select(page_id, *keep, _read_elements(html_col).alias("_read"))
+    trimmed = F.transform("_read.pieces", strip)
+    return read.select(page_id, *keep, "_read.elements", trimmed.alias("pieces"))
+
+
+def _inside(element: Column) -> Column:
+    """An element's descendants, in document order."""
+    return F.slice("elements", element["no"] + 2, element["end"] - element["no"] - 1)
+
+
+def _tagged(elements: Column, *tags: str) -> Column:
+    return F.filter(elements, lambda e: e["tag"].isin(*tags))
+
+
+def _text(element: Column, sep: str) -> Column:
+    """The element's text pieces that aren't blank, joined."""
+    pieces = F.slice("pieces", element["text_from"] + 1, element["text_to"] - element["text_from"])
+    return F.array_join(F.filter(pieces, lambda p: p != ""), sep)
+
+
+def _cells(row: Column, *tags: str) -> Column:
+    return F.transform(_tagged(_inside(row), *tags), lambda c: normalize_ws(_text(c, " ")))
+
+
+def _table(table: Column) -> Column:
+    """Header cells and body rows: ``thead`` names the header, else the first row."""
+    def of(found: Column) -> Column:
+        rows, head, body = found["rows"], F.get(found["heads"], F.lit(0)), F.get(found["bodies"], F.lit(0))
+        first = F.get(rows, F.lit(0))
+        headers = F.when(head.isNotNull(), _cells(head, "th", "td")).when(first.isNotNull(), _cells(first, "th", "td")).otherwise(F.array().cast("array<string>"))
+        later = F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0)))
+        own = F.filter(_tagged(_inside(body), "tr"), lambda r: r["parent"] == body["no"])
+        filled = F.transform(F.when(head.isNotNull() & body.isNotNull(), own).otherwise(later), lambda r: _cells(r, "td", "th"))
+        return F.struct(headers.alias("headers"), F.filter(filled, lambda r: F.exists(r, lambda c: c != "")).alias("rows"))
+
+    within = _inside(table)
+    return let(F.struct(*(_tagged(within, tag).alias(name) for tag, name in (("tr", "rows"), ("thead", "heads"), ("tbody", "bodies")))), of)
+
+
+def _next_table(element: Column) -> Column:
+    """Number of the sibling table that follows, unless a paragraph or heading comes first."""
+    up = F.get("elements", element["parent"])
+    stop = F.when(element["parent"] >= 0, up["end"]).otherwise(F.size("elements"))
+    later = F.filter(F.slice("elements", element["end"] + 1, stop - element["end"]), lambda e: (e["parent"] == element["parent"]) & e["tag"].isin("table", "p", "h2", "h3"))
+    return let(F.get(later, F.lit(0)), lambda e: F.when(e["tag"] == "table", e["no"]))
 
 
 def page_parts(pages: DataFrame, page_id: str = "page_id", html_col: str = "html", keep: Sequence[str] = ()) -> DataFrame:
-    """The one Python pass: ``(page_id, keep…, parts)``.  Everything else reads this."""
-    return pages.select(page_id, *keep, read_parts(html_col).alias("parts"))
+    """Plain parts of each page: ``page_id, keep…, has_content, title, paragraphs, tables, code``.
+
+    ``paragraphs`` are those of the first container with the class ``content``, with
+    their text, whether they're its children, and the place in ``tables`` of the
+    table that directly follows; ``tables`` are all of the page.
+    """
+    read = page_elements(pages, page_id, html_col, keep)
+    is_content = lambda e: (e["tag"] == "div") & F.array_contains(F.split(e["classes"], r"\s+"), "content")
+    staged = read.select("*", F.get(F.filter("elements", is_content), F.lit(0)).alias("_content"), _tagged(F.col("elements"), "table").alias("_tables"))
+    content = F.col("_content")
+    staged = staged.withColumn("_held", F.when(content.isNotNull(), _tagged(_inside(content), "h2", "p", "pre")))
+    held = lambda tag: F.filter("_held", lambda e: e["tag"] == tag)
+    heading = F.get(held("h2"), F.lit(0))
+    numbers = F.transform("_tables", lambda t: t["no"])
+    paragraphs = F.transform(held("p"), lambda p: F.struct(
+        _text(p, "\n").alias("text"), (p["parent"] == content["no"]).alias("direct"),
+        (F.array_position(numbers, _next_table(p)) - 1).cast("int").alias("table")))
+    blocks = F.transform(held("pre"), lambda b: _text(b, "\n"))
+    nothing = F.array().cast("array<string>")
+    title = F.when(content.isNotNull(), F.coalesce(normalize_ws(_text(heading, " ")), F.lit("")))
+    return staged.select(
+        page_id, *keep, content.isNotNull().alias("has_content"), title.alias("title"),
+        F.coalesce(paragraphs, F.array().cast("array<struct<text: string, direct: boolean, table: int>>")).alias("paragraphs"),
+        F.transform("_tables", _table).alias("tables"),
+        F.coalesce(F.filter(blocks, lambda c: c != ""), nothing).alias("code"))
 
 
 def _named_rows(table: Column) -> Column:
@@ -208,7 +216,7 @@ def _named_rows(table: Column) -> Column:
 
 def page_tables(parts: DataFrame, page_id: str = "page_id") -> DataFrame:
     """Every table of every page: ``(page_id, table_no, headers, rows)``."""
-    each = parts.select(page_id, F.posexplode("parts.tables").alias("_pos", "_table"))
+    each = parts.select(page_id, F.posexplode("tables").alias("_pos", "_table"))
     return each.select(
         page_id, (F.col("_pos") + 1).alias("table_no"), F.col("_table.headers").alias("headers"),
         _named_rows(F.col("_table")).alias("rows"))
@@ -216,8 +224,8 @@ def page_tables(parts: DataFrame, page_id: str = "page_id") -> DataFrame:
 
 def _section(title: str) -> Column:
     """Rows of the first table that directly follows a paragraph of this title, or NULL."""
-    hit = F.filter("parts.paragraphs", lambda p: p["table"].isNotNull() & (normalize_ws(p["text"]) == title))
-    return _named_rows(F.get("parts.tables", F.get(hit, F.lit(0))["table"]))
+    hit = F.filter("paragraphs", lambda p: p["table"].isNotNull() & (normalize_ws(p["text"]) == title))
+    return _named_rows(F.get("tables", F.get(hit, F.lit(0))["table"]))
 
 
 def page_sections(
@@ -238,7 +246,7 @@ def _ranked_code() -> Column:
         )
 
     # Best score first, then position: sorting (-score, position) ascending.
-    return F.array_sort(F.transform("parts.code", lambda c, i: F.struct(
+    return F.array_sort(F.transform("code", lambda c, i: F.struct(
         (-score(c)).alias("neg"), i.alias("pos"), c.alias("code"))))
 
 
@@ -260,14 +268,14 @@ def contracts(
     parts = page_parts(pages, page_id, html_col, keep=[c for c in (target,) if c != page_id])
     is_meta = lambda p: F.contains(p["text"], F.lit(META_API)) & (
         F.contains(p["text"], F.lit(META_WORDS[0])) | F.contains(p["text"], F.lit(META_WORDS[1])))
-    direct = F.get(F.filter("parts.paragraphs", lambda p: is_meta(p) & p["direct"]), F.lit(0))
-    anywhere = F.get(F.filter("parts.paragraphs", is_meta), F.lit(0))
+    direct = F.get(F.filter("paragraphs", lambda p: is_meta(p) & p["direct"]), F.lit(0))
+    anywhere = F.get(F.filter("paragraphs", is_meta), F.lit(0))
     empty_rows = F.array().cast("array<map<string,string>>")
     meta_text = F.coalesce(direct["text"], anywhere["text"]).alias("_meta_text")
     staged = parts.select("*", meta_text).select(
         page_id, as_col(target).cast("string").alias("_target"),
-        F.when(~F.col("parts.has_content"), "no content container").alias("error"),
-        F.col("parts.title").alias("title"),
+        F.when(~F.col("has_content"), "no content container").alias("error"),
+        "title",
         F.coalesce(meta_map("_meta_text"), F.create_map().cast("map<string,string>")).alias("meta"),
         F.coalesce(_section(SECTION_INPUT), empty_rows).alias("input_params"),
         F.coalesce(_section(SECTION_OUTPUT), empty_rows).alias("output_params"),

@@ -1,9 +1,10 @@
 """Anchor weights drifted to daily estimates, and flows aggregated with them.
 
 Row growth is bounded by the output: a constituent gives one row per trading
-day that its anchor holds for.  The product window is per (index, constituent,
-anchor), i.e. one anchor period long, so a hot index is spread over its
-constituents and periods.  Everything per (index, day) is a partial aggregate.
+day that its anchor holds for, and that is the last step: before, an anchor
+period is a row with arrays.  Periods are shuffled per (index, constituent,
+anchor), so a hot index is spread over its constituents and periods.  Everything
+per (index, day) is a partial aggregate.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from panelprep.operators.calendar import anchor_spans, trading_offset
 from panelprep.operators.sets import top_k
 from panelprep.sources.scans import calendar_index, distinct_dates
 
+BUCKET = 64  # trading days of a code in one array
+
 
 def return_from_price(
     df: DataFrame, key: str = "con_code", date: str = "trade_date", price: str = "close",
@@ -49,8 +52,9 @@ def drift_weights(
     ``assert_unique`` checks that.
 
     ``carry`` holds more measures per (code, date) for the output, such as the
-    next day's flow.  They're merged with the returns, one narrow row per code
-    and day, before the panel meets either: the panel is shuffled once for both.
+    next day's flow.  They're merged with the returns into arrays of ``BUCKET``
+    days per code.  What is shuffled is anchor periods with such arrays; products
+    run inside the row, and the days become rows last.
     """
     idx = calendar_index(calendar, calendar_col)
     spans = anchor_spans(anchors, calendar, index, date, calendar_col).where("first_idx < next_idx")
@@ -58,29 +62,67 @@ def drift_weights(
     if through_next:
         last = F.when(F.col("next_anchor_date").isNotNull(), F.col("next_idx")).otherwise(last)
     extra = [c for c in anchors.columns if c not in (index, code, date, weight)]
+    carried = [c for c in carry.columns if c not in (code, date)] if carry is not None else []
     held = anchors.withColumnRenamed(date, "anchor_date").join(
         spans.withColumn("_last", last), [index, "anchor_date"], "inner")
-    panel = held.select(
-        index, code, "anchor_date", F.col(weight).alias("anchor_weight"), *extra, "anchor_idx",
-        F.explode(F.sequence(F.col("first_idx"), F.col("_last"))).alias("idx"),
-    ).join(F.broadcast(idx.withColumnRenamed("trade_date", date)), "idx")
-    r = returns.select(code, date, F.col(ret).alias("_ret"), F.lit(True).alias("_quoted"))
+    held = held.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("first_idx") / BUCKET), F.floor(F.col("_last") / BUCKET))))
+    slots = _slots(returns.select(code, date, F.col(ret).cast("double").alias("_ret")), carry, idx, code, date)
+
+    # A row per anchor period and bucket: growth since the bucket's first day, day by day.
+    begin = F.col("_bucket") * BUCKET
+    day_type = "struct<growth: double" + "".join(f", `{c}`: {carry.schema[c].dataType.simpleString()}" for c in carried) + ">"
+    start = F.struct(F.array().cast(f"array<{day_type}>").alias("days"), F.lit(1.0).alias("growth"), F.lit(False).alias("quoted"))
+
+    def step(state, day):
+        slot = F.get("_slots", day - begin)
+        quoted = F.coalesce(slot["quoted"], F.lit(False)) & (day > F.col("anchor_idx"))
+        growth = state["growth"] * F.when(quoted, 1 + F.coalesce(slot["ret"], F.lit(0.0))).otherwise(F.lit(1.0))
+        value = F.struct(growth.alias("growth"), *(slot[c].alias(c) for c in carried))
+        return F.struct(F.concat(state["days"], F.array(value)).alias("days"), growth.alias("growth"), (state["quoted"] | quoted).alias("quoted"))
+
+    days = F.sequence(F.greatest(F.col("first_idx"), begin), F.least(F.col("_last"), begin + (BUCKET - 1)))
+    parts = held.join(slots, [code, "_bucket"], "left").select(
+        index, code, "anchor_date", F.col(weight).alias("anchor_weight"), *extra, "anchor_idx", "first_idx",
+        F.struct("_bucket", F.aggregate(days, start, step).alias("part")).alias("_part"))
+
+    # A row per anchor period; its days become rows last.
+    period = parts.groupBy(index, code, "anchor_date", "anchor_weight", *extra, "anchor_idx", "first_idx").agg(
+        F.transform(F.array_sort(F.collect_list("_part")), lambda p: p["part"]).alias("_parts"))
+
+    def grown(part, at):
+        before = F.aggregate(F.slice("_parts", 1, at), F.lit(1.0), lambda growth, p: growth * p["growth"])
+        return F.transform(part["days"], lambda d: F.struct((d["growth"] * before).alias("growth"), *(d[c].alias(c) for c in carried)))
+
+    panel = period.select(
+        index, code, "anchor_date", "anchor_weight", *extra, "anchor_idx", "first_idx",
+        F.exists("_parts", lambda p: p["quoted"]).alias("has_quotes"),
+        F.posexplode(F.flatten(F.transform("_parts", grown))).alias("_at", "_day"))
+    return panel.withColumn("idx", F.col("first_idx") + F.col("_at")).join(
+        F.broadcast(idx.withColumnRenamed("trade_date", date)), "idx").select(
+        index, code, date, "anchor_date", "anchor_weight", *extra, *(F.col("_day")[c].alias(c) for c in carried),
+        (F.col("idx") - F.col("anchor_idx")).cast("int").alias("days_since_anchor"),
+        (F.col("anchor_weight") * F.col("_day")["growth"]).alias("raw_weight"), "has_quotes")
+
+
+def _slots(returns: DataFrame, carry: DataFrame | None, idx: DataFrame, code: str, date: str) -> DataFrame:
+    """Returns and carried measures of each code in arrays of ``BUCKET`` days, an entry per trading day: ``code, _bucket, _slots``."""
     carried = [c for c in carry.columns if c not in (code, date)] if carry is not None else []
+    rows = returns.withColumn("_kind", F.lit("return"))
     if carry is not None:
-        r = r.join(carry, [code, date], "full")
-    after = F.col("idx") > F.col("anchor_idx")
-    joined = panel.join(r, [code, date], "left").withColumns({
-        "_ret": F.when(after, F.col("_ret")), "_quoted": after & F.coalesce("_quoted", F.lit(False))})
-    period = Window.partitionBy(index, code, "anchor_date").orderBy("idx")
-    whole = Window.partitionBy(index, code, "anchor_date")
-    growth = F.product(F.lit(1.0) + F.coalesce("_ret", F.lit(0.0))).over(
-        period.rowsBetween(Window.unboundedPreceding, 0))
-    return joined.select(
-        index, code, date, "anchor_date", "anchor_weight", *extra, *carried,
-        (F.col("idx") - F.col("anchor_idx")).cast("int").alias("days_since_anchor"),
-        (F.col("anchor_weight") * growth).alias("raw_weight"),
-        F.max("_quoted").over(whole).alias("has_quotes"),
-    )
+        rows = rows.unionByName(carry.withColumn("_kind", F.lit("carry")), allowMissingColumns=True)
+    dated = rows.join(F.broadcast(idx.withColumnRenamed("trade_date", date)), date)
+    is_return, nothing = F.col("_kind") == "return", F.lit(None)
+    entries = dated.groupBy(code, F.floor(F.col("idx") / BUCKET).alias("_bucket")).agg(
+        F.map_from_entries(F.collect_list(F.when(is_return, F.struct("idx", F.struct(F.col("_ret").alias("ret")))))).alias("_returns"),
+        (F.map_from_entries(F.collect_list(F.when(~is_return, F.struct("idx", F.struct(*carried))))) if carried else nothing).alias("_carried"))
+
+    def slot(day):
+        quote = F.try_element_at("_returns", day)
+        more = [F.try_element_at("_carried", day)[c].alias(c) for c in carried]
+        return F.struct(quote.isNotNull().alias("quoted"), quote["ret"].alias("ret"), *more)
+
+    begin = (F.col("_bucket") * BUCKET).cast("int")
+    return entries.select(code, "_bucket", F.transform(F.sequence(begin, begin + (BUCKET - 1)), slot).alias("_slots"))
 
 
 def drop_unquoted(drifted: DataFrame) -> DataFrame:
@@ -196,34 +238,44 @@ def index_flow(
 
 def drift_error(
     estimated: DataFrame, official: DataFrame, top_n: int, index: str = "index_code", code: str = "con_code",
-    date: str = "trade_date", weight: str = "weight",
+    date: str = "trade_date", weight: str = "weight", raw: bool = False,
 ) -> DataFrame:
     """Estimated against official weights on each official date that has estimates.
 
     ``mae_union`` averages the absolute error over the union of constituents, a
     missing side counting as 0.  ``top_overlap`` is the share of the official
     top ``top_n`` that the estimate's top ``top_n`` also names; ``coverage`` the
-    share of official weight that has an estimate.  ``estimated`` is read twice,
-    so pass an expensive plan through ``session.durable`` first.
+    share of official weight that has an estimate.  ``raw`` weights of either side
+    are divided by their sum over the index and day first.
+
+    Both sides' weights of a constituent meet in one map, made by one exchange per
+    (index, day, constituent): sums, errors and both tops are read from it, so
+    neither side's plan runs twice, and a hot (index, day) is never gathered.
     """
-    days = official.select(index, date).distinct()
-    e = estimated.select(index, date, code, F.col(weight).alias("_est")).join(days, [index, date], "left_semi")
-    o = official.select(index, date, code, F.col(weight).alias("_off"))
-    pair = e.join(o, [index, date, code], "full")
-    est, off = F.coalesce("_est", F.lit(0.0)), F.coalesce("_off", F.lit(0.0))
+    group, whole = [index, date], [index, date, code]
+    known = F.col(index).isNotNull() & F.col(date).isNotNull()
+    days = official.where(known).select(*group).distinct()
+    sides = [df.where(known).select(*whole, F.lit(side).alias("_side"), F.col(weight).cast("double").alias("_weight"))
+             for side, df in (("e", estimated.join(days, group, "left_semi")), ("o", official))]
+    pair = sides[0].unionByName(sides[1]).groupBy(*whole).agg(F.map_from_entries(F.collect_list(F.struct("_side", "_weight"))).alias("_of"))
+    has = lambda side: F.map_contains_key("_of", side)
+    value = lambda side: F.try_element_at("_of", F.lit(side))
+
+    rows, est, off = pair, F.coalesce(value("e"), F.lit(0.0)), F.coalesce(value("o"), F.lit(0.0))
+    if raw:
+        sums = pair.groupBy(*group).agg(F.sum(value("e")).alias("_all_e"), F.sum(value("o")).alias("_all_o"))
+        rows = pair.join(sums, group)
+        est, off = (F.coalesce(F.try_divide(value(side), f"_all_{side}"), F.lit(0.0)) for side in "eo")
     error = F.abs(est - off)
-    base = pair.groupBy(index, date).agg(
-        F.avg(error).alias("mae_union"), F.max(error).alias("max_abs_error"),
-        F.count(F.lit(1)).alias("union_count"), F.count("_est").alias("_n_est"),
-        F.sum(F.when(F.col("_est").isNotNull(), off)).alias("_seen"), F.sum(off).alias("_all"),
-    ).where("_n_est > 0")
-    top_e = top_k(e, [index, date], [F.col("_est").desc_nulls_last(), F.col(code)], top_n)
-    top_o = top_k(o, [index, date], [F.col("_off").desc_nulls_last(), F.col(code)], top_n)
-    overlap = (
-        top_o.join(top_e.select(index, date, code, F.lit(1).alias("_hit")), [index, date, code], "left")
-        .groupBy(index, date).agg((F.count("_hit") / F.count(F.lit(1))).alias("top_overlap"))
-    )
-    return base.join(overlap, [index, date], "left").select(
-        index, date, "mae_union", "max_abs_error", "union_count", "top_overlap",
+    base = rows.groupBy(*group).agg(
+        F.avg(error).alias("mae_union"), F.max(error).alias("max_abs_error"), F.count(F.lit(1)).alias("union_count"),
+        F.count_if(has("e") & value("e").isNotNull()).alias("_n_est"), F.sum(F.when(value("e").isNotNull(), off)).alias("_seen"), F.sum(off).alias("_all"))
+    tops = [top_k(pair.where(has(side)).select(*whole, value(side).alias("_weight")), group, [F.col("_weight").desc_nulls_last(), F.col(code)], top_n)
+            .select(*whole, F.lit(side == "o").alias("_official")) for side in "eo"]
+    named = tops[0].unionByName(tops[1]).groupBy(*whole).agg(F.count_if("_official").alias("_official"), F.count(F.lit(1)).alias("_n"))
+    overlap = named.groupBy(*group).agg(F.try_divide(F.count_if(F.col("_n") > 1), F.sum("_official")).alias("top_overlap"))
+    # One row per (index, day) on both sides.
+    return base.where("_n_est > 0").join(overlap, group, "left").select(
+        *group, "mae_union", "max_abs_error", "union_count", "top_overlap",
         F.try_divide(F.coalesce("_seen", F.lit(0.0)), "_all").alias("coverage"),
     )

@@ -1,24 +1,28 @@
 """Hierarchy, interval, point-in-time, routing and fallback joins.
 
 Two rules hold throughout.  No side is broadcast by hint unless its type bounds
-it: whether a dictionary or a membership table is small is for Spark to decide
-from its measured size.  And no window runs over raw rows of a key: rows are
+it, or its size was measured: whether a membership table is small is for Spark to
+decide.  And no window runs over raw rows of a key: rows are
 first reduced to one per (key, day), so a key that holds a third of all rows
 still gives at most one row per calendar day.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from panelprep.functions.dates import parse_date
 from panelprep.functions.codes import CODE_FAMILIES, UNKNOWN_FAMILY, code_family, hierarchy_key, prefix_len
 from panelprep.sources.scans import distinct_dates
 
 _EPOCH = "1970-01-01"
+CIRCLE = 16  # buckets after the last start of a membership
+SMALL_BYTES = 32 * 1024 * 1024  # a dictionary of so many bytes is sent to all tasks
+HOT_KEYS, HOT_ROWS = 1000, 100_000  # keys that are spread, and rows that make a key hot
 
 
 def _all(conditions: Iterable[Column]) -> Column:
@@ -29,6 +33,38 @@ def _days(col: Column | str) -> Column:
     return F.datediff(col, F.lit(_EPOCH).cast("date"))
 
 
+def is_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
+    """Whether the rows, written out, take at most ``limit`` bytes: measured by a job over ``df``."""
+    written = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).cast("long") + 16
+    return (df.agg(F.sum(written)).first()[0] or 0) <= limit
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", salts: int = 32, least: int = HOT_ROWS) -> DataFrame:
+    """``left`` joined to ``right`` on equal columns, its most frequent keys spread over ``salts`` tasks each.
+
+    One job finds the thousand most frequent keys of ``left`` with ``least`` rows or
+    more; any other key has a thousandth of the rows at most.  A hot key's rows
+    take turns in their salt, and the rows of ``right`` under it are repeated once
+    per salt.  Rows with a null key match nothing; they take turns, too.  This
+    holds whatever the session's adaptive settings are.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join type {how!r}")
+    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least)
+    found = counts.orderBy(F.col("_n").desc()).limit(HOT_KEYS).drop("_n").collect()
+    if not found:
+        return left.join(right, list(on), how)
+    hot = left.sparkSession.createDataFrame(found, left.select(*on).schema).select(*(F.col(c).alias(f"_hot_{c}") for c in on), F.lit(True).alias("_hot"))
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(hot), _all(F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in on), "left").drop(*(f"_hot_{c}" for c in on))
+
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    spread = marked(left).withColumn("_salt", F.when(F.col("_hot"), turn).otherwise(0)).drop("_hot")
+    repeated = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return spread.join(marked(right).withColumn("_salt", F.explode(repeated)).drop("_hot"), [*on, "_salt"], how).drop("_salt")
+
+
 def hierarchy_join(
     df: DataFrame, dictionary: DataFrame, level: int, code_col: str = "ind_code",
     dict_code: str = "code", dict_level: str = "levelnum",
@@ -36,16 +72,19 @@ def hierarchy_join(
     """Left join to the dictionary row of the code's level-1, 2 or 3 prefix.
 
     Dictionary levels are one more than visible levels.  The key is built below
-    the join; the output says which level and prefix length it used.
+    the join; the output says which level and prefix length it used.  A level of
+    the dictionary that's measured to be small is sent to all tasks, so however
+    many rows share a prefix, none is moved; with a larger one, frequent prefixes
+    are spread (``spread_join``).
     """
     payload = [c for c in dictionary.columns if c not in (dict_code, dict_level)]
     rows = dictionary.where(F.col(dict_level) == level + 1).select(
         F.col(dict_code).alias("hierarchy_code"), *payload
     )
+    keyed = df.withColumn("hierarchy_code", hierarchy_key(code_col, level))
+    joined = keyed.join(F.broadcast(rows), "hierarchy_code", "left") if is_small(rows) else spread_join(keyed, rows, ["hierarchy_code"])
     return (
-        df.withColumn("hierarchy_code", hierarchy_key(code_col, level))
-        .join(rows, "hierarchy_code", "left")
-        .withColumn("hierarchy_level", F.lit(level))
+        joined.withColumn("hierarchy_level", F.lit(level))
         .withColumn("prefix_len", F.lit(prefix_len(level)))
     )
 
@@ -63,6 +102,7 @@ def hierarchy_rollup(df: DataFrame, level: int, measures: Mapping[str, str], cod
 def interval_join(
     facts: DataFrame, membership: DataFrame, key: str | Sequence[str], date: str, start: str, end: str,
     *, end_inclusive: bool, how: str = "inner", bucket_days: int = 128, bounds: tuple | None = None,
+    last_start: Column | None = None,
 ) -> DataFrame:
     """Facts with the memberships in force on their day; a null end is open.
 
@@ -72,23 +112,33 @@ def interval_join(
     The join is on (key, bucket of days): a membership is repeated once per
     bucket that it touches, a fact sits in one.  So a fact is only tested
     against its own bucket's memberships, and a hot key is spread over its
-    buckets instead of landing in one task.  Memberships are only spread over
-    days that facts can have: between ``bounds``, a first and a last day, if given,
-    facts outside of which match nothing; else between the facts' own first and
-    last day, which are read from their date column in a pass of its own.
+    buckets instead of landing in one task.  How far open or distant ends reach is
+    read off the memberships, so the facts' plan runs once: after ``last_start``,
+    the latest start of all, nothing begins any more, and the buckets from there on
+    are numbered in a circle of ``CIRCLE``, over which a membership without an end
+    is repeated at most that often.  ``last_start`` is a scalar, by default the
+    memberships' own; give it where it can be had from less than their plan.
+
+    With ``bounds``, a first and a last day, facts outside match nothing, and
+    memberships are spread over the days between only.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     keys = [key] if isinstance(key, str) else list(key)
+    bucket = lambda day: F.floor(_days(day) / bucket_days)
+    first_day, last_day, fact_bucket = F.col(start).cast("date"), F.col(end).cast("date"), bucket(F.col(date))
     if bounds is None:
-        low, high = facts.select(F.min(date)).scalar().cast("date"), facts.select(F.max(date)).scalar().cast("date")
+        latest = membership.select(F.max(start)).scalar() if last_start is None else last_start
+        turn = bucket(latest.cast("date"))
+        buckets = F.sequence(bucket(first_day), F.least(F.coalesce(bucket(last_day), turn + CIRCLE), turn + CIRCLE))
+        buckets = F.when(first_day.isNotNull() & (last_day.isNull() | (first_day <= last_day)), buckets)
+        fact_bucket = F.when(fact_bucket > turn, turn + 1 + (fact_bucket - turn - 1) % CIRCLE).otherwise(fact_bucket)
     else:
         low, high = (F.lit(parse_date(d)).cast("date") for d in bounds)
-    first_bucket = F.floor(_days(F.greatest(F.col(start).cast("date"), low)) / bucket_days)
-    last_bucket = F.floor(_days(F.least(F.coalesce(F.col(end).cast("date"), high), high)) / bucket_days)
-    buckets = F.when(first_bucket <= last_bucket, F.sequence(first_bucket, last_bucket))
+        first, last = bucket(F.greatest(first_day, low)), bucket(F.least(F.coalesce(last_day, high), high))
+        buckets = F.when(first <= last, F.sequence(first, last))
     m = membership.withColumn("_bucket", F.explode(buckets)).alias("m")
-    f = facts.withColumn("_bucket", F.floor(_days(date) / bucket_days)).alias("f")
+    f = facts.withColumn("_bucket", fact_bucket).alias("f")
     day, s, e = F.col(f"f.{date}"), F.col(f"m.{start}"), F.col(f"m.{end}")
     inside = (s <= day) & (e.isNull() | ((day <= e) if end_inclusive else (day < e)))
     if bounds is not None:
@@ -175,18 +225,18 @@ def snapshot_timeline(facts: DataFrame, key: str, ann_dt: str, period: str) -> D
 
 def point_in_time(
     queries: DataFrame, facts: DataFrame, key: str, trade_date: str = "trade_date", ann_dt: str = "ann_dt",
-    period: str = "report_period", bucket_days: int = 128,
+    period: str = "report_period", bucket_days: int = 128, bounds: tuple | None = None,
 ) -> DataFrame:
     """Each query row with the snapshot known on its day; null where none was.
 
     The facts become a timeline of validity ranges first; the large query side
     is then shuffled once, by (key, day bucket), and not at all when Spark finds
-    the timeline small enough to broadcast.
+    the timeline small enough to broadcast.  ``bounds`` are as in ``interval_join``.
     """
     timeline = snapshot_timeline(facts, key, ann_dt, period)
     joined = interval_join(
-        queries, timeline, key, trade_date, "valid_from", "valid_to",
-        end_inclusive=False, how="left", bucket_days=bucket_days,
+        queries, timeline, key, trade_date, "valid_from", "valid_to", end_inclusive=False, how="left",
+        bucket_days=bucket_days, bounds=bounds, last_start=facts.select(F.max(ann_dt)).scalar(),
     )
     out = [c for c in facts.columns if c != key]
     return joined.select(*queries.columns, *[F.col(f"snapshot.{c}").alias(c) for c in out])
@@ -318,6 +368,7 @@ def route_by_market(
 
     ``quotes`` maps code family to a frame with ``code``, ``date`` and measures.
     ``route`` is ``joined``, ``no_quote`` or ``unroutable``; nothing is dropped.
+    Days that very many constituents share a code on are spread (``spread_join``).
     """
     norm = normalize or (lambda c: c)
     pool = reduce(
@@ -331,7 +382,7 @@ def route_by_market(
     routable = F.col("_family").isin(*quotes) & (F.col("_family") != UNKNOWN_FAMILY)
     left = left.withColumn("_date", F.col(date))
     route = F.when(~routable, "unroutable").when(F.col("_hit"), "joined").otherwise("no_quote")
-    return left.join(right, ["_family", "_code", "_date"], "left").select(
+    return spread_join(left, right, ["_family", "_code", "_date"]).select(
         *constituents.columns, F.col("_family").alias("code_family"), route.alias("route"), *measures
     )
 
@@ -341,20 +392,49 @@ def first_available(sources: Sequence[tuple[str, DataFrame]], key: str | Sequenc
 
     Sources are numbered and stacked, the smallest number of each key is a partial
     aggregate, and one join back keeps its rows: each source is read twice however
-    many there are, and no key's rows have to meet in one group.
+    many there are, and no key's rows have to meet in one group.  The join is an
+    inner one, as a semi join would be pushed into every source.
     """
     keys = [key] if isinstance(key, str) else list(key)
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
         df.withColumn("source", F.lit(name)).withColumn("_nth", F.lit(i)) for i, (name, df) in enumerate(sources)])
-    first = stacked.groupBy(*keys).agg(F.min("_nth").alias("_nth"))
+    first = stacked.groupBy(*keys).agg(F.min("_nth").alias("_nth"))  # one row a key
     same = _all([*(F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys), F.col("s._nth") == F.col("t._nth")])
-    return stacked.alias("s").join(first.alias("t"), same, "left_semi").drop("_nth")
+    return stacked.alias("s").join(first.alias("t"), same).select(*(f"s.{c}" for c in stacked.columns if c != "_nth"))
 
 
 def assert_unique(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """``df`` itself, or an error when a key repeats.  Runs one aggregation."""
+    """``df``, with an error in whatever job uses its rows when a key repeats; nulls are equal.
+
+    No job of its own: rows are numbered within their key on the way, and the
+    second row of a key is the error, so no key's rows are ever gathered.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    message = F.concat(F.lit(f"key {keys} is not unique: "), F.to_json(F.struct(*keys)))
+    return df.withColumn("_nth", nth).where(F.when(F.col("_nth") == 1, True).otherwise(F.raise_error(message).cast("boolean"))).drop("_nth")
+
+
+class UniqueCheck:
+    """Whether a key of some rows is unique, known once a job has used them."""
+
+    def __init__(self, keys: list[str], observation: Observation):
+        self.keys, self.observation = keys, observation
+
+    @property
+    def excess_rows(self) -> int:
+        """Rows beyond the first of their key; waits for the first job over the rows."""
+        return self.observation.get["excess_rows"] or 0
+
+    def verify(self) -> None:
+        if self.excess_rows:
+            raise ValueError(f"key {self.keys} is not unique: {self.excess_rows} rows in excess")
+
+
+def observe_unique(df: DataFrame, key: str | Sequence[str]) -> tuple[DataFrame, UniqueCheck]:
+    """``df`` and a check that the first job over its rows fills in: the job itself goes on when a key repeats."""
     keys = [key] if isinstance(key, str) else list(key)
-    repeated = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1)
-    if not repeated.isEmpty():
-        raise ValueError(f"key {keys} is not unique")
-    return df
+    observation = Observation(f"unique-{uuid.uuid4().hex}")
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    counted = df.withColumn("_nth", nth).observe(observation, F.count_if(F.col("_nth") > 1).alias("excess_rows"))
+    return counted.drop("_nth"), UniqueCheck(keys, observation)

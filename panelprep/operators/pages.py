@@ -21,16 +21,12 @@ from panelprep.operators.sets import dedupe_first
 # The link form that is recognised, and the markup rules of the
 # text rendering in the order they apply.
 _LINK = r'<a href="([^"]+)">([^<]+)</a>'
-_RULE_LINE = "-" * 40
-_BLOCK_TAGS = (
-    "p|div|section|article|header|footer|aside|main|ul|ol|li|table|thead|tbody|tfoot|tr|h1|h2|h3|h4|h5|h6|pre"
-)
 _MARKUP = (
     (r"(?is)<(script|style|noscript).*?>.*?</\1>", ""),
     (r"(?i)<br\s*/?>", "\n"),
-    (r"(?i)<hr[^>]*>", f"\n{_RULE_LINE}\n"),
+    (r"(?i)<hr[^>]*>", "\n----------------------------------------\n"),
     (r"(?i)<li[^>]*>", "\n- "),
-    (rf"(?i)</({_BLOCK_TAGS})>", "\n"),
+    (r"(?i)</(p|div|section|article|header|footer|aside|main|ul|ol|li|table|thead|tbody|tfoot|tr|h1|h2|h3|h4|h5|h6|pre)>", "\n"),
     (r"(?i)</(td|th)>", "\t"),
     (r"(?s)<[^>]+>", ""),
 )

@@ -6,11 +6,13 @@ is its result, not its input.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from panelprep.functions.codes import CODE_FAMILIES, code_family
 from panelprep.functions.dates import as_date
@@ -102,14 +104,15 @@ def contract_diff(contracts: DataFrame, df: DataFrame, api: str = "api_name", fi
     return contracts.select(api, F.inline(pairs)).select(api, "documented", "present", status.alias("status"))
 
 
-def code_coverage(requested: DataFrame, df: DataFrame, key: str, families=CODE_FAMILIES) -> DataFrame:
+def code_coverage(requested: DataFrame, df: DataFrame, key: str, families=CODE_FAMILIES, count: str | None = None) -> DataFrame:
     """Rows per requested code, zero included, with the code's family.
 
     Codes are counted before the join: what meets the request list is one row
-    per code, however many rows a code has.
+    per code, however many rows a code has.  ``count`` names a column by which a
+    row of ``df`` stands for several.
     """
     wanted = requested.select(key).distinct()
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = df.groupBy(key).agg((F.sum(count) if count else F.count(F.lit(1))).alias("n_rows"))
     n = F.coalesce("n_rows", F.lit(0))
     return wanted.join(counts, key, "left").select(
         key, code_family(F.col(key).cast("string"), families).alias("code_family"), n.alias("n_rows"),
@@ -257,9 +260,10 @@ class ReportSpec:
 def validation_report(df: DataFrame, spec: ReportSpec) -> DataFrame:
     """The checks as long rows ``(check_name, subject, value, status)``.
 
-    Counts, spans, nulls and filter checks share one pass over the table; the
-    duplicate check adds one aggregation by key and coverage one by code.  The
-    input isn't cached: at scale re-reading two columns beats storing all.
+    With a key or requested codes the table is read once, when the report is made:
+    counts, spans, nulls and filter checks are observed on the rows on their way to
+    one aggregate by key and code, from whose rows duplicates and coverage come.
+    Without, the report is a lazy aggregate.  The input is never cached.
     """
     conds = param_conditions(df, spec.params)
     aggs: list[Column] = [F.count(F.lit(1)).alias("n")]
@@ -268,8 +272,8 @@ def validation_report(df: DataFrame, spec: ReportSpec) -> DataFrame:
     if spec.date_col:
         name = resolve_name(df, spec.date_col)
         day = as_date(name, df.schema[name].dataType)
-        aggs += [F.min(day).alias("lo"), F.max(day).alias("hi"), F.countDistinct(day).alias("days")]
-    row = df.agg(*aggs)
+        days = F.size(F.collect_set(day))  # bounded by the date type
+        aggs += [F.min(day).alias("lo"), F.max(day).alias("hi"), days.cast("long").alias("days")]
 
     def cell(check: str, subject: str, value: Column, status: Column | str) -> Column:
         return F.struct(
@@ -294,19 +298,35 @@ def validation_report(df: DataFrame, spec: ReportSpec) -> DataFrame:
                   cell("distinct_dates", spec.date_col, F.col("days"), "info")]
     if spec.contract is not None:
         cells += [cell("contract_diff", name, F.lit(status), verdict(F.lit(status == "match"))) for name, status in field_statuses(spec.contract, df.columns)]
-    report = row.select(F.inline(F.array(*cells)))
+    if not spec.key and spec.requested is None:
+        return df.agg(*aggs).select(F.inline(F.array(*cells)))
+
+    spark, seen = df.sparkSession, Observation(f"report-{uuid.uuid4().hex}")
+    code = (spec.requested_key or spec.requested.columns[0]) if spec.requested is not None else None
+    fine = list(dict.fromkeys([*(spec.key or []), *([code] if code else [])]))
+    per_key = df.observe(seen, *aggs).groupBy(*fine).agg(F.count(F.lit(1)).alias("n_rows"))
+    summaries = []
     if spec.key:
         subject = ",".join(spec.key)
-        dup = duplicate_keys(df, spec.key).agg(
-            F.count(F.lit(1)).alias("k"), F.coalesce(F.sum("excess_rows"), F.lit(0)).alias("x"))
-        report = report.unionByName(dup.select(F.inline(F.array(
+        repeated = (per_key if set(fine) == set(spec.key) else per_key.groupBy(*spec.key).agg(F.sum("n_rows").alias("n_rows"))).where("n_rows > 1")
+        dup = repeated.agg(F.count(F.lit(1)).alias("k"), F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).alias("x"))
+        summaries.append(dup.select(F.inline(F.array(
             cell("duplicate_keys", subject, F.col("k"), verdict(F.col("k") == 0)),
             cell("excess_rows", subject, F.col("x"), verdict(F.col("x") == 0))))))
-    if spec.requested is not None:
-        key = spec.requested_key or spec.requested.columns[0]
-        cov = code_coverage(spec.requested, df, key).agg(
+    if code:
+        cov = code_coverage(spec.requested, per_key, code, count="n_rows").agg(
             F.count(F.lit(1)).alias("r"), F.count_if(~F.col("covered")).alias("z"))
-        report = report.unionByName(cov.select(F.inline(F.array(
-            cell("requested_codes", key, F.col("r"), "info"),
-            cell("zero_row_codes", key, F.col("z"), verdict(F.col("z") == 0))))))
-    return report
+        summaries.append(cov.select(F.inline(F.array(
+            cell("requested_codes", code, F.col("r"), "info"),
+            cell("zero_row_codes", code, F.col("z"), verdict(F.col("z") == 0))))))
+    joint = reduce(DataFrame.unionByName, summaries)
+    counted = joint.collect()  # two rows a check; the aggregate by key is one exchange that both read
+    row = _observed(spark, df, aggs, seen)
+    return row.select(F.inline(F.array(*cells))).unionByName(spark.createDataFrame(counted, joint.schema))
+
+
+def _observed(spark: SparkSession, df: DataFrame, aggs: list[Column], seen: Observation) -> DataFrame:
+    """What was observed, as the one row that the aggregates would give."""
+    schema = df.limit(0).agg(*aggs).schema
+    values = seen.get
+    return spark.createDataFrame([tuple(values.get(name) for name in schema.names)], schema)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from panelprep.session import durable
+
 Order = Sequence[Column | str]
 
 
@@ -41,40 +42,18 @@ def stable_sort(df: DataFrame, *order: Column | str) -> DataFrame:
     return df.orderBy(*order)
 
 
-def _block_of(value: Column, cuts: list[float]) -> Column:
-    """Number of cuts below the value, looked up in two steps of about sqrt(n) comparisons."""
-    if not cuts:
-        return F.lit(0)
-    step = max(1, math.isqrt(len(cuts)))
-    chunks = [cuts[i:i + step] for i in range(0, len(cuts), step)]
-
-    def literal(values: list[float]) -> str:
-        return f"array({','.join(f'{v!r}D' for v in values)})"
-
-    def below(bounds: Column) -> Column:
-        return F.size(F.filter(bounds, lambda b: b < value))
-
-    full = below(F.expr(literal([c[-1] for c in chunks])))
-    rest = F.get(F.expr(f"array({','.join(literal(c) for c in chunks)})"), full)
-    return F.coalesce(full * step + F.when(rest.isNotNull(), below(rest)).otherwise(0), F.lit(0))
-
-
-def numbered(df: DataFrame, keys: Sequence[str], order_col: str, name: str, blocks: int | None = None) -> DataFrame:
-    """1-based position of each row within its key, by a unique numeric column.
+def numbered(df: DataFrame, keys: Sequence[str], order_col: str, name: str) -> DataFrame:
+    """1-based position of each row within its key, by a unique column.
 
-    A key may hold any share of the rows: the order column's range is cut into
-    blocks at its quantiles, rows are numbered within (key, block), and each
-    block adds the rows in the key's earlier blocks.  Only the block counts, one
-    row per (key, block), are ever put in one group by key.
+    A key may hold any share of the rows: they're dealt to partitions by ranges of
+    (key, order), so its rows are neighbours, and only counts, one row per key and
+    partition, are ever put in one group by key.  The sorted rows are written to
+    the shared folder once, as both the counts and the rows are read from them.
     """
-    blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = df.approxQuantile(order_col, [i / blocks for i in range(1, blocks)], 1 / (20 * blocks))
-    # One struct key: equality on it treats nulls as equal, and the window, the
-    # counts and the join all work on the same partitioning.
-    tagged = df.withColumn("_key", F.struct(*keys)).withColumn("_block", _block_of(F.col(order_col), sorted(set(cuts))))
-    counts = tagged.groupBy("_key", "_block").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_key", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("_key", "_block").orderBy(order_col)
-    placed = tagged.withColumn("_pos", F.row_number().over(within))
-    return placed.join(offsets, ["_key", "_block"]).select(*df.columns, (F.col("_pos") + F.col("_before")).alias(name))
+    # One struct key: equality on it treats nulls as equal.
+    dealt = df.withColumn("_key", F.struct(*keys)).repartitionByRange("_key", order_col).sortWithinPartitions("_key", order_col)
+    placed = durable(dealt.withColumn("_row", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_row", 33))
+    runs = placed.groupBy("_key", "_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = runs.select("_key", "_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_before"))
+    return placed.join(before, ["_key", "_part"]).select(*df.columns, (F.col("_row") + F.col("_before")).alias(name))

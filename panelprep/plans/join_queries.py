@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelprep.functions import code_family, hierarchy_key, hk_key, to_raw_code
+from panelprep.functions import code_family, hierarchy_key, hk_default, hk_key, to_raw_code
 from panelprep.operators import codes, joins, quality
 from panelprep.plans.oracle_parts import CUSTOMER_DAYS, SPELLS, customer_code as code_sql, family
 from panelprep.plans.tables import customer_code, customer_days, customer_spells, event_day, table
@@ -191,6 +191,17 @@ def route_by_market_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         constituents, {"suffixed": market("F", "suffixed"), "hk": market("O", "hk")})
 
 
+def route_by_market_hk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hong Kong constituents and quotes that pad their codes differently, and codes that no quote has."""
+    orders = table(spark, sf_dir, "orders").select(
+        customer_code(F.col("o_custkey")).alias("con_code"), F.col("o_custkey").alias("key"), F.col("o_orderdate").cast("date").alias("trade_date"), "o_totalprice")
+    hk = orders.where(code_family("con_code") == "hk")
+    quotes = hk.where("o_totalprice > 100000").groupBy(F.concat(F.col("key").cast("string"), F.lit(".HK")).alias("con_code"), "trade_date").agg(
+        F.max("o_totalprice").alias("close"))
+    constituents = hk.select("con_code", "trade_date").distinct()
+    return joins.route_by_market(constituents, {"hk": quotes}, normalize=hk_default)
+
+
 def first_available_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", event_day().alias("trade_date"), "event_type")
     sources = [(kind, events.where(F.col("event_type") == kind).drop("event_type"))
@@ -226,6 +237,7 @@ QUERIES = {
     "status_disagreement": status_disagreement_query,
     "suspension_check": suspension_check_query,
     "route_by_market": route_by_market_query,
+    "route_by_market_hk": route_by_market_hk_query,
     "first_available": first_available_query,
     "unique_key": unique_key_query,
 }
@@ -339,6 +351,10 @@ ORACLES = {
         SELECT c.con_code, c.trade_date, code_family, CASE WHEN code_family NOT IN ('suffixed', 'hk') THEN 'unroutable'
             WHEN close IS NOT NULL THEN 'joined' ELSE 'no_quote' END AS route, close
         FROM c LEFT JOIN q USING (con_code, trade_date)""",
+    "route_by_market_hk": f"""WITH o AS (SELECT {code_sql('o_custkey')} AS con_code, CAST(o_orderdate AS DATE) AS trade_date,
+            o_totalprice FROM orders WHERE o_custkey % 4 = 1)
+        SELECT con_code, trade_date, 'hk' AS code_family, CASE WHEN max(o_totalprice) > 100000 THEN 'joined' ELSE 'no_quote' END AS route,
+            max(o_totalprice) FILTER (o_totalprice > 100000) AS close FROM o GROUP BY 1, 2""",
     "first_available": """WITH p AS (SELECT event_id, user_id, CAST(ts AS DATE) AS trade_date, event_type AS source,
             CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'signup' THEN 3
             WHEN 'error' THEN 4 END AS pr FROM events)

@@ -123,6 +123,17 @@ def contracts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get("table_info", F.lit(0))["表名"].alias("table_name"), "error")
 
 
+def contracts_pages_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contracts of the given pages: raw web pages, so most give their error."""
+    return ct.contracts(_pages(spark, sf_dir)).select("page_id", "doc_id", "url", F.size("examples").cast("long").alias("n_examples"), "error")
+
+
+def page_elements_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each page has each element."""
+    elements = ct.page_elements(_pages(spark, sf_dir)).select("page_id", F.explode("elements").alias("e"))
+    return elements.groupBy("page_id", F.col("e.tag").alias("tag")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def contract_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ct.contract_text(_contracts(spark, sf_dir), 2).select("page_id", "contract_text")
 
@@ -195,6 +206,8 @@ QUERIES = {
     "page_sections": page_sections_query,
     "code_examples": code_examples_query,
     "contracts": contracts_query,
+    "contracts_pages": contracts_pages_query,
+    "page_elements": page_elements_query,
     "contract_text": contract_text_query,
     "undocumented_fields": undocumented_fields_query,
     "similar_contracts": similar_contracts_query,
@@ -216,11 +229,12 @@ _LINKS = f"""hits AS (SELECT page_id, unnest(regexp_extract_all(html, '{_LINK}',
 
 
 def _html_to_text_sql() -> str:
+    # The markup rules of the text rendering.
     body = "html"
     for tag in ("script", "style", "noscript"):
         body = f"regexp_replace({body}, '(?is)<{tag}.*?>.*?</{tag}>', '', 'g')"
     steps = (
-        (r"(?i)<br\s*/?>", "chr(10)"), (r"(?i)<hr[^>]*>", "chr(10) || repeat('-', 40) || chr(10)"),
+        (r"(?i)<br\s*/?>", "chr(10)"), (r"(?i)<hr[^>]*>", "chr(10) || '----------------------------------------' || chr(10)"),
         (r"(?i)<li[^>]*>", "chr(10) || '- '"),
         (r"(?i)</(p|div|section|article|header|footer|aside|main|ul|ol|li|table|thead|tbody|tfoot|tr|h1|h2|h3|h4|h5|h6|pre)>",
          "chr(10)"),
@@ -300,6 +314,12 @@ ORACLES = {
         CASE WHEN p_size % 4 = 0 THEN 't_' || p_partkey END AS table_name, CAST(NULL AS VARCHAR) AS error FROM {_OK}
         UNION ALL SELECT p_partkey, CAST(p_partkey AS VARCHAR), '{DOC_ROOT}?doc_id=' || p_partkey, NULL, '', NULL, NULL,
         '', '', '', 0, NULL, 'no content container' FROM part WHERE p_size = 7""",
+    "contracts_pages": f"""SELECT page_id, CAST(NULL AS VARCHAR) AS doc_id, url, CAST(0 AS BIGINT) AS n_examples,
+        'no content container' AS error FROM pages WHERE NOT regexp_matches(html, '<div class="[^"]*\\bcontent\\b')""",
+    "page_elements": """WITH p AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', '<script>', 'g'),
+            '(?is)<style[^>]*>.*?</style>', '<style>', 'g') AS h FROM pages),
+        t AS (SELECT page_id, unnest(regexp_extract_all(h, '<([a-zA-Z][a-zA-Z0-9]*)', 1)) AS tag FROM p)
+        SELECT page_id, lower(tag) AS tag, count(*) AS n FROM t GROUP BY 1, 2""",
     "contract_text": f"""SELECT p_partkey AS page_id, array_to_string(list_concat(
         ['Title: Part ' || p_name, 'Doc ID: ' || p_partkey, 'URL: {DOC_ROOT}?doc_id=' || p_partkey, 'API: part_' || p_partkey,
          '描述: ' || p_type, '限量: 单次最大' || p_size || ',000行', ''],

@@ -10,7 +10,7 @@ from panelprep.plans.oracle_parts import CALENDAR, WS
 from panelprep.plans.tables import scratch_path, table, weekday_calendar
 from panelprep.sources import (
     Between, head, interval_scan, merge_params, parse_value_list, read_pages, read_values, rows_per_file, scan,
-    split_log, split_read_paths, split_scan, split_summary, values_to_intervals, write,
+    split_log, split_read_paths, split_read_table, split_scan, split_summary, values_to_intervals, write,
 )
 
 REQUESTS = ["1-URGENT", "5-LOW", "1-URGENT", "9-NONE"]
@@ -62,6 +62,15 @@ def interval_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate"))
 
 
+def interval_scan_partitioned_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with a folder per month, scanned for the months of an interval that had a very large order."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.trunc("o_orderdate", "MM").alias("month"))
+    path = write(orders, scratch_path(spark, "orders.parquet"), partition_by="month")
+    months = orders.where("o_totalprice > 499000").select("month")
+    stored = spark.read.schema(orders.schema).parquet(path)
+    return interval_scan(stored, "month", "1995-01-01", "1997-12-31", months).select("o_orderkey", "month")
+
+
 def values_to_intervals_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     busy = orders.groupBy(F.col("o_orderdate").cast("date").alias("trade_date")).count().where("count >= 2")
@@ -112,6 +121,17 @@ def read_values_json_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_values(spark, path, "code", fmt="jsonl").select("value")
 
 
+def read_values_json_documents_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON document of names for every five hundred parts, each a file: records, or an object with a list of values."""
+    path = scratch_path(spark, "documents.json")
+    bucket = F.floor(F.col("code").cast("int") / 500)
+    records = F.to_json(F.collect_list(F.struct("code", "name")), {"ignoreNullFields": "false"})
+    document = F.when(bucket % 2 == 0, records).otherwise(F.to_json(F.struct(F.collect_list("name").alias("values"))))
+    names = _names(spark, sf_dir).groupBy(bucket).agg(document.alias("value"))
+    names.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return _value_counts(read_values(spark, path, "name", fmt="json"))
+
+
 def write_round_trip(fmt: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         names = _names(spark, sf_dir)
@@ -136,6 +156,19 @@ def split_read_paths_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "request_pos", "slice", "status", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
+def split_read_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices by order priority, of which one asked for is missing and one is no Parquet file."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    root = scratch_path(spark, "slices")
+    name = F.concat(F.lit("p"), F.substring("o_orderpriority", 1, 1))
+    orders.withColumn("slice", name).write.partitionBy("slice").parquet(root)
+    orders.where("o_orderpriority = '5-LOW'").select(F.col("o_orderkey").cast("string")).write.text(f"{root}/broken")
+    asked = spark.createDataFrame([(1, "slice=p1"), (2, "absent"), (3, "broken"), (4, "slice=p5/")], "request_pos int, path string")
+    rows, log = split_read_table(spark, root, asked, "o_orderkey long, o_totalprice double")
+    read = rows.groupBy(F.regexp_extract("_metadata.file_path", r"(slice=[^/]+)", 1).alias("_slice")).agg(F.sum("o_orderkey").alias("key_sum"))
+    return log.join(read, F.col("_slice") == F.trim("path", F.lit("/")), "left").select("request_pos", "path", "status", "n_rows", "key_sum")
+
+
 def parse_value_list_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size").cast("string")
     text = (
@@ -235,7 +268,9 @@ QUERIES = {
     "split_log_days": split_log_days_query,
     "split_summary": split_summary_query,
     "split_read_paths": split_read_paths_query,
+    "split_read_table": split_read_table_query,
     "interval_scan": interval_scan_query,
+    "interval_scan_partitioned": interval_scan_partitioned_query,
     "values_to_intervals": values_to_intervals_query,
     "head": head_query,
     "read_pages": read_pages_query,
@@ -243,6 +278,7 @@ QUERIES = {
     "read_values_tsv": read_values_tsv_query,
     "read_values_text": read_values_text_query,
     "read_values_json": read_values_json_query,
+    "read_values_json_documents": read_values_json_documents_query,
     "write_csv": write_round_trip("csv"),
     "write_json": write_round_trip("json"),
     "write_parquet": write_round_trip("parquet"),
@@ -283,9 +319,16 @@ ORACLES = {
         CASE WHEN s = 'missing' THEN 'failed' ELSE 'ok' END AS status, count(o_orderkey) AS n_rows
         FROM (VALUES (1, 'F'), (2, 'missing'), (3, 'O')) AS v(pos, s)
         LEFT JOIN orders ON o_orderstatus = s GROUP BY 1, 2, 3""",
+    "split_read_table": """SELECT pos AS request_pos, s AS path, CASE WHEN s = 'absent' THEN 'missing' WHEN s = 'broken' THEN 'failed' ELSE 'ok' END
+            AS status, count(o_orderkey) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum
+        FROM (VALUES (1, 'slice=p1'), (2, 'absent'), (3, 'broken'), (4, 'slice=p5/')) AS v(pos, s)
+        LEFT JOIN orders ON 'slice=p' || o_orderpriority[1] = trim(s, '/') GROUP BY 1, 2, 3""",
     "interval_scan": """SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders
         WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1998-06-30'
         AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
+    "interval_scan_partitioned": """WITH o AS (SELECT o_orderkey, o_totalprice, CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders)
+        SELECT o_orderkey, month FROM o WHERE month BETWEEN DATE '1995-01-01' AND DATE '1997-12-31'
+        AND month IN (SELECT month FROM o WHERE o_totalprice > 499000)""",
     "values_to_intervals": f"""WITH {CALENDAR},
         busy AS (SELECT CAST(o_orderdate AS DATE) AS trade_date FROM orders GROUP BY 1 HAVING count(*) >= 2),
         hit AS (SELECT trade_date, idx - row_number() OVER (ORDER BY trade_date) AS island
@@ -299,6 +342,8 @@ ORACLES = {
     "read_values_tsv": f"SELECT name AS value, count(*) AS n_rows FROM ({_NAMES}) WHERE name IS NOT NULL GROUP BY 1",
     "read_values_text": f"SELECT name AS value, count(*) AS n_rows FROM ({_NAMES}) WHERE name IS NOT NULL GROUP BY 1",
     "read_values_json": f"SELECT code AS value FROM ({_NAMES})",
+    "read_values_json_documents": f"""SELECT name AS value, count(*) AS n_rows FROM ({_NAMES})
+        WHERE name IS NOT NULL OR CAST(code AS INTEGER) // 500 % 2 = 0 GROUP BY 1""",
     "write_csv": _NAMES,
     "write_json": _NAMES,
     "write_parquet": _NAMES,

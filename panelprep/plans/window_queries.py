@@ -159,14 +159,9 @@ def _rounded_flow(out: DataFrame) -> DataFrame:
 
 def drift_error_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    official_days = user_anchors(events).select("index_code", "trade_date").distinct()
-    # Only the official days' estimates are kept, and read more than once.
-    estimated = durable(
-        _drifted(events, through_next=True).where("days_since_anchor > 0")
-        .join(official_days, ["index_code", "trade_date"], "left_semi")
-        .select("index_code", "con_code", "trade_date", "raw_weight"))
-    out = drift.drift_error(
-        drift.normalize_weights(estimated), drift.normalize_weights(user_anchors(events), raw="weight"), 10)
+    estimated = _drifted(events, through_next=True).where("days_since_anchor > 0").select(
+        "index_code", "con_code", "trade_date", F.col("raw_weight").alias("weight"))
+    out = drift.drift_error(estimated, user_anchors(events), 10, raw=True)
     return out.select(*[
         F.round(c, 6).alias(c) if c not in ("index_code", "trade_date", "union_count") else c for c in out.columns])
 

@@ -157,9 +157,16 @@ def split_summary(log: DataFrame) -> DataFrame:
 
 
 def interval_scan(df: DataFrame, date_col: str, start, end, keep: DataFrame | None = None) -> DataFrame:
-    """One bounded date range; ``keep`` then filters locally on its columns."""
+    """One bounded date range; ``keep`` then filters locally on its columns.
+
+    A ``keep`` of days is sent to all tasks (bounded by the date type); if ``df`` is
+    partitioned by that column, its partitions are pruned by it as the query runs.
+    """
     out = df.where(date_between(df, date_col, start, end))
-    return out.join(keep, keep.columns, "left_semi") if keep is not None else out
+    if keep is None:
+        return out
+    days = len(keep.columns) == 1 and isinstance(keep.schema[0].dataType, T.DateType)
+    return out.join(F.broadcast(keep.distinct()) if days else keep, keep.columns, "left_semi")
 
 
 def distinct_dates(df: DataFrame, column: str) -> DataFrame:

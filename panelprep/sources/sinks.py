@@ -26,14 +26,14 @@ def write(
     """Write a directory of part files, one per task; returns the path.
 
     Parent directories are made.  Json is one record per line with null keys
-    kept; csv has a header and no byte-order mark.
+    kept; csv has a header and no byte-order mark.  ``partition_by`` makes a folder
+    per value; rows are brought together by it first, a large value in several
+    tasks, so a value has few files.
     """
     kind = resolve_format(path, fmt)
     if kind not in FORMATS:
         raise ValueError(f"unsupported format {kind!r}")
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
+    writer = df.hint("rebalance", partition_by).write.mode(mode).partitionBy(partition_by) if partition_by else df.write.mode(mode)
     if kind == "csv":
         writer.option("header", True).option("escape", '"').csv(path)
     elif kind == "json":

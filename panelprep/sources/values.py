@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from panelprep.functions.text import as_col, literal_type, strip
+from panelprep.session import durable
 
 
 MAX_DOCUMENT_BYTES = 16 * 1024 * 1024
@@ -185,6 +190,77 @@ def split_read_paths(
     return spark.read.schema(schema).option("ignoreCorruptFiles", False).parquet(*good), log_df
 
 
+_PROBED = "file string, readable boolean, n_rows long"
+
+
+def _probe(schema: T.StructType):
+    """Reads files given as bytes, footers and all pages of the columns asked for."""
+    wanted = to_arrow_schema(schema)
+
+    def same(found: pa.DataType, asked: pa.DataType) -> bool:
+        if pa.types.is_timestamp(asked):
+            return pa.types.is_timestamp(found)
+        whole = pa.types.is_integer(asked) and pa.types.is_integer(found)
+        return found.equals(asked) or (whole or pa.types.is_floating(asked) and pa.types.is_floating(found)) and found.bit_width <= asked.bit_width
+
+    def rows_of(content: bytes) -> int:
+        file = pq.ParquetFile(pa.BufferReader(content))
+        columns = [f.name for f in wanted if f.name in file.schema_arrow.names]
+        if not all(same(file.schema_arrow.field(c).type, wanted.field(c).type) for c in columns):
+            raise pa.ArrowInvalid("another type than asked for")
+        counted = sum(batch.num_rows for batch in file.iter_batches(columns=columns)) if columns else file.metadata.num_rows
+        if counted != file.metadata.num_rows:
+            raise pa.ArrowInvalid("fewer rows than the footer says")
+        return counted
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                try:
+                    out.append((path, True, rows_of(content.as_py())))
+                except (pa.ArrowException, OSError, ValueError):
+                    out.append((path, False, 0))
+            columns = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.bool_(), pa.int64()))], names=["file", "readable", "n_rows"])
+
+    return probe
+
+
+def split_read_table(
+    spark: SparkSession, root: str, requests: DataFrame, schema: T.StructType | str, path_col: str = "path",
+) -> tuple[DataFrame, DataFrame]:
+    """Stored slices named by a table of requests: the readable ones as one scan, and a log of all.
+
+    A slice is a Parquet file or a folder of such files right under ``root``.  One
+    job lists and reads all files there, a file a row, on the executors, and the
+    requests are joined to what it found; so there's no loop over slices, and they
+    may be in any store that Spark reads.  The log is ``requests`` with ``status``
+    and ``n_rows``: ``ok``, ``missing``, or ``failed`` if a file can't be read to
+    its end or has another type than asked for.  Rows come from slices that are
+    ``ok``, each once; their paths are collected, as Spark's own list of files is.
+    What breaks after the probe is an error, so no slice is lost in part.  A single
+    file must be under 2 GB, the largest value Spark holds; a larger one is an error.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    base = root.rstrip("/")
+    inside = "/" + re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", "", base).strip("/") + "/"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select("path", "content")
+    probed = files.mapInArrow(_probe(schema), _PROBED)
+    below = F.expr("substring(file, locate(inside, file) + length(inside))")
+    slices = probed.withColumn("inside", F.lit(inside)).select(
+        F.substring_index(below, "/", 1).alias("_slice"), "readable", "n_rows")
+    found = durable(slices.groupBy("_slice").agg(F.min("readable").alias("_readable"), F.sum("n_rows").alias("_n")))
+    status = F.when(F.col("_readable").isNull(), "missing").when(F.col("_readable"), "ok").otherwise("failed")
+    asked = requests.withColumn("_asked", F.trim(F.col(path_col), F.lit("/")))
+    log = asked.join(found, F.col("_asked") == F.col("_slice"), "left").select(
+        *requests.columns, status.alias("status"), F.when(status == "ok", F.col("_n")).otherwise(0).cast("long").alias("n_rows"))
+    good = [r[0] for r in log.where("status = 'ok'").select(F.trim(F.col(path_col), F.lit("/"))).distinct().collect()]
+    if not good:
+        return spark.createDataFrame([], schema), log
+    return spark.read.schema(schema).option("ignoreCorruptFiles", False).parquet(*(f"{base}/{name}" for name in sorted(good))), log
+
+
 def rows_per_file(df: DataFrame) -> DataFrame:
     """Rows that each file of a file-based scan delivered, for the slice log."""
     return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("n_rows"))

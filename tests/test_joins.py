@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,10 +137,45 @@ def test_first_available(spark, rows):
 
 
 def test_unique(spark):
-    df = spark.createDataFrame([(1, "a"), (1, "b")], "x int, y string")
-    assert joins.assert_unique(df, ["x", "y"]) is df
-    with pytest.raises(ValueError):
-        joins.assert_unique(df, "x")
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "x int, y string")
+    assert joins.assert_unique(df, ["x", "y"]).count() == 3
+    repeated = joins.assert_unique(df, "x")  # no job yet
+    with pytest.raises(Exception, match="is not unique"):
+        repeated.collect()
+    with pytest.raises(Exception, match="is not unique"):
+        repeated.select("y").collect()  # not pruned away with the key
+
+
+def test_observed_uniqueness(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (None, "c")], "x int, y string")
+    rows, check = joins.observe_unique(df, "x")
+    assert rows.columns == df.columns and rows.count() == 4 and check.excess_rows == 2
+    with pytest.raises(ValueError, match="not unique"):
+        check.verify()
+    rows, check = joins.observe_unique(df.distinct(), ["x", "y"])
+    assert len(rows.collect()) == 3
+    check.verify()
+
+
+def test_first_available_reads_each_source_twice(spark, tmp_path):
+    sources = []
+    for i in range(4):
+        spark.range(50).selectExpr("id AS k", f"{i} AS v").write.parquet(str(tmp_path / str(i)))
+        sources.append((str(i), spark.read.parquet(str(tmp_path / str(i)))))
+    plan = joins.first_available(sources, "k")._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet", plan)) <= 8
+
+
+def test_facts_are_read_once(spark, tmp_path):
+    spark.range(50).selectExpr("id % 5 AS k", "date_add(DATE '2020-01-01', CAST(id * 40 AS INT)) AS d").write.parquet(str(tmp_path / "f"))
+    facts = spark.read.parquet(str(tmp_path / "f"))
+    members = spark.createDataFrame([(0, d(1), None), (1, d(1), dt.date(9999, 12, 31)), (2, d(5), d(6))], "k long, s date, e date")
+    out = joins.interval_join(facts, members, "k", "d", "s", "e", end_inclusive=True, how="left")
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    assert [r for r in out.collect() if (r["s"] is None) != (r["k"] > 1 or r["d"] < d(1))] == []
+    # an open or distant end is repeated over some buckets only, however far it reaches
+    again = joins.interval_join(members.select("k", F.lit(dt.date(2500, 1, 1)).alias("d")), members, "k", "d", "s", "e", end_inclusive=True)
+    assert sorted(r["k"] for r in again.collect()) == [0, 1]
 
 
 def test_hk_normalisation(spark, rows):

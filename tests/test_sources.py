@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelprep.operators import sets
 from panelprep.sources import (
     Between, head, interval_scan, merge_params, parse_value_list, read_values, resolve_format, scan, split_log,
-    split_read_paths, split_scan, split_summary, typed_values, values_to_intervals, with_inline, write,
+    split_read_paths, split_read_table, split_scan, split_summary, typed_values, values_to_intervals, with_inline, write,
 )
 
 
@@ -140,6 +140,26 @@ def test_corrupt_slice_is_logged(spark, tmp_path):
     assert [r["status"] for r in log.orderBy("request_pos").collect()] == ["ok", "failed"]
 
 
+def test_slices_of_a_table_of_requests(spark, tmp_path):
+    root = tmp_path / "slices"
+    for name, value in (("a", 1), ("b c", 2), ("cut", 3), ("text", 4)):
+        column = "CAST(id AS STRING) AS v" if name == "text" else f"CAST({value} AS INT) AS v"
+        spark.range(3).selectExpr(column, "id AS w").coalesce(1).write.parquet(str(root / name))
+    part = next((root / "cut").glob("part-*.parquet"))
+    part.write_bytes(part.read_bytes()[:60])
+    (root / "cut" / f".{part.name}.crc").unlink()
+    spark.range(2).selectExpr("CAST(7 AS INT) AS v").coalesce(1).write.parquet(str(tmp_path / "one"))
+    next((tmp_path / "one").glob("part-*.parquet")).rename(root / "single.parquet")
+    asked = spark.createDataFrame([(k, p) for k, p in enumerate(["a", "gone", "cut", "b c/", "text", "single.parquet", "a"])], "pos int, path string")
+    rows, log = split_read_table(spark, str(root), asked, "v int")
+    got = [(r["status"], r["n_rows"]) for r in log.orderBy("pos").collect()]
+    assert got == [("ok", 3), ("missing", 0), ("failed", 0), ("ok", 3), ("failed", 0), ("ok", 2), ("ok", 3)]
+    assert sorted(r["v"] for r in rows.collect()) == [1, 1, 1, 2, 2, 2, 7, 7]
+    none, log = split_read_table(spark, str(root), asked.where("pos = 1"), "v int")
+    assert none.count() == 0 and none.columns == ["v"] and log.first()["status"] == "missing"
+    assert split_read_table(spark, str(root), asked.limit(0), "v int")[1].count() == 0
+
+
 def test_values_follow_files_and_quotes(spark, tmp_path):
     folder = tmp_path / "v.txt"
     folder.mkdir()
@@ -239,7 +259,7 @@ def test_numbered_over_a_hot_key(spark):
         F.when(F.col("id") % 10 > 0, "hot").when(F.col("id") % 100 > 0, F.col("id").cast("string")).alias("key"),
         (F.col("id") * F.col("id") + 7).alias("seq"))
     got = {}
-    for r in sets.numbered(df, ["key"], "seq", "n", blocks=16).collect():
+    for r in sets.numbered(df, ["key"], "seq", "n").collect():
         got.setdefault(r["key"], []).append((r["seq"], r["n"]))
     for pairs in got.values():
         assert [n for _, n in sorted(pairs)] == list(range(1, len(pairs) + 1))
