@@ -18,7 +18,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from panelprep.llm.common import drop_kept, shared_path
+from panelprep.llm.common import drop_kept, read_stored, shared_path
 
 CHUNK_BYTES = 5 * 1024 * 1024
 ROW_BYTES = 64  # what a text counts for besides its bytes, so that empty ones fill a chunk, too
@@ -95,7 +95,7 @@ def write_chunks(docs: DataFrame, words_of: Callable[[bytes], list[bytes]], end:
         F.lit(b"").alias("lengths"), F.lit(b"").alias("tokens"), F.lit(b"").alias("vocab")).schema
     path = shared_path(docs.sparkSession, "chunks")
     docs.select("k", "text").mapInArrow(build, schema).write.option("compression", "uncompressed").parquet(path)
-    return docs.sparkSession.read.schema(schema).parquet(path)
+    return read_stored(docs.sparkSession, path, schema)
 
 
 def hashes_of(row: dict) -> np.ndarray:

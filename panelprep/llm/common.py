@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from panelprep.session import checkpoint_dir
 
@@ -56,7 +57,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: later reads don't run its plan once more."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return read_stored(df.sparkSession, path, df.schema)
+
+
+def read_stored(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """A table written to the shared folder; it can be discarded."""
+    df = spark.read.schema(schema).parquet(path)
+    df.stored_at = path
+    return df
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes stored tables that no plan reads any more."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame, n: str, to: str) -> DataFrame:

@@ -14,10 +14,10 @@ The windows of one occurrence of an anchor lie together in a segment of the text
   still without one separate suffixes that agree in 200 bytes or more; a run of
   these with two windows or more repeats.
 * an anchor with very many different segments would fill a task.  Its windows are
-  split in two by how far behind their start the anchor lies; all windows of a half
-  share more bytes round the anchor, and these are the half's anchor.  Halves with
-  very many different segments are split again: at the end a window is an anchor
-  of its own.
+  split into parts by how far behind their start the anchor lies; all windows of a
+  part share more bytes round the anchor, and these are the part's anchor.  Parts
+  with very many different segments are split again: at the end a window is an
+  anchor of its own.
 
 Texts are read once into chunks of some megabytes; anchors and their answers
 travel as packed blocks (see :mod:`panelprep.llm.chunks`).
@@ -26,6 +26,7 @@ travel as packed blocks (see :mod:`panelprep.llm.chunks`).
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,13 +37,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from panelprep.llm.chunks import ROW_BYTES, answered, block_count, block_of, cuts, joined_answer, pack, unpack
-from panelprep.llm.common import release_memory, rows_of, shared_path, stored, text_or_empty
+from panelprep.llm.common import discard, release_memory, rows_of, shared_path, stored, text_or_empty
 
 LENGTH = 200
 GRAM = 100  # bytes of the substrings that anchors are chosen from
 RANGE_BYTES = 500_000  # of segments that one transform should have
 CHUNK_BYTES = 1024 * 1024  # a packed chunk should be well under half a region of the heap
 BLOCK_ANCHORS = 500_000
+WAYS = 5  # that a segment's windows are split
 MANY = 2_000  # different segments of an anchor beyond which its windows are split
 
 _PIECE = 1 << 16  # windows that are gone through at a time
@@ -348,19 +350,20 @@ def _transformed(rows: DataFrame, ranges: int, length: int) -> DataFrame:
 _SPLIT = "chunk long, first long, at long, low int, high int, anchor long, content long, weight long, data binary"
 
 
-def _halves(rows: DataFrame, length: int) -> DataFrame:
-    """Each segment's windows in two, by how far behind their start the anchor lies: from ``low`` up to the middle, and from there up to ``high``."""
+def _split(rows: DataFrame, length: int) -> DataFrame:
+    """Each segment's windows in ``WAYS`` parts, by how far behind their start the anchor lies, from ``low`` up to ``high``."""
     names = [c.split()[0] for c in _SPLIT.split(", ")]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for chunk, first, at, low, high, weight, data in zip(*(batch.column(c).to_pylist() for c in ("chunk", "first", "at", "low", "high", "weight", "data"))):
-                middle, view = (low + high) // 2, memoryview(data)
-                for a, z in ((low, middle), (middle, high)):
-                    begin, end = max(first, at - z + 1), min(first + len(data) - length, at - a) + 1  # windows of this half
+                view, step = memoryview(data), -(-(high - low) // WAYS)
+                for a in range(low, high, step):
+                    z = min(a + step, high)
+                    begin, end = max(first, at - z + 1), min(first + len(data) - length, at - a) + 1  # windows of this part
                     if begin < end:
-                        shared = view[at - a - first : at - z + 1 + length - first]  # what every window of the half has
+                        shared = view[at - a - first : at - z + 1 + length - first]  # what every window of the part has
                         part = view[begin - first : end - 1 + length - first]
                         anchor, content = xxhash.xxh3_64_intdigest(shared, seed=a << 16 | z), xxhash.xxh3_64_intdigest(part)
                         out.append((chunk, begin, at, a, z, anchor - (1 << 63), content - (1 << 63), weight, bytes(part)))
@@ -382,8 +385,8 @@ def _split_until_few(rows: DataFrame, length: int, gram: int, many: int, range_b
     rows = rows.select("chunk", "first", "at", F.lit(low).alias("low"), F.lit(high).alias("high"), "weight", "data")
     first = F.struct("chunk", "first", "at", "low", "high", "data")
     whole = lambda n: (F.array(F.lit(0).cast("long")).alias("starts"), F.array(n).alias("ends"))
-    for level in range((high - low - 1).bit_length()):
-        parts = stored(_halves(rows, length), f"parts{level}")
+    for level in itertools.count():
+        parts = stored(_split(rows, length), f"parts{level}")
         known = stored(parts.groupBy("anchor", "content").agg(F.sum("weight").alias("weight"), F.count("*").alias("n"), F.min_by(first, F.struct("chunk", "first")).alias("one"))
                        .select("anchor", "content", "weight", "n", "one.*"), f"kinds{level}")
         twice = known.where("n > 1").select("anchor", "content")
@@ -396,9 +399,8 @@ def _split_until_few(rows: DataFrame, length: int, gram: int, many: int, range_b
         if total:
             out.append(_transformed(few, -(-total // range_bytes), length))
         rows = open_.where(F.col("kinds") > many)
-        if not rows.head(1):
-            break
-    return out
+        if not rows.head(1):  # at the last when each part is one window
+            return out
 
 
 _RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -421,6 +423,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     blocks = block_count(size // 20, block_anchors)  # packed texts have an anchor about every twenty bytes
     codes = stored(_anchor_answers(chunks, blocks, length, gram, many), "anchors")
     found = stored(_first_findings(answered(chunks, codes, ["codes"], "codes"), length, gram), "findings")
+    discard(codes)
     open_ = found.where("data is not null")
     total = open_.where("not many").agg(F.sum(F.octet_length("data"))).first()[0] or 0
     more = _transformed(open_.where("not many"), max(1, -(-total // range_bytes)), length)
