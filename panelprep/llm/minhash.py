@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from panelprep.llm.chunks import BLOCK_WORDS, CHUNK_BYTES, answered, block_count, hashes_of, joined_answer, pack, summed_words, unpack, word_blocks, write_chunks
-from panelprep.llm.common import stored, text_or_empty
+from panelprep.llm.common import discard, stored, text_or_empty
 
 WORDS = 5
 BANDS, ROWS = 10, 4
@@ -333,14 +333,17 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = edges.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("near")).select("key", F.least("key", "near").alias("label"))
     labels, nth = stored(labels, "labels0"), 0
+    before = labels
     while True:
         nth += 1
         near = edges.join(labels.select(F.col("key").alias("b"), "label"), "b").groupBy(F.col("a").alias("key")).agg(F.min("label").alias("near"))
         lower = labels.join(near, "key").select("key", "label", F.least("label", "near").alias("next"))
         jump = labels.select(F.col("key").alias("next"), F.col("label").alias("jump"))
         moved = stored(lower.join(jump, "next").select("key", F.col("label").alias("old"), F.least("next", "jump").alias("label")), f"labels{nth}")
-        labels = moved.select("key", "label")
+        discard(before)
+        before, labels = moved, moved.select("key", "label")
         if not moved.where("old <> label").head(1):
+            discard(edges)
             return labels
 
 
@@ -393,6 +396,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     mixed = shared.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     apart = shared.join(mixed, "shingle", "left_semi").select("key", "label").distinct()
     wider = components(stored(_rest_of_buckets(held.join(apart, "key"), vectors, threshold, block, block_shingles), "wider"))
+    discard(chunks, counted, buckets, members, pairs, vectors, compared, held, rarest, more, links)
     labels = texts.select("key").join(labels, "key", "left").select("key", label).join(
         wider.select(F.col("key").alias("label"), F.col("label").alias("wider")), "label", "left").select("key", F.coalesce("wider", "label").alias("label"))
     labelled = texts.select("key", "id", "n").join(labels, "key")
