@@ -48,8 +48,9 @@ def drift_weights(
     has no row in ``returns`` after the anchor in the whole period.  With ``through_next`` a period also covers the
     day of the next anchor, which is what comparing with it needs.
 
-    Anchors must be unique per (index, code, date) and returns per (code, date);
-    ``assert_unique`` checks that.
+    Anchors must be unique per (index, code, date), and returns and ``carry`` per
+    (code, date); ``assert_unique`` checks that.  Equal anchors count once, a
+    repeated return is an error.
 
     ``carry`` holds more measures per (code, date) for the output, such as the
     next day's flow.  They're merged with the returns into arrays of ``BUCKET``
@@ -87,7 +88,7 @@ def drift_weights(
 
     # A row per anchor period; its days become rows last.
     period = parts.groupBy(index, code, "anchor_date", "anchor_weight", *extra, "anchor_idx", "first_idx").agg(
-        F.transform(F.array_sort(F.collect_list("_part")), lambda p: p["part"]).alias("_parts"))
+        F.transform(F.array_sort(F.array_distinct(F.collect_list("_part"))), lambda p: p["part"]).alias("_parts"))
 
     def grown(part, at):
         before = F.aggregate(F.slice("_parts", 1, at), F.lit(1.0), lambda growth, p: growth * p["growth"])

@@ -80,10 +80,12 @@ def page_links(
     if scope not in ("page", "corpus"):
         raise ValueError("scope must be 'page' or 'corpus'")
     base = F.col(url) if root is None else (F.lit(root) if isinstance(root, str) else root)
-    # a page is searched once; its parts are taken from the short matches
+    # a page is searched once; a match is cut at its fixed delimiters: 9 characters, the target, 2, the title, 4
     whole = pages.select(page_id, base.alias("_base"), F.regexp_extract_all(html_col, F.lit(_LINK), 0).alias("_whole"))
-    part = lambda i: F.transform("_whole", lambda link: F.regexp_extract(link, _LINK, i))
-    found = whole.select(page_id, "_base", part(1).alias("_hrefs"), part(2).alias("_titles"))
+    target = lambda link: F.substring_index(F.substring(link, F.lit(10), F.length(link)), '"', 1)
+    hrefs = F.transform("_whole", target)
+    titles = F.zip_with("_whole", "_hrefs", lambda link, href: F.substring(link, F.length(href) + 12, F.length(link) - F.length(href) - 15))
+    found = whole.withColumn("_hrefs", hrefs).select(page_id, "_base", "_hrefs", titles.alias("_titles"))
     links = found.select(page_id, _resolve_links("_base", "_hrefs", "_titles").alias("_l"))
     rows = links.select(page_id, F.inline(F.arrays_zip("_l.pos", "_l.title", "_l.url")))
     return dedupe_first(rows, ["title", "url"], [page_id, "pos"]) if scope == "corpus" else rows
