@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from panelprep.functions.text import as_col, doc_id, doc_url, let, map_last_wins, meta_map, normalize_ws, strip
+from panelprep.functions.text import as_col, doc_id, doc_url, let, map_last_wins, meta_map, normalize_ws
 
 # The wording of the dictionary pages.
 SECTION_INPUT, SECTION_OUTPUT, SECTION_TABLE = "输入参数", "输出参数", "表信息"
@@ -39,7 +39,7 @@ _ELEMENTS = T.StructType([T.StructField("elements", T.ArrayType(_ELEMENT)), T.St
 class _Events(HTMLParser):
     """Writes elements and text pieces of page after page to flat columns.
 
-    Element ``i`` has the descendants ``i+1 .. end-1`` and the text pieces
+    Element ``i`` has the descendants ``i+1 .. end-1`` and the trimmed text pieces
     ``text_from .. text_to-1``.  A stray end tag is ignored, a skipped one is implied.
     """
 
@@ -58,6 +58,7 @@ class _Events(HTMLParser):
         self.close()
         while self.open:
             self._end()
+        self.pieces[self.first_piece :] = [piece.strip() for piece in self.pieces[self.first_piece :]]
         self.element_ends.append(len(self.columns["tag"]))
         self.piece_ends.append(len(self.pieces))
 
@@ -121,13 +122,13 @@ _read_elements = _read_elements.asNondeterministic()
 def page_elements(pages: DataFrame, page_id: str = "page_id", html_col: str = "html", keep: Sequence[str] = ()) -> DataFrame:
     """The one Python pass: ``page_id, keep…, elements, pieces``; a null page has none.
 
-    Pages are dealt out anew before it: parsing costs many times what moving a page
-    does, and a table in few files would be parsed by as few tasks.
+    Pages are dealt to ``spark.sql.shuffle.partitions`` tasks before it.  Parsing a
+    page costs many times what moving it does, and pages pack so well that partitions
+    sized by their bytes would leave the parsing of a table to very few tasks.
     """
-    dealt = pages.select(page_id, *keep, html_col).hint("rebalance")
-    read = dealt.select(page_id, *keep, _read_elements(html_col).alias("_read"))
-    trimmed = F.transform("_read.pieces", strip)
-    return read.select(page_id, *keep, "_read.elements", trimmed.alias("pieces"))
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pages.select(page_id, *keep, html_col).repartition(tasks, F.xxhash64(F.monotonically_increasing_id()))
+    return dealt.select(page_id, *keep, _read_elements(html_col).alias("_read")).select(page_id, *keep, "_read.elements", "_read.pieces")
 
 
 def _inside(element: Column) -> Column:
