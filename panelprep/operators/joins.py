@@ -1,8 +1,8 @@
 """Hierarchy, interval, point-in-time, routing and fallback joins.
 
 Two rules hold throughout.  No side is broadcast by hint unless its type bounds
-it, or its size was measured: whether a membership table is small is for Spark to
-decide.  And no window runs over raw rows of a key: rows are
+it, or its size was measured; and where a side's rows are repeated on the way, which
+Spark's estimates of size don't count, none is broadcast at all.  And no window runs over raw rows of a key: rows are
 first reduced to one per (key, day), so a key that holds a third of all rows
 still gives at most one row per calendar day.
 """
@@ -121,6 +121,10 @@ def interval_join(
 
     With ``bounds``, a first and a last day, facts outside match nothing, and
     memberships are spread over the days between only.
+
+    Both sides are shuffled and merged.  Memberships are repeated per bucket, facts
+    are often a grid of days per key, and Spark takes such rows for as few as there
+    were before: it would gather them in the driver to broadcast them.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -144,7 +148,7 @@ def interval_join(
     if bounds is not None:
         inside = inside & (day.cast("date") >= low) & (day.cast("date") <= high)
     on = _all(F.col(f"f.{k}") == F.col(f"m.{k}") for k in [*keys, "_bucket"]) & inside
-    joined = f.join(m, on, how)
+    joined = f.join(m.hint("merge"), on, how)
     left = [F.col(f"f.{c}") for c in facts.columns]
     if how in ("left_semi", "left_anti"):
         return joined.select(*left)
@@ -230,8 +234,7 @@ def point_in_time(
     """Each query row with the snapshot known on its day; null where none was.
 
     The facts become a timeline of validity ranges first; the large query side
-    is then shuffled once, by (key, day bucket), and not at all when Spark finds
-    the timeline small enough to broadcast.  ``bounds`` are as in ``interval_join``.
+    is then shuffled once, by (key, day bucket).  ``bounds`` are as in ``interval_join``.
     """
     timeline = snapshot_timeline(facts, key, ann_dt, period)
     joined = interval_join(

@@ -167,6 +167,17 @@ def test_hot_code_interval_join(spark, tmp_path):
         assert out.where("trade_date NOT BETWEEN s AND e").count() == 0
 
 
+def test_repeated_rows_are_not_broadcast(spark):
+    """Rows that a sequence repeats count for Spark as few as before, so neither a grid of days nor bucketed memberships may be gathered."""
+    start = F.lit("2020-01-01").cast("date")
+    grid = spark.range(500).select(F.col("id").alias("code"), F.explode(F.sequence(start, F.date_add(start, 89))).alias("trade_date"))
+    members = spark.range(500).select(F.col("id").alias("code"), start.alias("s"), F.date_add(start, (F.col("id") % 90).cast("int")).alias("e"))
+    for how, want in (("inner", sum(i % 90 + 1 for i in range(500))), ("left", 45000)):
+        out = joins.interval_join(grid, members, "code", "trade_date", "s", "e", end_inclusive=True, how=how)
+        assert "Broadcast" not in final_plan_of(out) and "SortMergeJoin" in plan(out)
+        assert out.count() == want
+
+
 def test_hot_key_point_in_time_and_fallback(spark):
     facts = hot(spark, 3000).select(
         "code", F.col("trade_date").alias("ann_dt"), F.trunc("trade_date", "MM").alias("report_period"), "v")
