@@ -77,6 +77,10 @@ def test_ranked_contracts_are_parsed_once(spark):
     assert "Exchange RoundRobinPartitioning" in lines[ranges + 1] and "_read_elements" in "".join(lines[ranges + 2:])
 
 
+def test_rows_of_tables_are_made_once(spark):
+    assert len(re.findall(r"map_from_arrays", plan(entry.queries()["page_tables"](spark, SF_DIR)))) == 1
+
+
 def test_grep_and_links_do_not_shuffle(spark):
     for name in ("grep", "lines", "html_to_text", "page_links", "search_titles"):
         assert "Exchange" not in plan(entry.queries()[name](spark, SF_DIR)), name
